@@ -55,7 +55,10 @@ def _(t):
     records = vendor_records(t)
     plain = F.to_xml(F.struct(*records.columns), {"rowTag": "properties"})
     prefixed = F.replace(F.regexp_replace(plain, "<(/?)", "<$1d:"), F.lit("d:properties"), F.lit(vendor_feed.ROW_TAG))
-    records.select(prefixed.alias("value")).write.mode("overwrite").text(path)
+    # One feed file holds the records of 10,000 consecutive ids.
+    files = records.select(F.floor(F.col("Id").cast("bigint") / 10_000).alias("file"), prefixed.alias("x")).groupBy("file")
+    body = F.concat(F.lit('<feed xmlns:m="urn:m" xmlns:d="urn:d">'), F.array_join(F.collect_list("x"), "\n"), F.lit("</feed>"))
+    files.agg(body.alias("value")).write.partitionBy("file").mode("overwrite").text(path)
     items = vendor_feed.feed_items(vendor_feed.read_feed(t.spark, path), "http://vendor.invalid/")
     return items.select("product_id", "name_english", "custom_price", F.array_join("normal_image_url", " ").alias("images"))
 
