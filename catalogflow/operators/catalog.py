@@ -68,20 +68,16 @@ def backfill_urls(
 ) -> DataFrame:
     """Fill blank URLs (or all) from ``lookup(key, url)``; an id that is not found gets a blank.
 
-    Adds ``sought`` and ``found``. Only the rows to fill carry a join key, so filled rows do not
-    pile up on one key.
+    Adds ``sought`` and ``found``. Only the rows to fill take part in the join.
     """
-    blank = F.coalesce(F.col("url"), F.lit("")) == ""
-    sought = F.lit(True) if every_row else blank
-    links = lookup.groupBy(key).agg(F.min("url").alias("_url")).withColumnRenamed(key, "_key")
-    rows = catalog.withColumn("sought", sought)
-    joined = rows.join(links, F.col("sought") & (F.col(key) == F.col("_key")), "left")
-    return joined.select(
-        *[c for c in catalog.columns if c != "url"],
-        F.when(F.col("sought"), F.coalesce("_url", F.lit(""))).otherwise(F.col("url")).alias("url"),
-        "sought",
-        (F.col("sought") & F.col("_url").isNotNull()).alias("found"),
+    blank = F.lit(True) if every_row else F.coalesce(F.col("url"), F.lit("")) == ""
+    kept = [c for c in catalog.columns if c != "url"]
+    links = lookup.groupBy(key).agg(F.min("url").alias("_url"))
+    sought = catalog.where(blank).drop("url").join(links, key, "left").select(
+        *kept, F.coalesce("_url", F.lit("")).alias("url"), F.lit(True).alias("sought"), F.col("_url").isNotNull().alias("found")
     )
+    filled = catalog.where(~blank).select(*kept, "url", F.lit(False).alias("sought"), F.lit(False).alias("found"))
+    return filled.unionByName(sought)
 
 
 def backfill_report(filled: DataFrame, *scope: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogflow.operators.ordering import bucket_of, first_rows, numbered
+from catalogflow.operators.ordering import HOT_ROWS, first_rows, numbered
 
 
 def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", url: str = "url") -> DataFrame:
@@ -20,11 +20,11 @@ def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested
 
 def match_nth(
     pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", page_ord: str = "fetch_ord",
-    url: str = "url", width: int = 100_000,
+    url: str = "url", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The n-th page of a URL with the n-th catalogue row of that URL."""
-    left = numbered(pages, [page_url], [page_ord], bucket_of(page_ord, width), "_nth")
-    right = numbered(catalog, [url], ["ord"], bucket_of("ord", width), "_row")
+    left = numbered(pages, [page_url], [page_ord], "_nth", hot_rows=hot_rows)
+    right = numbered(catalog, [url], ["ord"], "_row", hot_rows=hot_rows)
     right = right.withColumnRenamed(url, "_url")
     on = (F.col(page_url) == F.col("_url")) & (F.col("_nth") == F.col("_row"))
     return left.join(right, on).drop("_nth", "_row", "_url")

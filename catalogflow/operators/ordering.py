@@ -1,50 +1,50 @@
 """Numbering and list building that hold when one key owns a third of all rows.
 
-A window over such a key would sort the whole key in one task. Here every key is split into
-buckets that follow the order (a coarse prefix of it, for example ``ord // 100000``). Rows are numbered inside a
-``(key, bucket)``, and the bucket sizes, one short row per bucket, give the offset of each bucket. Keys must not be null.
+A window over such a key would sort the whole key in one task. Keys with very many rows are found first, and
+their range of the leading order column is cut into parts. Rows are then numbered inside ``(key, part)``, and the sizes
+of a hot key's parts give the offset of each. All other keys have one part, so they pay one plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-WIDTH = 100_000
-
-
-def bucket_of(ord_column: str | Column, width: int = WIDTH) -> Column:
-    """Coarse order prefix of a dense integer position."""
-    c = F.col(ord_column) if isinstance(ord_column, str) else ord_column
-    return F.floor(c / width)
+HOT_ROWS = 2_000_000  # rows of one key that one task may sort
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "pos", start: int = 0
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", start: int = 0, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Number the rows of each key from ``start`` in the given order.
 
-    ``bucket`` must never decrease along ``order``. The rows are shuffled once, on ``(keys, bucket)``; the
-    bucket sizes are counted before their own shuffle and come from a scan of the key columns alone.
+    The first order column must be numeric and should vary inside a key. The rows are shuffled once. Two small tables are
+    broadcast: of ``n`` rows at most ``n / hot_rows`` keys are hot, and they have at most twice as many parts.
     """
-    parts = [*keys, "_bucket"]
-    rows = df.withColumn("_bucket", bucket)
-    local = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
-    sizes = rows.groupBy(*parts).agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*parts, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return (
-        local.join(offsets, parts)
-        .withColumn(name, F.col("_before") + F.col("_n") - 1 + start)
-        .select(*df.columns, name)
-    )
+    lead = F.col(order[0]).cast("double")
+    spread = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min(lead).alias("_low"), F.max(lead).alias("_high"))
+    hot = spread.where(F.col("_rows") > hot_rows)
+    parts = F.ceil(F.col("_rows") / hot_rows)
+    part = F.floor((lead - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * parts)
+    tagged = df.join(F.broadcast(hot), list(keys), "left").withColumn("_part", F.coalesce(part, F.lit(0)))
+
+    split = [*keys, "_part"]
+    sizes = tagged.where(F.col("_rows").isNotNull()).groupBy(*split).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*split, F.sum("_size").over(before).alias("_before"))
+
+    local = tagged.withColumn("_n", F.row_number().over(Window.partitionBy(*split).orderBy(*order)))
+    placed = local.join(F.broadcast(offsets), split, "left")
+    position = F.coalesce("_before", F.lit(0)) + F.col("_n") - 1 + start
+    return placed.withColumn(name, position.cast("bigint")).select(*df.columns, name)
 
 
-def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str], bucket: Column) -> DataFrame:
+def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Values of each key as an ordered list in long form: ``(key, pos, value)``, repeats kept."""
-    return numbered(df.select(key, value, *order), [key], order, bucket).select(key, "pos", value)
+    columns = dict.fromkeys([key, value, *order])
+    return numbered(df.select(*columns), [key], order, hot_rows=hot_rows).select(key, "pos", value)
 
 
 def list_pieces(rows: DataFrame, key: str, value: str, size: int = 1000) -> DataFrame:

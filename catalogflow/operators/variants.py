@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions.numbering import digits
 from catalogflow.functions.text import cdata
-from catalogflow.operators.ordering import bucket_of, numbered
+from catalogflow.operators.ordering import HOT_ROWS, numbered
 
 NO_COLOR = "no_color"
 
@@ -38,14 +39,14 @@ def zip_positions(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
 
 
 def color_rows(
-    variants: DataFrame, suffix=digits, width: int = 100_000, product: str = "product_id", color: str = "color",
+    variants: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS, product: str = "product_id", color: str = "color",
 ) -> DataFrame:
     """One row per product and colour, numbered by first appearance.
 
     ``variants`` holds ``(product, color, ord)``. The rows are reduced per colour before numbering.
     """
     firsts = variants.groupBy(product, color).agg(F.min("ord").alias("first_ord"))
-    rows = numbered(firsts, [product], ["first_ord", color], bucket_of("first_ord", width))
+    rows = numbered(firsts, [product], ["first_ord", color], hot_rows=hot_rows)
     return rows.select(
         F.concat_ws("_", product, suffix(F.col("pos"))).alias("product_id"),
         F.col(product).alias("master_product_id"),
@@ -55,10 +56,10 @@ def color_rows(
 
 
 def two_levels(
-    products: DataFrame, variants: DataFrame, suffix=digits, no_color: str = "NO_COLOR", width: int = 100_000
+    products: DataFrame, variants: DataFrame, suffix=digits, no_color: str = "NO_COLOR", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Products and their colour rows; a product without colours gets one row with a marker colour."""
-    children = color_rows(variants, suffix, width)
+    children = color_rows(variants, suffix, hot_rows)
     bare = products.join(variants.select("product_id").distinct(), "product_id", "left_anti").select(
         F.concat_ws("_", "product_id", suffix(F.lit(0))).alias("product_id"),
         F.col("product_id").alias("master_product_id"),
@@ -68,7 +69,7 @@ def two_levels(
     return union_rows(level(products, 0), level(children.drop("color_pos"), 1), level(bare, 1))
 
 
-def size_rows(variants: DataFrame, colors: DataFrame, suffix=digits, width: int = 100_000) -> DataFrame:
+def size_rows(variants: DataFrame, colors: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Size rows below their colour rows, numbered in order inside the colour.
 
     ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size.
@@ -76,45 +77,51 @@ def size_rows(variants: DataFrame, colors: DataFrame, suffix=digits, width: int
     parents = colors.select(
         F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("master_product_id")
     )
-    sizes = numbered(variants, ["product_id", "color"], ["ord", "size"], bucket_of("ord", width))
+    sizes = numbered(variants, ["product_id", "color"], ["ord", "size"], hot_rows=hot_rows)
     placed = sizes.withColumnRenamed("product_id", "root_id").join(parents, ["root_id", "color"])
     return placed.withColumn("product_id", F.concat_ws("_", "master_product_id", suffix(F.col("pos")))).drop(
         "root_id", "pos", "ord", "color"
     )
 
 
-def three_levels(products: DataFrame, variants: DataFrame, suffix=digits, width: int = 100_000) -> DataFrame:
+def three_levels(products: DataFrame, variants: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Product, colour and size rows with ids ``root``, ``root_c`` and ``root_c_s``.
 
     A variant without a size keeps a null size; a variant without a colour belongs to ``no_color``.
     """
     variants = variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR)))
-    colors = color_rows(variants, suffix, width)
-    sizes = size_rows(variants, colors, suffix, width)
+    colors = color_rows(variants, suffix, hot_rows)
+    sizes = size_rows(variants, colors, suffix, hot_rows)
     level = lambda df, n: df.withColumn("level", F.lit(n))
     return union_rows(level(products, 0), level(colors.drop("color_pos"), 1), level(sizes, 2))
 
 
-def record_levels(items: DataFrame, records: str, suffix=digits, no_color: str = NO_COLOR) -> DataFrame:
-    """Colour and size rows of products whose variant records sit in one array of ``struct(color, size, ...)``.
+def record_levels(
+    root_id: Column, records: Column, fields: Sequence[str], suffix=digits, no_color: str = NO_COLOR
+) -> Column:
+    """Colour and size rows of a product whose variant records sit in one array of ``struct(color, fields...)``.
 
-    A page's records never leave its row, so colours keep the order of the page and nothing is shuffled.
+    The result is one array of structs for ``inline``: a page's records never leave its row, so colours keep the
+    order of the page and nothing is shuffled.
     """
-    colors = F.array_distinct(F.transform(records, lambda r: F.coalesce(r.color, F.lit(no_color))))
-    placed = items.where(F.size(records) > 0).select(
-        F.col("product_id").alias("root_id"), F.col(records).alias("_records"), F.posexplode(colors).alias("pos", "color")
-    ).withColumn("color_id", F.concat_ws("_", "root_id", suffix(F.col("pos"))))
-    color_level = placed.select(
-        F.col("color_id").alias("product_id"), F.col("root_id").alias("master_product_id"), "color",
-        F.lit(1).alias("level"),
-    )
-    own = F.filter("_records", lambda r: F.coalesce(r.color, F.lit(no_color)) == F.col("color"))
-    sizes = placed.select("color_id", F.posexplode(own).alias("pos", "record"))
-    size_level = sizes.select(
-        F.concat_ws("_", "color_id", suffix(F.col("pos"))).alias("product_id"),
-        F.col("color_id").alias("master_product_id"), "record.*", F.lit(2).alias("level"),
-    ).drop("color")
-    return union_rows(color_level, size_level)
+    color_of = lambda r: F.coalesce(r["color"], F.lit(no_color))
+
+    def row(product_id, master, color, level, record=None):
+        details = [(record[f] if record is not None else F.lit(None).cast("string")).alias(f) for f in fields]
+        return F.struct(
+            product_id.alias("product_id"), master.alias("master_product_id"), color.alias("color"), F.lit(level).alias("level"), *details
+        )
+
+    def color_id(i):
+        return F.concat_ws("_", root_id, suffix(i))
+
+    def sizes(color, i):
+        own = F.filter(records, lambda r: color_of(r) == color)
+        none = F.lit(None).cast("string")
+        return F.transform(own, lambda r, j: row(F.concat_ws("_", color_id(i), suffix(j)), color_id(i), none, 2, r))
+
+    colors = F.array_distinct(F.transform(records, color_of))
+    return F.concat(F.transform(colors, lambda c, i: row(color_id(i), root_id, c, 1)), F.flatten(F.transform(colors, sizes)))
 
 
 def cross_sell(blocks: Column, product_base: str) -> Column:

@@ -13,8 +13,6 @@ from catalogflow.plans.profile import SiteProfile
 from catalogflow.session import staged
 from catalogflow.sources import feed_store, ledger_store, reports
 
-MATCHED = ("catalog_id", "ord", "product_id", "name", "url")
-
 
 @dataclass(frozen=True)
 class RunTables:
@@ -29,71 +27,84 @@ class RunTables:
 
 
 def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> DataFrame:
-    """One row per fetched catalogue page: outcome and item, up to the error cut-off.
+    """One row per fetched catalogue page: its item and its outcome code.
 
     ``catalog`` holds ``(catalog_id, ord, product_id, name, url)`` and ``fetched`` holds
-    ``(requested_url, final_url, http_status, html)``. Extraction happens here, once, and the page text ends here.
+    ``(requested_url, final_url, http_status, html)``. Fields are extracted where the page is read, so page texts are
+    never shuffled; only the items meet the catalogue.
     """
-    rows = cat.first_by_id(catalog, scope=("catalog_id",))
-    listed, _ = cat.split_by_url(rows, profile.url_rule)
-    listed = listed.select(*[F.col(c).alias(f"sheet_{c}") if c == "name" else F.col(c) for c in MATCHED])
-    pages = matching.match_first(fetched, listed)
     html = F.col("html")
-    item = {name: f(html) for name, f in profile.fields.items()}
-    records = profile.variants(html) if profile.variants else F.lit(None).cast("array<struct<color:string>>")
-    images = profile.images(html) if profile.images else F.lit(None).cast("array<string>")
-    items = pages.select(
-        "catalog_id", "ord", "product_id", "sheet_name", F.col("requested_url").alias("url"), "final_url", "http_status",
-        F.array(*[html.contains(m) for m in profile.unavailable]).cast("array<boolean>").alias("_gone"),
-        html.isNull().alias("_empty"), *[c.alias(name) for name, c in item.items()],
-        records.alias("_records"), images.alias("image_urls"),
+    gone = F.lit(False)
+    for marker in profile.unavailable:
+        gone = gone | html.contains(marker)
+    items = fetched.select(
+        "requested_url", "final_url", "http_status", F.when(html.isNotNull(), F.when(gone, "gone").otherwise("")).alias("_page"),
+        *[f(html).alias(name) for name, f in profile.fields.items()],
+        (profile.variants(html) if profile.variants else F.lit(None).cast("array<struct<color:string>>")).alias("_records"),
+        (profile.images(html) if profile.images else F.lit(None).cast("array<string>")).alias("image_urls"),
     )
     missing = F.lit(False)
     for name in profile.required:
         missing = missing | F.col(name).isNull()
-    gone = F.exists("_gone", lambda g: g)
-    page = F.when(~F.col("_empty"), F.when(gone, "gone").otherwise("ok"))
     code = outcome.outcome_code(
-        F.col("url"), F.col("final_url"), F.col("http_status"), page, ("gone",), F.when(missing, "missing field"))
-    coded = items.withColumn("code", code).drop("_gone", "_empty", "final_url", "http_status")
-    return outcome.cut_off(coded, max_errors=profile.max_errors)
+        F.col("requested_url"), F.col("final_url"), F.col("http_status"), F.col("_page"), ("gone",), F.when(missing, "missing field"))
+    coded = items.withColumn("code", code).drop("_page", "final_url", "http_status")
+    listed = catalog_with_url(profile, catalog).select(
+        "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url")
+    return matching.match_first(coded, listed).withColumnRenamed("requested_url", "url")
+
+
+def staged_pages(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, label: str) -> DataFrame:
+    """Processed pages up to the error cut-off, written once to the shared folder since every output reads them."""
+    pages = staged(processed(profile, catalog, fetched), f"{profile.name}-{label}/pages")
+    return outcome.cut_off(pages, max_errors=profile.max_errors)
 
 
 def tables(
     profile: SiteProfile, catalog: DataFrame, pages: DataFrame, known: DataFrame, stored: DataFrame | None = None,
     run_date=None,
 ) -> RunTables:
-    """Derive every output of a run from its processed pages.
-
-    ``pages`` is the result of :func:`processed`, staged by :func:`run` since six outputs read it.
-    """
+    """Derive every output of a run from :func:`staged_pages` and the known ledger rows."""
     fields = [f for f in profile.fields if f != "product_id"]
-    fine = pages.where(F.col("code").isNull())
-    products = fine.select("product_id", *fields, F.lit("IN_STOCK").alias("in_stock"), "_records", F.lit(0).alias("level"))
-    levels = record_levels(products, "_records", profile.suffix)
-    absent = pages.where(F.col("code") == outcome.NOT_AVAILABLE).select(
-        "product_id", F.col("sheet_name").alias("name"), F.lit("NOT_AVAILABLE").alias("in_stock"))
-    _, unlisted = cat.split_by_url(cat.first_by_id(catalog, scope=("catalog_id",)), profile.url_rule)
-    updates = union_rows(products.drop("_records"), levels, absent, cat.placeholders(unlisted))
+    updates = _updates(profile, catalog, pages, fields)
     _, current = feed.update_and_delete(updates)
     changed = ledger.changes(known, ledger.id_rows(current))
 
     counts = outcome.counters(pages, max_errors=profile.max_errors)
     done = outcome.completeness(pages, catalog_with_url(profile, catalog)).withColumnRenamed("message", "progress")
-    text = F.concat_ws("\n\n", "progress", F.when(F.col("scraped_now"), outcome.report_message(profile.max_errors)))
-    report = done.drop("scraped").join(counts.withColumn("scraped_now", F.lit(True)), "catalog_id", "left").withColumn("message", text)
+    joined = done.drop("scraped").join(counts, "catalog_id", "left")
+    text = F.when(F.col("scraped").isNotNull(), outcome.report_message(profile.max_errors))
+    report = joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
 
     new = pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
-    statuses = _statuses(catalog, new, unlisted)
+    statuses = _statuses(catalog, new, catalog_without_url(profile, catalog))
 
-    wanted = fine.select("product_id", F.explode("image_urls").alias("url"))
+    wanted = pages.where(F.col("code").isNull()).select("product_id", F.explode("image_urls").alias("url"))
     images = assets.manifest(wanted, profile.thumbs, profile.asset_name)
     if stored is not None:
         images = assets.stale(images, stored, run_date if run_date is not None else F.current_date(), profile.image_days)
-    return RunTables(
-        updates, feed.delete_list(current, ledger.gone(changed)), ledger.added(changed), statuses,
-        report.drop("scraped_now"), images,
+    return RunTables(updates, feed.delete_list(current, ledger.gone(changed)), ledger.added(changed), statuses, report, images)
+
+
+def _updates(profile: SiteProfile, catalog: DataFrame, pages: DataFrame, fields: list[str]) -> DataFrame:
+    """Product, colour and size rows of the pages, and placeholders for catalogue rows without a URL."""
+    record = pages.schema["_records"].dataType.elementType
+    details = [f.name for f in record if f.name != "color"]
+    fine = F.col("code").isNull()
+    products = pages.where(fine | (F.col("code") == outcome.NOT_AVAILABLE)).select(
+        "product_id", *[F.when(fine, F.col(f)).alias(f) if f != "name" else
+                        F.when(fine, F.col("name")).otherwise(F.col("sheet_name")).alias("name") for f in fields],
+        outcome.stock_of(F.col("code")).alias("in_stock"), F.when(fine, F.col("_records")).alias("_records"),
     )
+    main = products.drop("_records").withColumn("level", F.lit(0))
+    levels = products.where(F.size("_records") > 0).select(
+        F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
+    return union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
+
+
+def catalog_without_url(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
+    """Catalogue rows that name no page to fetch."""
+    return cat.split_by_url(cat.first_by_id(catalog, scope=("catalog_id",)), profile.url_rule)[1]
 
 
 def catalog_with_url(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
@@ -118,7 +129,7 @@ def run(
     Repeating a run id replaces what its earlier attempt wrote.
     """
     spark = catalog.sparkSession
-    pages = staged(processed(profile, catalog, fetched), f"{profile.name}-{run_id}/pages")
+    pages = staged_pages(profile, catalog, fetched, run_id)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
     result = tables(profile, catalog, pages, known, stored)
     declared = feed.properties_table(spark, profile.properties)

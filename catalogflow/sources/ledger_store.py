@@ -16,11 +16,17 @@ def bucket(root: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.hash(root), F.lit(buckets))
 
 
-def read_ledger(spark: SparkSession, path: str, skip_run: str | None = None) -> DataFrame:
-    """Ledger rows; an absent ledger is empty. ``skip_run`` hides what an earlier attempt of the run wrote."""
+def read_ledger(spark: SparkSession, path: str, skip_run: str | None = None, roots: DataFrame | None = None) -> DataFrame:
+    """Ledger rows; an absent ledger is empty. ``skip_run`` hides what an earlier attempt of the run wrote.
+
+    With ``roots(root_id)`` only the buckets they fall in are read (their numbers, at most ``BUCKETS``, are collected).
+    """
     rows = read_or_empty(spark, path, SCHEMA)
     if skip_run is not None:
         rows = rows.where(F.col("run") != skip_run)
+    if roots is not None:
+        touched = [r[0] for r in roots.select(bucket(F.col("root_id"))).distinct().collect()]
+        rows = rows.where(F.col("bucket").isin(touched)) if len(touched) < BUCKETS else rows
     return rows.select("root_id", "variant_id")
 
 

@@ -1,15 +1,15 @@
 """Process pages as they arrive, with the functions of a batch run.
 
-The reference behaviour is one callback per page. Here each micro-batch of fetched pages is matched and extracted
+Each micro-batch of fetched pages is matched and extracted
 like a batch run; statuses, cut-off, ledger and report need the whole run and are derived from the written items.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from catalogflow.operators.outcome import cut_off
 from catalogflow.plans.profile import SiteProfile
 from catalogflow.plans.site_run import processed
 
@@ -20,11 +20,8 @@ def start(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str
 
     A repeated batch id overwrites its own folder, so a restart neither loses nor repeats pages.
     """
-    whole = SiteProfile(**{**profile.__dict__, "max_errors": 2**31 - 1})  # the cut-off belongs to the whole run
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = processed(whole, catalog, batch).drop("aborted")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/batch={batch_id}")
+        processed(profile, catalog, batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/batch={batch_id}")
 
     writer = fetched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -32,6 +29,4 @@ def start(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str
 
 def finish(profile: SiteProfile, spark, out: str) -> DataFrame:
     """Processed pages of all batches up to the error cut-off, as :func:`site_run.tables` expects them."""
-    from catalogflow.operators.outcome import cut_off
-
     return cut_off(spark.read.parquet(out).drop("batch"), max_errors=profile.max_errors)

@@ -157,7 +157,7 @@ def _(t):
         (F.lit(1_000_000_000).cast("bigint") - F.col("page_id")).alias("ord"), host.alias("url"),
         F.concat(F.lit("r"), F.col("page_id").cast("string")).alias("product_id"),
     )
-    return matching.match_nth(fetched, catalog, width=64)
+    return matching.match_nth(fetched, catalog)
 
 
 def shipped_parts(t):
@@ -283,7 +283,7 @@ def _(t):
            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS ord
     FROM orders QUALIFY ord < 2""")
 def _(t):
-    from catalogflow.operators.ordering import bucket_of, numbered
+    from catalogflow.operators.ordering import numbered
 
     rows = t.orders.select(F.col("o_custkey").alias("catalog_id"), F.col("o_orderkey").alias("id"))
-    return cat.trial(numbered(rows, ["catalog_id"], ["id"], bucket_of("id"), "ord"), 2)
+    return cat.trial(numbered(rows, ["catalog_id"], ["id"], "ord"), 2)

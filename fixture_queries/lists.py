@@ -10,10 +10,10 @@ _LIST_SQL = f"""
     FROM lineitem"""
 
 
-def supplier_lists(t, width=2_000):
+def supplier_lists(t):
     """Suppliers of each part in the order of its lines, repeats kept."""
     return ordering.numbered(
-        t.lineitem.select("l_partkey", *LINE_ORDER), ["l_partkey"], LINE_ORDER, ordering.bucket_of("l_orderkey", width)
+        t.lineitem.select("l_partkey", *LINE_ORDER), ["l_partkey"], LINE_ORDER
     ).select("l_partkey", "pos", "l_suppkey")
 
 

@@ -40,7 +40,7 @@ def sizes(t):
            's' || l_suppkey AS color, pos AS color_pos
     FROM c""")
 def _(t):
-    return variants.color_rows(colors(t), letters, width=4_000)
+    return variants.color_rows(colors(t), letters)
 
 
 @query("hr_01_two_levels", f"""
@@ -53,7 +53,7 @@ def _(t):
     UNION ALL SELECT s_name, NULL, NULL, NULL, 0 FROM supplier""")
 def _(t):
     bare = t.supplier.select(F.col("s_name").alias("product_id"), F.lit(None).cast("string").alias("name"))
-    return variants.two_levels(products(t).unionByName(bare), colors(t), width=4_000)
+    return variants.two_levels(products(t).unionByName(bare), colors(t))
 
 
 @query("hr_02_three_levels", f"""
@@ -71,7 +71,7 @@ def _(t):
            l_partkey || '_' || {_LETTER.format('pos')}, NULL, size, 2
     FROM z JOIN c USING (l_partkey, l_suppkey)""")
 def _(t):
-    return variants.three_levels(products(t), sizes(t), letters, width=4_000)
+    return variants.three_levels(products(t), sizes(t), letters)
 
 
 @query("jn_05_join_options", """
