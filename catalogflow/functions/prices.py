@@ -10,7 +10,7 @@ from catalogflow.functions.text import cut, first_between
 
 def price_text(c: Column, keep_comma: bool = True) -> Column:
     """Only the digits and separators of a price text."""
-    return F.regexp_replace(c, "[^0-9,.]" if keep_comma else "[^0-9.]", "")
+    return F.regexp_replace(c, "[^0-9,.]+" if keep_comma else "[^0-9.]+", "")
 
 
 def price_text_each(values: Column, keep_comma: bool = False) -> Column:

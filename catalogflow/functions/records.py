@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalogflow.functions.text import literal_pattern
+
+
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often a lambda inside reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
 def loose_json(c: Column, schema: str) -> Column:
     """Parse an object literal whose field names may lack quotes; null when malformed."""
@@ -38,14 +47,16 @@ def strided(c: Column, stride: int, picks: dict[str, int], start: int = 0, separ
 
     The result is an array of structs; an offset past the end gives null.
     """
-    values = F.split(c, "\\Q" + separator + "\\E")
-    count = F.size(values)
-    starts = F.when(count > start, F.sequence(F.lit(start), count - 1, F.lit(stride))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(
-        starts, lambda i: F.struct(*[F.get(values, i + offset).alias(name) for name, offset in picks.items()])
-    )
+    none = F.array().cast("array<int>")
+
+    def records(values: Column) -> Column:
+        starts = F.when(F.size(values) > start, F.sequence(F.lit(start), F.size(values) - 1, F.lit(stride)))
+        return F.transform(
+            F.coalesce(starts, none),
+            lambda i: F.struct(*[F.get(values, i + offset).alias(name) for name, offset in picks.items()]),
+        )
+
+    return with_value(F.split(c, literal_pattern(separator)), records)
 
 
 def zip_lists(**lists: Column) -> Column:

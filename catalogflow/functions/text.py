@@ -12,7 +12,7 @@ _ALL = 1_000_000_000  # "to the end" for slice(); no text holds more pieces than
 
 def literal_pattern(text: str) -> str:
     """A Java pattern that matches ``text`` exactly, for functions that take a pattern."""
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return "".join("\\" + c if c in "\\^$.|?*+()[]{}" else c for c in text)
 
 
 def strip_breaks(c: Column) -> Column:
@@ -23,7 +23,7 @@ def strip_breaks(c: Column) -> Column:
 def squeeze(c: Column, drop_spaces: bool = False) -> Column:
     """Remove line breaks, tabs and single quotes; collapse runs of spaces, or drop every space."""
     flat = strip_breaks(c)
-    flat = F.replace(flat, F.lit(" "), F.lit("")) if drop_spaces else F.regexp_replace(flat, " +", " ")
+    flat = F.replace(flat, F.lit(" "), F.lit("")) if drop_spaces else F.regexp_replace(flat, " {2,}", " ")
     return F.replace(flat, F.lit("'"), F.lit(""))
 
 

@@ -69,31 +69,31 @@ def two_levels(
     return union_rows(level(products, 0), level(children.drop("color_pos"), 1), level(bare, 1))
 
 
-def size_rows(variants: DataFrame, colors: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Size rows below their colour rows, numbered in order inside the colour.
-
-    ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size.
-    """
-    parents = colors.select(
-        F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("master_product_id")
-    )
-    sizes = numbered(variants, ["product_id", "color"], ["ord", "size"], hot_rows=hot_rows)
-    placed = sizes.withColumnRenamed("product_id", "root_id").join(parents, ["root_id", "color"])
-    return placed.withColumn("product_id", F.concat_ws("_", "master_product_id", suffix(F.col("pos")))).drop(
-        "root_id", "pos", "ord", "color"
-    )
-
-
 def three_levels(products: DataFrame, variants: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Product, colour and size rows with ids ``root``, ``root_c`` and ``root_c_s``.
 
-    A variant without a size keeps a null size; a variant without a colour belongs to ``no_color``.
+    ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size. A variant without a size
+    keeps a null size; one without a colour belongs to ``no_color``. The first size of a colour also yields the colour's row.
     """
     variants = variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR)))
-    colors = color_rows(variants, suffix, hot_rows)
-    sizes = size_rows(variants, colors, suffix, hot_rows)
-    level = lambda df, n: df.withColumn("level", F.lit(n))
-    return union_rows(level(products, 0), level(colors.drop("color_pos"), 1), level(sizes, 2))
+    details = [c for c in variants.columns if c not in ("product_id", "color", "ord")]
+    colors = color_rows(variants, suffix, hot_rows).select(
+        F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("color_id"))
+    sizes = numbered(variants, ["product_id", "color"], ["ord", *details], hot_rows=hot_rows)
+    placed = sizes.withColumnRenamed("product_id", "root_id").join(colors, ["root_id", "color"])
+    none = {c: F.lit(None).cast(variants.schema[c].dataType) for c in ["color", *details]}
+
+    def row(product_id, master, level, **values):
+        return F.struct(
+            product_id.alias("product_id"), master.alias("master_product_id"), F.lit(level).alias("level"),
+            *[values.get(c, empty).alias(c) for c, empty in none.items()],
+        )
+
+    color = row(F.col("color_id"), F.col("root_id"), 1, color=F.col("color"))
+    size_id = F.concat_ws("_", "color_id", suffix(F.col("pos")))
+    size = row(size_id, F.col("color_id"), 2, **{c: F.col(c) for c in details})
+    below = placed.select(F.inline(F.when(F.col("pos") == 0, F.array(color, size)).otherwise(F.array(size))))
+    return union_rows(products.withColumn("level", F.lit(0)), below)
 
 
 def record_levels(

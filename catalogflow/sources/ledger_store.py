@@ -16,27 +16,28 @@ def bucket(root: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.hash(root), F.lit(buckets))
 
 
-def read_ledger(spark: SparkSession, path: str, skip_run: str | None = None, roots: DataFrame | None = None) -> DataFrame:
+def read_ledger(spark: SparkSession, path: str, skip_run: str | None = None, roots: DataFrame | None = None,
+                buckets: int = BUCKETS) -> DataFrame:
     """Ledger rows; an absent ledger is empty. ``skip_run`` hides what an earlier attempt of the run wrote.
 
-    With ``roots(root_id)`` only the buckets they fall in are read (their numbers, at most ``BUCKETS``, are collected).
+    With ``roots(root_id)`` only the buckets they fall in are read (their numbers, at most ``buckets``, are collected).
     """
     rows = read_or_empty(spark, path, SCHEMA)
     if skip_run is not None:
         rows = rows.where(F.col("run") != skip_run)
     if roots is not None:
-        touched = [r[0] for r in roots.select(bucket(F.col("root_id"))).distinct().collect()]
-        rows = rows.where(F.col("bucket").isin(touched)) if len(touched) < BUCKETS else rows
+        touched = [r[0] for r in roots.select(bucket(F.col("root_id"), buckets)).distinct().collect()]
+        rows = rows.where(F.col("bucket").isin(touched)) if len(touched) < buckets else rows
     return rows.select("root_id", "variant_id")
 
 
-def append_ledger(added: DataFrame, path: str, run: str, files_per_bucket: int = 4) -> None:
+def append_ledger(added: DataFrame, path: str, run: str, buckets: int = BUCKETS, files_per_bucket: int = 4) -> None:
     """Write the rows a run adds. Repeating the run replaces its own folder and nothing else.
 
     Rows of one bucket go to several tasks, so a root with very many ids does not end in one.
     """
     spread = F.pmod(F.hash("variant_id"), F.lit(files_per_bucket))
-    rows = added.select("root_id", "variant_id", bucket(F.col("root_id")).alias("bucket"))
+    rows = added.select("root_id", "variant_id", bucket(F.col("root_id"), buckets).alias("bucket"))
     (
         rows.repartition("bucket", spread)
         .sortWithinPartitions("bucket", "root_id", "variant_id")
