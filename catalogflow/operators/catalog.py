@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.ordering import first_rows
 
 # The placeholder that stands for a missing URL, and the URL schemes a sheet may hold.
@@ -73,7 +74,7 @@ def backfill_urls(
     blank = F.lit(True) if every_row else F.coalesce(F.col("url"), F.lit("")) == ""
     kept = [c for c in catalog.columns if c != "url"]
     links = lookup.groupBy(key).agg(F.min("url").alias("_url"))
-    sought = catalog.where(blank).drop("url").join(links, key, "left").select(
+    sought = join_reduced(catalog.where(blank).drop("url"), links, [key], "left").select(
         *kept, F.coalesce("_url", F.lit("")).alias("url"), F.lit(True).alias("sought"), F.col("_url").isNotNull().alias("found")
     )
     filled = catalog.where(~blank).select(*kept, "url", F.lit(False).alias("sought"), F.lit(False).alias("found"))

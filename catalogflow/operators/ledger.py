@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.operators.joins import join_reduced
+
 
 def root_id(variant_id: Column) -> Column:
     """Root of a variant id: the text before its first underscore."""
@@ -27,7 +29,7 @@ def changes(ledger: DataFrame, current: DataFrame) -> DataFrame:
     The comparison is keyed by root and id, so a large root is spread.
     """
     now = current.select("root_id", "variant_id").distinct()
-    known = ledger.select("root_id", "variant_id").join(now.select("root_id").distinct(), "root_id", "left_semi")
+    known = join_reduced(ledger.select("root_id", "variant_id"), now.select("root_id").distinct(), ["root_id"], "left_semi")
     both = known.withColumn("_old", F.lit(True)).join(
         now.withColumn("_new", F.lit(True)), ["root_id", "variant_id"], "full"
     )

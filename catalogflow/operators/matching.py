@@ -1,7 +1,7 @@
 """Joins between catalogue rows, fetched pages and vendor feeds.
 
 The catalogue side is cut to one row per join key before it is shuffled, so no key multiplies. Whether a
-side is broadcast is left to Spark's size check, and a hot key on the page side is split by the skew join.
+side is broadcast is left to Spark's size check, and a hot key on the page side is split (see ``joins``).
 """
 
 from __future__ import annotations
@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.ordering import HOT_ROWS, first_rows, numbered
 
 
 def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", url: str = "url") -> DataFrame:
     """Each page with the first catalogue row that has its requested URL."""
-    rows = first_rows(catalog, [url], ["ord"]).withColumnRenamed(url, "_url")
-    return pages.join(rows, F.col(page_url) == F.col("_url")).drop("_url")
+    rows = first_rows(catalog, [url], ["ord"]).withColumnRenamed(url, page_url)
+    return join_reduced(pages, rows, [page_url])
 
 
 def match_nth(
@@ -41,20 +42,20 @@ def id_mismatches(matched: DataFrame, sheet_id: str, site_id: str) -> DataFrame:
 def in_catalog(feed: DataFrame, catalog: DataFrame, key: str, catalog_key: str = "product_id") -> DataFrame:
     """Feed records whose id the catalogue lists."""
     wanted = catalog.select(F.col(catalog_key).alias(key)).distinct()
-    return feed.join(wanted, key, "left_semi")
+    return join_reduced(feed, wanted, [key], "left_semi")
 
 
 def not_in_feed(catalog: DataFrame, feed: DataFrame, key: str, catalog_key: str = "product_id") -> DataFrame:
     """Catalogue rows whose id the feed lacks, with status ``not_found``."""
     offered = feed.select(F.col(key).alias(catalog_key)).distinct()
-    return catalog.join(offered, catalog_key, "left_anti").withColumn("status", F.lit("not_found"))
+    return join_reduced(catalog, offered, [catalog_key], "left_anti").withColumn("status", F.lit("not_found"))
 
 
 def feed_status(catalog: DataFrame, feed: DataFrame, key: str, catalog_key: str = "product_id") -> DataFrame:
     """Every catalogue row with ``ran`` or ``not_found``, from one join."""
     offered = feed.select(F.col(key).alias(catalog_key)).distinct().withColumn("_found", F.lit(True))
     return (
-        catalog.join(offered, catalog_key, "left")
+        join_reduced(catalog, offered, [catalog_key], "left")
         .withColumn("status", F.when(F.col("_found"), "ran").otherwise("not_found"))
         .drop("_found")
     )
@@ -71,4 +72,4 @@ def match_ratio(status: DataFrame, *scope: str) -> DataFrame:
 
 def first_match(rows: DataFrame, table: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """Left join to a lookup table cut to its first row per key in the given order."""
-    return rows.join(first_rows(table, keys, order), keys, "left")
+    return join_reduced(rows, first_rows(table, keys, order), keys, "left")

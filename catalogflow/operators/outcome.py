@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators.catalog import NO_URL
+from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.ordering import first_rows
 
 # Outcome codes, the status written for each, and the codes' names in reports.
@@ -66,7 +67,7 @@ def cut_off(
         .where(F.col("_errors") > max_errors)
         .drop("_errors")
     )
-    joined = outcomes.join(last, catalog, "left")
+    joined = join_reduced(outcomes, last, [catalog], "left")
     kept = joined.where(F.col("_last").isNull() | (F.col(order) <= F.col("_last")))
     return kept.withColumn("aborted", F.col("_last").isNotNull()).drop("_last")
 
@@ -83,7 +84,7 @@ def update_status(catalog: DataFrame, outcomes: DataFrame, without_url: DataFram
         forced = F.struct(F.lit(1).alias("late"), F.lit(0).cast("bigint").alias("ord"), F.lit("no_url").alias("status"))
         new = new.unionByName(without_url.select(key, forced.alias("_new")))
     first = new.groupBy(key).agg(F.min("_new").alias("_new"))
-    joined = catalog.join(first, key, "left")
+    joined = join_reduced(catalog, first, [key], "left")
     status = F.coalesce(F.col("_new.status"), F.col("status"))
     return joined.select(
         *[c for c in catalog.columns if c != "status"],

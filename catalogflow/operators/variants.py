@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions.numbering import digits
 from catalogflow.functions.text import cdata
+from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.ordering import HOT_ROWS, numbered
 
 NO_COLOR = "no_color"
@@ -23,14 +24,14 @@ def union_rows(*frames: DataFrame) -> DataFrame:
 def join_options(sizes: DataFrame, colors: DataFrame, on: list[str]) -> DataFrame:
     """Size options with the colour that has their colour id; each colour counts once, and first."""
     first = colors.groupBy(*on).agg(F.min(F.struct("ord", "color")).alias("_first"))
-    return sizes.join(first, on).withColumn("color", F.col("_first.color")).drop("_first")
+    return join_reduced(sizes, first, on).withColumn("color", F.col("_first.color")).drop("_first")
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: list[str], value: str, keep: str = "last") -> DataFrame:
     """Left join to a key → value table in which a repeated key keeps its last (or first) value by ``ord``."""
     pick = F.max if keep == "last" else F.min
     values = table.groupBy(*on).agg(pick(F.struct("ord", value)).alias("_pick"))
-    return rows.join(values, on, "left").withColumn(value, F.col(f"_pick.{value}")).drop("_pick")
+    return join_reduced(rows, values, on, "left").withColumn(value, F.col(f"_pick.{value}")).drop("_pick")
 
 
 def zip_positions(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -38,9 +38,9 @@ def rows(table) -> list[tuple]:
     return sorted(zip(*columns, strict=True))
 
 
-def mismatch(spark, con, folder: str, name: str) -> str | None:
-    """What differs between a query and its SQL, or nothing."""
-    ours, theirs = QUERIES[name](spark, folder).toArrow(), con.execute(ORACLE[name]).to_arrow_table()
+def mismatch(df, con, name: str) -> str | None:
+    """What differs between the result of a query and its SQL, or nothing."""
+    ours, theirs = df.toArrow(), con.sql(ORACLE[name]).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} against {sorted(theirs.column_names)}"
     kinds = [(n, str(ours.schema.field(n).type), str(theirs.schema.field(n).type)) for n in ours.column_names]
@@ -68,7 +68,7 @@ if __name__ == "__main__":
     for name in chosen:
         start = time.time()
         try:
-            problem = mismatch(spark, con, folder, name) if name in ORACLE else f"no SQL, {QUERIES[name](spark, folder).count()} rows"
+            problem = mismatch(QUERIES[name](spark, folder), con, name) if name in ORACLE else f"no SQL, {QUERIES[name](spark, folder).count()} rows"
         except Exception as e:  # noqa: BLE001
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         bad += problem is not None
