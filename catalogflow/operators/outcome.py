@@ -50,26 +50,29 @@ def stock_of(code: Column) -> Column:
     return F.when(code.isNull(), "IN_STOCK").otherwise("NOT_AVAILABLE")
 
 
-def cut_off(
-    outcomes: DataFrame, catalog: str = "catalog_id", order: str = "ord", code: str = "code",
-    max_errors: int = MAX_ERRORS,
+def error_limits(
+    outcomes: DataFrame, catalog: str = "catalog_id", order: str = "ord", code: str = "code", max_errors: int = MAX_ERRORS
 ) -> DataFrame:
-    """Rows of each catalogue up to its ``max_errors + 1``-th unhandled error, and whether it was aborted.
+    """Position of the ``max_errors + 1``-th unhandled error of each catalogue that has so many.
 
-    Only that one row per catalogue is looked up: the search keeps at most ``max_errors + 1`` errors per
-    catalogue and task before its shuffle.
+    At most ``max_errors + 1`` errors per catalogue and task are shuffled.
     """
     errors = outcomes.where(F.col(code) == UNHANDLED).select(catalog, order)
-    last = (
-        first_rows(errors, [catalog], [order], max_errors + 1)
-        .groupBy(catalog)
-        .agg(F.max(order).alias("_last"), F.count("*").alias("_errors"))
-        .where(F.col("_errors") > max_errors)
-        .drop("_errors")
-    )
-    joined = join_reduced(outcomes, last, [catalog], "left")
-    kept = joined.where(F.col("_last").isNull() | (F.col(order) <= F.col("_last")))
-    return kept.withColumn("aborted", F.col("_last").isNotNull()).drop("_last")
+    first = first_rows(errors, [catalog], [order], max_errors + 1)
+    last = first.groupBy(catalog).agg(F.max(order).alias("last_ord"), F.count("*").alias("_errors"))
+    return last.where(F.col("_errors") > max_errors).drop("_errors")
+
+
+def cut_off(
+    outcomes: DataFrame, limits: DataFrame | None = None, catalog: str = "catalog_id", order: str = "ord",
+    max_errors: int = MAX_ERRORS,
+) -> DataFrame:
+    """Rows of each catalogue up to its error limit, and whether it was aborted there."""
+    if limits is None:
+        limits = error_limits(outcomes, catalog, order, max_errors=max_errors)
+    joined = join_reduced(outcomes, limits, [catalog], "left")
+    kept = joined.where(F.col("last_ord").isNull() | (F.col(order) <= F.col("last_ord")))
+    return kept.withColumn("aborted", F.col("last_ord").isNotNull()).drop("last_ord")
 
 
 def update_status(catalog: DataFrame, outcomes: DataFrame, without_url: DataFrame | None = None,

@@ -56,19 +56,32 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
 
 def staged_pages(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, label: str) -> DataFrame:
     """Processed pages up to the error cut-off, written once to the shared folder since every output reads them."""
-    pages = staged(processed(profile, catalog, fetched), f"{profile.name}-{label}/pages")
-    return outcome.cut_off(pages, max_errors=profile.max_errors)
+    return limited(profile, staged(processed(profile, catalog, fetched), f"{profile.name}-{label}/pages"), label)
+
+
+def limited(profile: SiteProfile, pages: DataFrame, label: str) -> DataFrame:
+    """Written pages up to the error cut-off.
+
+    The limits are written too: their file size tells Spark whether to broadcast them, before any page is shuffled.
+    """
+    limits = staged(outcome.error_limits(pages, max_errors=profile.max_errors), f"{profile.name}-{label}/limits")
+    return outcome.cut_off(pages, limits, max_errors=profile.max_errors)
 
 
 def tables(
     profile: SiteProfile, catalog: DataFrame, pages: DataFrame, known: DataFrame, stored: DataFrame | None = None,
-    run_date=None,
+    run_date=None, label: str | None = None,
 ) -> RunTables:
-    """Derive every output of a run from :func:`staged_pages` and the known ledger rows."""
+    """Derive every output of a run from :func:`staged_pages` and the known ledger rows.
+
+    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well.
+    """
     fields = [f for f in profile.fields if f != "product_id"]
     updates = _updates(profile, catalog, pages, fields)
     _, current = feed.update_and_delete(updates)
     changed = ledger.changes(known, ledger.id_rows(current))
+    if label is not None:
+        changed = staged(changed, f"{profile.name}-{label}/ledger-changes")
 
     counts = outcome.counters(pages, max_errors=profile.max_errors)
     done = outcome.completeness(pages, catalog_with_url(profile, catalog)).withColumnRenamed("message", "progress")
@@ -122,7 +135,7 @@ def _statuses(catalog: DataFrame, new: DataFrame, unlisted: DataFrame) -> DataFr
 
 def run(
     profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str, run_id: str, stored: DataFrame | None = None,
-    fmt: str = "parquet",
+    fmt: str = "parquet", ledger_buckets: int = ledger_store.BUCKETS,
 ) -> RunTables:
     """Run a site and write its feed version, ledger additions and reports below ``out``.
 
@@ -131,9 +144,9 @@ def run(
     spark = catalog.sparkSession
     pages = staged_pages(profile, catalog, fetched, run_id)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
-    result = tables(profile, catalog, pages, known, stored)
+    result = tables(profile, catalog, pages, known, stored, label=run_id)
     declared = feed.properties_table(spark, profile.properties)
     feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt)
-    ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id)
+    ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)
     reports.write_reports(result.report, f"{out}/reports")
     return result

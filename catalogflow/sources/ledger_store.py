@@ -46,9 +46,9 @@ def append_ledger(added: DataFrame, path: str, run: str, buckets: int = BUCKETS,
     )
 
 
-def compact(ledger: DataFrame, new_path: str, run: str) -> None:
+def compact(ledger: DataFrame, new_path: str, run: str, buckets: int = BUCKETS) -> None:
     """Write a whole ledger to a new place as one run."""
-    append_ledger(ledger, new_path, run)
+    append_ledger(ledger, new_path, run, buckets)
 
 
 def import_json(documents: DataFrame, column: str = "value") -> DataFrame:

@@ -1,17 +1,16 @@
 """Process pages as they arrive, with the functions of a batch run.
 
-Each micro-batch of fetched pages is matched and extracted
-like a batch run; statuses, cut-off, ledger and report need the whole run and are derived from the written items.
+Each micro-batch of fetched pages is extracted and matched like a batch run. The cut-off, statuses, ledger and report
+need the whole run and are derived from the written pages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from catalogflow.operators.outcome import cut_off
 from catalogflow.plans.profile import SiteProfile
-from catalogflow.plans.site_run import processed
+from catalogflow.plans.site_run import limited, processed
 
 
 def start(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str, checkpoint: str,
@@ -20,13 +19,15 @@ def start(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str
 
     A repeated batch id overwrites its own folder, so a restart neither loses nor repeats pages.
     """
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        processed(profile, catalog, batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/batch={batch_id}")
+        rows = processed(profile, catalog, batch)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/batch={batch_id}")
 
     writer = fetched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def finish(profile: SiteProfile, spark, out: str) -> DataFrame:
-    """Processed pages of all batches up to the error cut-off, as :func:`site_run.tables` expects them."""
-    return cut_off(spark.read.parquet(out).drop("batch"), max_errors=profile.max_errors)
+def finish(profile: SiteProfile, spark: SparkSession, out: str, label: str) -> DataFrame:
+    """Pages of all batches up to the error cut-off, as :func:`catalogflow.plans.site_run.tables` expects them."""
+    return limited(profile, spark.read.parquet(out).drop("batch"), label)

@@ -283,3 +283,22 @@ def _(t):
         urls.name_after(url, ".example.").alias("after_marker"), urls.name_after(variant, ".example.").alias("before_variant"),
         urls.product_asset_path(F.col("page_id").cast("string"), urls.file_stem(url), "small").alias("thumb"),
     )
+
+
+@query("ux_02_sql_functions", f"""
+    SELECT page_id, array_to_string({between_sql('html', '<h1>', '</h1>')}, '|') AS heading,
+           sha1(regexp_replace({_BREAKS.format('html')}, '<.*?>', '', 'g')) AS plain, 'images/full/' || sha1(url) || '.jpg' AS asset,
+           string_split(regexp_extract(url, '^https?://([^/]*)', 1), '_')[1] AS root,
+           CAST(CAST(page_id AS VARCHAR) || '.5' AS DOUBLE) AS price, CAST(page_id * 100 + 50 AS BIGINT) AS points,
+           CAST(page_id AS VARCHAR) || ',5' AS shown
+    FROM pages""")
+def _(t):
+    from catalogflow.functions import sql
+
+    sql.register(t.spark)
+    return t.spark.sql("""
+        SELECT page_id, array_join(text_between(html, '<h1>', '</h1>'), '|') AS heading, sha1(text_plain(html)) AS plain,
+               asset_path('images', url) AS asset, root_id(parse_url(url, 'HOST')) AS root,
+               cast(price_value(concat('$', page_id, '.5 each')) AS double) AS price, loyalty_points(concat(page_id, '.5')) AS points,
+               price_text(concat('$', page_id, ',5')) AS shown
+        FROM {pages}""", pages=t.pages)

@@ -68,16 +68,16 @@ def test_ledger_store(spark, out):
     path = f"{out}/ledger"
     assert ledger_store.read_ledger(spark, path).count() == 0
     rows = lambda *v: ledger.id_rows(spark.createDataFrame([(x,) for x in v], "product_id string"))
-    ledger_store.append_ledger(rows("a", "a_1", "b_1"), path, "1")
+    ledger_store.append_ledger(rows("a", "a_1", "b_1"), path, "1", buckets=8)
     for _attempt in range(2):
         known = ledger_store.read_ledger(spark, path, skip_run="2")
-        ledger_store.append_ledger(ledger.added(ledger.changes(known, rows("a_1", "a_2", "c_1"))), path, "2")
+        ledger_store.append_ledger(ledger.added(ledger.changes(known, rows("a_1", "a_2", "c_1"))), path, "2", buckets=8)
     assert sorted(r.variant_id for r in ledger_store.read_ledger(spark, path).collect()) == ["a", "a_1", "a_2", "b_1", "c_1"]
     roots = spark.createDataFrame([("a",)], "root_id string")
-    pruned = ledger_store.read_ledger(spark, path, roots=roots)
+    pruned = ledger_store.read_ledger(spark, path, roots=roots, buckets=8)
     assert {r.variant_id for r in pruned.where("root_id = 'a'").collect()} == {"a", "a_1", "a_2"}
     assert "PartitionFilters: [isnotnull(bucket" in pruned._jdf.queryExecution().executedPlan().toString()
-    ledger_store.compact(ledger_store.read_ledger(spark, path), f"{out}/compact", "all")
+    ledger_store.compact(ledger_store.read_ledger(spark, path), f"{out}/compact", "all", 8)
     assert ledger_store.read_ledger(spark, f"{out}/compact").count() == 5
 
 
@@ -138,7 +138,7 @@ def inputs(spark, sizes="#c=red;s=S;#c=red;s=M;#c=blue;s=S;"):
 
 
 def test_site_run(spark, out):
-    result = site_run.run(SHOP, *inputs(spark), out, "0001")
+    result = site_run.run(SHOP, *inputs(spark), out, "0001", ledger_buckets=4)
     updates = {r.product_id: r for r in feed_store.read_feed(spark, f"{out}/feed", "update").collect()}
     assert set(updates) == {"p0", "p0_0", "p0_1", "p0_0_0", "p0_0_1", "p0_1_0", "p2", "p4", "p3"}
     assert updates["p0"].name == "Zero!" and updates["p0"].in_stock == "IN_STOCK"
@@ -153,7 +153,7 @@ def test_site_run(spark, out):
     assert result.images.count() == 1
     # The next run drops a size: its id is deleted, the ledger keeps it, and a repeat of the run changes nothing.
     for _attempt in range(2):
-        site_run.run(SHOP, *inputs(spark, "#c=red;s=S;#c=blue;s=S;"), out, "0002")
+        site_run.run(SHOP, *inputs(spark, "#c=red;s=S;#c=blue;s=S;"), out, "0002", ledger_buckets=4)
         deletes = sorted(r.product_id for r in feed_store.read_feed(spark, f"{out}/feed", "delete").collect())
         assert deletes == sorted({"p0", "p0_0", "p0_1", "p0_0_0", "p0_0_1", "p0_1_0", "p2", "p4", "p3"})
         assert ledger_store.read_ledger(spark, f"{out}/ledger").count() == 9
@@ -174,7 +174,7 @@ def test_arrivals_match_a_batch_run(spark, out):
         stream = spark.readStream.schema(fetched.schema).parquet(f"{out}/in")
         arrivals.start(SHOP, catalog, stream, f"{out}/pages", f"{out}/check").awaitTermination()
     empty = ledger_store.read_ledger(spark, f"{out}/none")
-    streamed = site_run.tables(SHOP, catalog, arrivals.finish(SHOP, spark, f"{out}/pages"), empty)
+    streamed = site_run.tables(SHOP, catalog, arrivals.finish(SHOP, spark, f"{out}/pages", "arrived"), empty)
     batch = site_run.tables(SHOP, catalog, site_run.staged_pages(SHOP, catalog, fetched, "compare"), empty)
     for name in ("updates", "deletes", "statuses", "report"):
         a, b = getattr(streamed, name), getattr(batch, name)
