@@ -11,11 +11,11 @@ _LETTERS = 7  # letters enough for every position of a 32-bit count
 def letters(position: Column) -> Column:
     """``a`` to ``z`` for positions 0 to 25, then ``aa``, ``ab`` and so on."""
     p = position.cast("bigint")
-    result = F.lit(None).cast("string")
+    result = F
     for length in range(1, _LETTERS + 1):
-        first = sum(26**n for n in range(1, length))
+        first = sum(26**n for n in range(1, length))  # positions that have fewer letters
         chars = [F.char(F.floor((p - first) / 26**i) % 26 + 97) for i in reversed(range(length))]
-        result = F.when(p >= first, F.concat(*chars)).otherwise(result)
+        result = result.when(p < first + 26**length, F.concat(*chars))
     return result
 
 
