@@ -18,14 +18,22 @@ from catalogflow.functions.text import between, first_between, literal_pattern
 class Select:
     """All elements of a tag whose attributes have the given values.
 
-    ``take`` is ``text`` for their own direct text, ``all_text`` for the text of the whole element, or an attribute name.
-    ``inside`` limits the search to elements below one that matches.
+    ``take`` is ``text`` for an element's own direct text, ``all_text`` for the text of the whole element, ``inner`` or
+    ``outer`` for its markup as written, or an attribute name. ``inside`` limits the search to elements below one that
+    matches (``child`` to its direct children), and ``nth`` to the n-th of its tag under one parent, from 1.
     """
 
     tag: str
     where: Mapping[str, str] = field(default_factory=dict)
     take: str = "text"
     inside: "Select | None" = None
+    child: bool = False
+    nth: int | None = None
+
+
+def _plain(s: Select | None) -> tuple | None:
+    """A selector as plain values, which travel to the workers without this module."""
+    return s and (s.tag, dict(s.where), s.take, _plain(s.inside), s.child, s.nth)
 
 
 def flat_texts(html: Column, tag: str) -> Column:
@@ -41,59 +49,100 @@ def attr_values(html: Column, tag: str, attr: str) -> Column:
 def select_elements(html: Column, selectors: Mapping[str, Select]) -> Column:
     """``struct`` of one list of texts per selector, from a single pass over the page.
 
-    Pages need not be well formed. This is the only extractor that runs in Python (Arrow batches);
-    prefer the native ones where an element is flat.
+    Pages need not be well formed: end tags may be left out where HTML allows, and an element never closed ends with its parent. This is the only extractor
+    that runs in Python (Arrow batches); prefer the native ones where an element is flat.
     """
     fields = list(selectors)
-    plans = [(s.tag, dict(s.where), s.take, (s.inside.tag, dict(s.inside.where)) if s.inside else None)
-             for s in selectors.values()]
+    plans = [_plain(s) for s in selectors.values()]
     # Elements that HTML defines as having no content.
     void = frozenset("area base br col embed hr img input link meta source track wbr".split())
+    # Elements whose end tag may be left out, and the start tags that then end them.
+    ended_by = {name: frozenset(starts.split()) for name, starts in {
+        "p": "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section "
+             "table ul",
+        "li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option optgroup", "tr": "tr", "td": "td th tr", "th": "td th tr",
+    }.items()}
 
     @F.pandas_udf(T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in fields]))
     def run(pages: pd.Series) -> pd.DataFrame:
         from html.parser import HTMLParser
 
+        def matches(plan, path):
+            """Whether the last element of a path of ``(tag, attributes, place among its kind)`` fits a selector."""
+            tag, where, _, inside, child, nth = plan
+            name, attrs, place = path[-1]
+            if name != tag or (nth and place != nth) or any(attrs.get(k) != v for k, v in where.items()):
+                return False
+            above = [len(path) - 1] if child else range(1, len(path))
+            return inside is None or any(n and matches(inside, path[:n]) for n in above)
+
         class Collector(HTMLParser):
-            def __init__(self):
+            def __init__(self, page):
                 super().__init__(convert_charrefs=True)
-                self.open, self.found = [], [[] for _ in plans]
+                self.page, self.path, self.open, self.kinds = page, [], [], [{}]
+                self.found = [[] for _ in plans]
+                self.lines = [0]
+                for line in page.split("\n"):
+                    self.lines.append(self.lines[-1] + len(line) + 1)
+
+            def here(self):
+                line, column = self.getpos()
+                return self.lines[line - 1] + column
 
             def handle_starttag(self, tag, attrs):
-                attrs = dict(attrs)
-                taken = []
-                for n, (want, where, take, inside) in enumerate(plans):
-                    if tag != want or any(attrs.get(k) != v for k, v in where.items()):
-                        continue
-                    if inside and not any(t == inside[0] and all(a.get(k) == v for k, v in inside[1].items())
-                                          for t, a, _ in self.open):
-                        continue
-                    if take in ("text", "all_text"):
-                        self.found[n].append([])
-                        taken.append((n, self.found[n][-1]))
-                    elif take in attrs:
-                        self.found[n].append([attrs[take] or ""])
-                if tag not in void:
-                    self.open.append((tag, attrs, taken))
+                while self.path and tag in ended_by.get(self.path[-1][0], ()):
+                    self.end(self.here(), self.here())
+                kinds = self.kinds[-1]
+                kinds[tag] = kinds.get(tag, 0) + 1
+                self.path.append((tag, dict(attrs), kinds[tag]))
+                begin, taken = self.here(), []
+                for n, plan in enumerate(plans):
+                    if plan[0] == tag and matches(plan, self.path):
+                        value = [self.path[-1][1][plan[2]] or ""] if plan[2] in self.path[-1][1] else []
+                        if value or plan[2] in ("text", "all_text", "inner", "outer"):
+                            self.found[n].append(value)
+                            taken.append((plan[2], value))
+                self.open.append((begin, begin + len(self.get_starttag_text()), taken))
+                self.kinds.append({})
+                if tag in void:
+                    self.end(self.open[-1][1], self.open[-1][1])
+
+            def end(self, inner, outer):
+                """Close the innermost element, whose content ends at ``inner`` and whose markup at ``outer``."""
+                begin, content, taken = self.open.pop()
+                self.path.pop()
+                self.kinds.pop()
+                for take, value in taken:
+                    if take == "inner":
+                        value.append(self.page[content:inner])
+                    elif take == "outer":
+                        value.append(self.page[begin:outer])
 
             def handle_endtag(self, tag):
-                for depth in range(len(self.open) - 1, -1, -1):
-                    if self.open[depth][0] == tag:
-                        del self.open[depth:]
-                        return
+                depth = next((n for n in range(len(self.path) - 1, -1, -1) if self.path[n][0] == tag), None)
+                if depth is not None:
+                    here = self.here()
+                    while len(self.open) > depth + 1:
+                        self.end(here, here)
+                    self.end(here, self.page.find(">", here) + 1 or len(self.page))
+
+            def handle_startendtag(self, tag, attrs):
+                self.handle_starttag(tag, attrs)
 
             def handle_data(self, data):
-                for depth, (_, _, taken) in enumerate(reversed(self.open)):
-                    for n, texts in taken:
-                        if depth == 0 or plans[n][2] == "all_text":
-                            texts.append(data)
+                for level, (_, _, taken) in enumerate(reversed(self.open)):
+                    for take, value in taken:
+                        if take == "all_text" or (take == "text" and level == 0):
+                            value.append(data)
 
         def collect(page):
             if page is None:
                 return [None for _ in plans]
-            collector = Collector()
+            collector = Collector(page)
             collector.feed(page)
             collector.close()
+            while collector.open:
+                collector.end(len(page), len(page))
             return [["".join(texts) for texts in found] for found in collector.found]
 
         return pd.DataFrame([collect(p) for p in pages], columns=fields)

@@ -40,6 +40,20 @@ def _(t):
     )
 
 
+@query("ex_01_element_markup", """
+    SELECT page_id, sha1(regexp_extract(html, '(?s)<article>(.*)</article>', 1)) AS body, regexp_extract(html, '<nav>.*?</nav>') AS menu,
+           regexp_extract_all(html, '<li>(.*?)</li>', 1)[2] AS second
+    FROM pages""")
+def _(t):
+    found = extract.select_elements(F.col("html"), {
+        "body": extract.Select("article", take="inner"), "menu": extract.Select("nav", take="outer"),
+        "second": extract.Select("li", take="inner", nth=2, child=True, inside=extract.Select("ul", inside=extract.Select("nav"))),
+    })
+    rows = t.pages.select("page_id", found.alias("f"))
+    first = lambda name: F.get(f"f.{name}", F.lit(0))
+    return rows.select("page_id", sha(first("body")).alias("body"), first("menu").alias("menu"), first("second").alias("second"))
+
+
 @query("ex_01_flat_elements", """
     SELECT page_id, array_to_string(regexp_extract_all(html, '<h1>(.*?)</h1>', 1), ' ') AS heading,
            array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), ' ') AS links,

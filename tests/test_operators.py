@@ -180,6 +180,20 @@ def test_select_elements(spark):
     assert rows[2].own == ["never closed"]
 
 
+def test_select_markup_children_and_places(spark):
+    page = """<div id="top"><p>a<div><p>b</p><h1>deep</h1></div>
+<h1>one <i>x</i></h1><h1>two</h1><img src="i"/><span>1</span><span class="s">2</span></div><p>last"""
+    selectors = {
+        "inner": extract.Select("h1", take="inner", child=True, inside=extract.Select("div", {"id": "top"})),
+        "outer": extract.Select("span", take="outer", nth=2), "img": extract.Select("img", take="outer"),
+        "second": extract.Select("h1", nth=2), "open": extract.Select("p", take="inner", nth=3), "paragraphs": extract.Select("p", take="inner"),
+    }
+    row = spark.createDataFrame([(page,)], "h string").select(extract.select_elements(F.col("h"), selectors)).first()[0]
+    assert row.outer == ['<span class="s">2</span>'] and row.img == ['<img src="i"/>']
+    assert row.inner == ["one <i>x</i>", "two"] and row.second == ["two"] and row.open == []
+    assert row.paragraphs == ["a", "b", "last"]  # an open <p> ends where a block starts
+
+
 def test_native_extractors(spark):
     df = spark.createDataFrame([(PAGE,)], "html string")
     html = F.col("html")

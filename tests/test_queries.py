@@ -14,7 +14,7 @@ def con():
     return connect(SMALL)
 
 
-PYTHON = {"ex_01_select_elements", "tx_09_decode_entities", "src_04_vendor_feed"}
+PYTHON = {"ex_01_select_elements", "ex_01_element_markup", "tx_09_decode_entities", "src_04_vendor_feed"}
 SLOW = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "FlatMapGroupsInPandas")
 
 
