@@ -67,19 +67,21 @@ def select_elements(html: Column, selectors: Mapping[str, Select]) -> Column:
     def run(pages: pd.Series) -> pd.DataFrame:
         from html.parser import HTMLParser
 
-        def matches(plan, path):
-            """Whether the last element of a path of ``(tag, attributes, place among its kind)`` fits a selector."""
+        def matches(plan, path, at):
+            """Whether element ``at`` of a path of ``(tag, attributes, place among its kind)`` fits a selector."""
             tag, where, _, inside, child, nth = plan
-            name, attrs, place = path[-1]
+            name, attrs, place = path[at]
             if name != tag or (nth and place != nth) or any(attrs.get(k) != v for k, v in where.items()):
                 return False
-            above = [len(path) - 1] if child else range(1, len(path))
-            return inside is None or any(n and matches(inside, path[:n]) for n in above)
+            above = range(max(at - 1, 0), at) if child else range(at)
+            return inside is None or any(matches(inside, path, n) for n in above)
 
         class Collector(HTMLParser):
             def __init__(self, page):
                 super().__init__(convert_charrefs=True)
                 self.page, self.path, self.open, self.kinds = page, [], [], [{}]
+                self.taking = []  # depth and lists of the open elements that collect something
+                self.depths = {}  # depths at which each tag is open
                 self.found = [[] for _ in plans]
                 self.lines = [0]
                 for line in page.split("\n"):
@@ -97,21 +99,26 @@ def select_elements(html: Column, selectors: Mapping[str, Select]) -> Column:
                 self.path.append((tag, dict(attrs), kinds[tag]))
                 begin, taken = self.here(), []
                 for n, plan in enumerate(plans):
-                    if plan[0] == tag and matches(plan, self.path):
+                    if plan[0] == tag and matches(plan, self.path, len(self.path) - 1):
                         value = [self.path[-1][1][plan[2]] or ""] if plan[2] in self.path[-1][1] else []
                         if value or plan[2] in ("text", "all_text", "inner", "outer"):
                             self.found[n].append(value)
                             taken.append((plan[2], value))
                 self.open.append((begin, begin + len(self.get_starttag_text()), taken))
                 self.kinds.append({})
+                self.depths.setdefault(tag, []).append(len(self.open) - 1)
+                if taken:
+                    self.taking.append((len(self.open), taken))
                 if tag in void:
                     self.end(self.open[-1][1], self.open[-1][1])
 
             def end(self, inner, outer):
                 """Close the innermost element, whose content ends at ``inner`` and whose markup at ``outer``."""
                 begin, content, taken = self.open.pop()
-                self.path.pop()
+                self.depths[self.path.pop()[0]].pop()
                 self.kinds.pop()
+                if taken:
+                    self.taking.pop()
                 for take, value in taken:
                     if take == "inner":
                         value.append(self.page[content:inner])
@@ -119,9 +126,8 @@ def select_elements(html: Column, selectors: Mapping[str, Select]) -> Column:
                         value.append(self.page[begin:outer])
 
             def handle_endtag(self, tag):
-                depth = next((n for n in range(len(self.path) - 1, -1, -1) if self.path[n][0] == tag), None)
-                if depth is not None:
-                    here = self.here()
+                if self.depths.get(tag):
+                    here, depth = self.here(), self.depths[tag][-1]
                     while len(self.open) > depth + 1:
                         self.end(here, here)
                     self.end(here, self.page.find(">", here) + 1 or len(self.page))
@@ -130,9 +136,9 @@ def select_elements(html: Column, selectors: Mapping[str, Select]) -> Column:
                 self.handle_starttag(tag, attrs)
 
             def handle_data(self, data):
-                for level, (_, _, taken) in enumerate(reversed(self.open)):
+                for depth, taken in self.taking:
                     for take, value in taken:
-                        if take == "all_text" or (take == "text" and level == 0):
+                        if take == "all_text" or (take == "text" and depth == len(self.open)):
                             value.append(data)
 
         def collect(page):

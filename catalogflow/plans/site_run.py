@@ -135,13 +135,15 @@ def _statuses(catalog: DataFrame, new: DataFrame, unlisted: DataFrame) -> DataFr
 
 def run(
     profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str, run_id: str, stored: DataFrame | None = None,
-    fmt: str = "parquet", ledger_buckets: int = ledger_store.BUCKETS,
+    fmt: str = "parquet", ledger_buckets: int = ledger_store.BUCKETS, trial: int | None = None,
 ) -> RunTables:
     """Run a site and write its feed version, ledger additions and reports below ``out``.
 
-    Repeating a run id replaces what its earlier attempt wrote.
+    Repeating a run id replaces what its earlier attempt wrote. ``trial`` limits a run to the first rows of each catalogue.
     """
     spark = catalog.sparkSession
+    if trial is not None:
+        catalog = cat.trial(catalog, trial)
     pages = staged_pages(profile, catalog, fetched, run_id)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
     result = tables(profile, catalog, pages, known, stored, label=run_id)

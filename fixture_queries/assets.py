@@ -8,8 +8,8 @@ from fixture_queries.base import query
 
 _SIZES = "(VALUES ('full', NULL, NULL), ('small', 50, 62)) AS s(size, box_width, box_height)"
 _MANIFEST = f"""
-    SELECT DISTINCT CAST(page_id AS VARCHAR) AS product_id, url, size, CAST(box_width AS INTEGER) AS box_width,
-           CAST(box_height AS INTEGER) AS box_height, page_id || '/' || size || '/' || sha1(url) || '.jpg' AS key
+    SELECT DISTINCT CAST(page_id AS VARCHAR) AS product_id, url, size, CAST(box_width AS VARCHAR) AS box_width,
+           CAST(box_height AS VARCHAR) AS box_height, page_id || '/' || size || '/' || sha1(url) || '.jpg' AS key
     FROM pages, {_SIZES}"""
 
 
@@ -21,7 +21,8 @@ def page_images(t):
 
 @query("im_01_manifest", _MANIFEST)
 def _(t):
-    return assets.manifest(page_images(t), {"small": (50, 62)})
+    rows = assets.manifest(page_images(t), {"small": (50, 62)})
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("box_width", "box_height")})
 
 
 @query("im_01_manifest_by_name", """
@@ -35,12 +36,15 @@ def _(t):
 @query("im_02_stale_assets", f"""
     WITH m AS ({_MANIFEST}), st AS (SELECT CAST(event_id AS VARCHAR) AS product_id, ts FROM events),
          l AS (SELECT m.*, ts AS stored_at FROM m LEFT JOIN st USING (product_id))
-    SELECT key, stored_at FROM l WHERE stored_at IS NULL OR date_diff('day', CAST(stored_at AS DATE), DATE '2024-02-10') >= 30""")
+    SELECT key, coalesce(date_diff('day', CAST(stored_at AS DATE), DATE '2024-02-10'), -1) AS age_days FROM l
+    WHERE age_days = -1 OR age_days >= 30""")
 def _(t):
     full = assets.manifest(page_images(t), {"small": (50, 62)})
     stored = t.events.select(F.col("event_id").cast("string").alias("product_id"), F.col("ts").alias("stored_at"))
     known = full.select("product_id", "key").join(stored, "product_id").select("key", "stored_at")
-    return assets.stale(full, known, F.lit("2024-02-10").cast("date"), 30).select("key", "stored_at")
+    run_date = F.lit("2024-02-10").cast("date")
+    age = F.coalesce(F.datediff(run_date, "stored_at").cast("bigint"), F.lit(-1).cast("bigint"))
+    return assets.stale(full, known, run_date, 30).select("key", age.alias("age_days"))
 
 
 @query("im_03_size_check", """

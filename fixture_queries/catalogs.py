@@ -16,7 +16,8 @@ def order_products(t):
     """Orders read as a product table of many catalogues."""
     return t.orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("url"),
-        F.col("o_totalprice").cast("string").alias("product_id"), F.lit("none").alias("status"), F.col("o_custkey").alias("catalog_id"),
+        F.col("o_totalprice").cast("string").alias("product_id"), F.lit("none").alias("status"), "o_custkey",
+        F.ascii("o_orderstatus").cast("bigint").alias("catalog_id"),
     )
 
 
@@ -49,13 +50,13 @@ def _(t):
 @query("src_02_catalog_select", """
     SELECT o_orderkey AS id, o_orderpriority AS name, o_orderstatus AS url, CAST(o_totalprice AS VARCHAR) AS product_id,
            'none' AS status
-    FROM orders WHERE o_custkey = 7
+    FROM orders WHERE o_orderstatus = 'O'
     UNION ALL
     SELECT o_orderkey, o_orderpriority, o_orderstatus, CAST(o_totalprice AS VARCHAR), 'none'
     FROM orders WHERE o_orderkey = 42""")
 def _(t):
     products = order_products(t)
-    return tables.select_catalog(products, 7).unionByName(tables.select_catalog(products, 7, row_id=42))
+    return tables.select_catalog(products, ord("O")).unionByName(tables.select_catalog(products, ord("O"), row_id=42))
 
 
 @query("src_03_catalog_info", """
@@ -64,7 +65,7 @@ def _(t):
 def _(t):
     info = tables.catalog_info(t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("file")))
-    counts = order_products(t).groupBy("catalog_id").agg(F.count("*").alias("products"))
+    counts = order_products(t).groupBy(F.col("o_custkey").alias("catalog_id")).agg(F.count("*").alias("products"))
     return info.join(counts, "catalog_id", "left").withColumn("products", F.coalesce("products", F.lit(0).cast("bigint")))
 
 

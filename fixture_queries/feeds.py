@@ -118,11 +118,13 @@ def _(t):
 @query("sc_02_typed_view", f"""
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_brand AS brand,
            CASE WHEN NOT {_BROKEN} THEN CAST('1' || CAST(p_retailprice AS VARCHAR) AS DOUBLE) END AS price,
-           CASE WHEN NOT {_BROKEN} THEN CAST(p_size AS BIGINT) END AS size,
-           CASE WHEN p_size > 5 THEN p_size > 25 END AS on_sale
+           CASE WHEN NOT {_BROKEN} THEN CAST(p_size AS BIGINT) ELSE -1 END AS size,
+           CAST(CASE WHEN p_size > 5 THEN p_size > 25 END AS VARCHAR) AS on_sale
     FROM part""")
 def _(t):
-    return feed.typed_view(raw_items(t), PROPERTIES).withColumn("price", F.col("price").cast("double"))
+    return feed.typed_view(raw_items(t), PROPERTIES).select(
+        "product_id", "brand", F.col("price").cast("double").alias("price"),
+        F.coalesce("size", F.lit(-1).cast("bigint")).alias("size"), F.col("on_sale").cast("string").alias("on_sale"))
 
 
 @query("sc_02_cast_failures", f"""

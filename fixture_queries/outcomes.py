@@ -24,7 +24,7 @@ def coded(t):
 
 
 @query("fl_05_outcome", f"""
-    SELECT event_id, {_CODE} AS code, {_STATUS} AS status,
+    SELECT event_id, coalesce({_CODE}, 0) AS code, {_STATUS} AS status,
            CASE WHEN event_type = 'click' THEN 'IN_STOCK' ELSE 'NOT_AVAILABLE' END AS in_stock
     FROM events""")
 def _(t):
@@ -36,7 +36,8 @@ def _(t):
         F.when((kind == "view") & ~moved, "<p>no longer available</p>").when(kind != "error", "<p>ok</p>"),
         unavailable=("no longer available",),
     )
-    return t.events.select("event_id", code.alias("code"), outcome.status_of(code).alias("status"), outcome.stock_of(code).alias("in_stock"))
+    shown = F.coalesce(code, F.lit(0)).alias("code")
+    return t.events.select("event_id", shown, outcome.status_of(code).alias("status"), outcome.stock_of(code).alias("in_stock"))
 
 
 _CUT = f"""
@@ -47,9 +48,9 @@ _CUT = f"""
                WHERE last_ord IS NULL OR ord <= last_ord)"""
 
 
-@query("wn_04_cut_off", _CUT + "SELECT catalog_id, ord, code, url, aborted FROM k")
+@query("wn_04_cut_off", _CUT + "SELECT catalog_id, ord, coalesce(code, 0) AS code, url, aborted FROM k")
 def _(t):
-    return outcome.cut_off(coded(t))
+    return outcome.cut_off(coded(t)).withColumn("code", F.coalesce("code", F.lit(0)))
 
 
 @query("ag_03_counters", _CUT + """

@@ -30,7 +30,7 @@ def colors(t):
 def sizes(t):
     """Quantities of part and supplier as sizes, the first line of each giving its position."""
     key = [F.col("l_partkey").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("color"),
-           F.col("l_quantity").cast("bigint").alias("size")]
+           F.col("l_quantity").cast("bigint").cast("string").alias("size")]
     return t.lineitem.groupBy(*key).agg(F.min(entry_line_ord()).alias("ord"))
 
 
@@ -60,10 +60,10 @@ def _(t):
     WITH {_COLORS_SQL},
     z AS (SELECT l_partkey, l_suppkey, size,
                  row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY ord, size) - 1 AS size_pos
-          FROM (SELECT l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS size, min(l_orderkey * 8 + l_linenumber) AS ord
+          FROM (SELECT l_partkey, l_suppkey, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS size, min(l_orderkey * 8 + l_linenumber) AS ord
                 FROM lineitem GROUP BY ALL))
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, CAST(NULL AS VARCHAR) AS master_product_id,
-           CAST(NULL AS VARCHAR) AS color, CAST(NULL AS BIGINT) AS size, 0 AS level
+           CAST(NULL AS VARCHAR) AS color, CAST(NULL AS VARCHAR) AS size, 0 AS level
     FROM part
     UNION ALL SELECT l_partkey || '_' || {_LETTER.format('pos')}, NULL, CAST(l_partkey AS VARCHAR), 's' || l_suppkey, NULL, 1 FROM c
     UNION ALL
@@ -108,10 +108,10 @@ def _(t):
 
 _LOOK = "CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END"
 _BUNDLE_SQL = f"""
-    WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, {_LOOK} AS look, p_type AS line, p_size AS order_index
+    WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, {_LOOK} AS look, p_type AS line, CAST(p_size AS VARCHAR) AS order_index
                FROM part)
     SELECT look AS product_id, 'Look ' || look AS name, CAST(NULL AS VARCHAR) AS master_product_id, CAST(NULL AS VARCHAR) AS style,
-           CAST(NULL AS INTEGER) AS order_index, 'False' AS normal, 'True' AS shop_look, 'False' AS shop_line, 'IN_STOCK' AS in_stock
+           CAST(NULL AS VARCHAR) AS order_index, 'False' AS normal, 'True' AS shop_look, 'False' AS shop_line, 'IN_STOCK' AS in_stock
     FROM (SELECT DISTINCT look FROM p WHERE look <> '')
     UNION ALL SELECT line, 'Line ' || line, NULL, NULL, NULL, 'False', 'False', 'True', 'IN_STOCK' FROM (SELECT DISTINCT line FROM p)
     UNION ALL SELECT id, name, NULL, NULL, order_index, 'True', 'False', 'False', NULL FROM p
@@ -124,7 +124,7 @@ def bundles(t):
     rows = t.part.select(
         F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"),
         F.when(F.col("p_brand") == "Brand#1", "").otherwise(F.col("p_brand")).alias("look_id"), F.col("p_type").alias("line_id"),
-        F.col("p_size").alias("order_index"),
+        F.col("p_size").cast("string").alias("order_index"),
     )
     names = lambda c, label: rows.where(F.col(c) != "").select(F.col(c).alias("product_id")).distinct().withColumn(
         "name", F.concat(F.lit(label), "product_id"))
