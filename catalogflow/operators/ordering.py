@@ -2,7 +2,7 @@
 
 A window over such a key would sort the whole key in one task. Keys with very many rows are found first, and
 their range of the leading order column is cut into parts. Rows are then numbered inside ``(key, part)``, and the sizes
-of a hot key's parts give the offset of each. All other keys have one part, so they pay one plain window.
+of a hot key's parts give the offset of each. All other keys have one part and pay little more than a plain window.
 """
 
 from __future__ import annotations
@@ -13,6 +13,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000  # rows of one key that one task may sort
+SHARE = 64  # one row in so many is counted to find the keys that may be hot
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: ``(keys, _rows, _low, _high)``, the last two from the first order column.
+
+    Likely keys come from counting rows whose hash falls in one of ``SHARE`` classes, so ordinary keys cost almost no
+    shuffle; the likely ones are then counted exactly. A key that is missed is merely numbered in one task.
+    """
+    lead = F.col(order[0]).cast("double")
+    counted = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(SHARE)) == 0).groupBy(*keys).agg(F.count("*").alias("_seen"))
+    likely = counted.where(F.col("_seen") > hot_rows / SHARE).select(*keys)
+    exact = df.join(F.broadcast(likely), list(keys)).groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.min(lead).alias("_low"), F.max(lead).alias("_high"))
+    return exact.where(F.col("_rows") > hot_rows)
 
 
 def numbered(
@@ -20,12 +35,12 @@ def numbered(
 ) -> DataFrame:
     """Number the rows of each key from ``start`` in the given order.
 
-    The first order column must be numeric and should vary inside a key. The rows are shuffled once. Two small tables are
-    broadcast: of ``n`` rows at most ``n / hot_rows`` keys are hot, and they have at most twice as many parts.
+    The first order column must be numeric and should vary inside a key. The rows are shuffled once, and ``df`` is read again
+    for narrow columns, so stage it first if it is costly. What is broadcast is bounded: of ``n`` rows at most
+    ``n / hot_rows`` keys are hot, and they have at most twice as many parts.
     """
+    hot = hot_keys(df, keys, order, hot_rows)
     lead = F.col(order[0]).cast("double")
-    spread = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min(lead).alias("_low"), F.max(lead).alias("_high"))
-    hot = spread.where(F.col("_rows") > hot_rows)
     parts = F.ceil(F.col("_rows") / hot_rows)
     part = F.floor((lead - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * parts)
     tagged = df.join(F.broadcast(hot), list(keys), "left").withColumn("_part", F.coalesce(part, F.lit(0)))

@@ -272,11 +272,12 @@ def _(t):
 
 
 @query("sl_02_trial_rows", """
-    SELECT o_custkey AS catalog_id, o_orderkey AS id, o_orderdate FROM orders
+    SELECT o_custkey AS catalog_id, o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) <= 2""")
 def _(t):
     rows = t.orders.select(F.col("o_custkey").alias("catalog_id"), F.col("o_orderkey").alias("id"), "o_orderdate")
-    return first_rows(rows, ["catalog_id"], ["o_orderdate", "id"], 2)
+    first = first_rows(rows, ["catalog_id"], ["o_orderdate", "id"], 2)
+    return first.select("catalog_id", "id", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
 @query("sl_02_trial_by_position", """

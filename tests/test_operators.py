@@ -42,11 +42,18 @@ def test_numbering_with_equal_leads_and_null_keys(spark):
 
 
 def test_no_task_holds_a_hot_key(spark):
-    df = spark.createDataFrame([("hot", i) for i in range(400)], "k string, o bigint")
-    parts = ordering.numbered(df, ["k"], ["o"], hot_rows=20).repartition("k", F.floor(F.col("o") / 1)).count()
-    assert parts == 400
-    plan = ordering.numbered(df, ["k"], ["o"], hot_rows=20)._jdf.queryExecution().executedPlan().toString()
-    assert "Window [row_number() windowspecdefinition(k" in plan and "_part" in plan.split("row_number()")[1][:120]
+    df = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("o"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert ordering.hot_keys(df, ["k"], ["o"], 200).select("k", "_rows", "_low", "_high").collect() == [(-1, 2000, 0.0, 5997.0)]
+        got = ordering.numbered(df, ["k"], ["o"], hot_rows=200)
+        tasks = got.where("k = -1").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 3 and max(r["count"] for r in tasks) < 1200
+        assert sorted((r.o, r.pos) for r in got.where("k = -1").collect()) == [(3 * i, i) for i in range(2000)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_list_pieces_keep_order_and_repeats(spark):
