@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from catalogflow.operators import matching
+from catalogflow.operators import feed as shaping, matching
+from catalogflow.sources import feed_store
 from catalogflow.sources.vendor_feed import feed_items
 
 
@@ -27,3 +29,16 @@ def tables(feed: DataFrame, catalog: DataFrame, base: str = "", store: str = "im
     listed = matching.in_catalog(feed, catalog, "Id")
     statuses = matching.feed_status(catalog, feed, "Id")
     return FeedTables(feed_items(listed, base, store), statuses, matching.match_ratio(statuses))
+
+
+def run(
+    feed: DataFrame, catalog: DataFrame, out: str, run_id: str, properties: Sequence[shaping.Property] = (), base: str = "",
+    store: str = "images", fmt: str = "parquet",
+) -> FeedTables:
+    """Write the feed version and the statuses of a vendor feed run below ``out``."""
+    result = tables(feed, catalog, base, store)
+    updates, deletes = shaping.update_and_delete(result.updates)
+    declared = shaping.properties_table(feed.sparkSession, properties)
+    feed_store.write_feed(f"{out}/feed", run_id, declared, deletes, updates, fmt)
+    feed_store.write_table(result.statuses, f"{out}/statuses", run_id)
+    return result

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators import assets, catalog as cat, feed, ledger, matching, outcome
-from catalogflow.operators.variants import record_levels, union_rows
+from catalogflow.operators.variants import bundle_masters, bundle_members, kind_flags, record_levels, union_rows
 from catalogflow.plans.profile import SiteProfile
 from catalogflow.session import staged
 from catalogflow.sources import feed_store, ledger_store, reports
 
 
+BUNDLE_COLUMNS = ("look_id", "line_id", "order_index")
+
+
 @dataclass(frozen=True)
 class RunTables:
     """Everything a run yields, as lazy tables."""
@@ -49,8 +52,9 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     code = outcome.outcome_code(
         F.col("requested_url"), F.col("final_url"), F.col("http_status"), F.col("_page"), ("gone",), F.when(missing, "missing field"))
     coded = items.withColumn("code", code).drop("_page", "final_url", "http_status")
+    extra = [c for c in BUNDLE_COLUMNS if c in catalog.columns]
     listed = catalog_with_url(profile, catalog).select(
-        "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url")
+        "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url", *extra)
     return matching.match_first(coded, listed).withColumnRenamed("requested_url", "url")
 
 
@@ -70,14 +74,15 @@ def limited(profile: SiteProfile, pages: DataFrame, label: str) -> DataFrame:
 
 def tables(
     profile: SiteProfile, catalog: DataFrame, pages: DataFrame, known: DataFrame, stored: DataFrame | None = None,
-    run_date=None, label: str | None = None,
+    run_date=None, label: str | None = None, bundles: tuple[DataFrame, DataFrame] | None = None,
 ) -> RunTables:
     """Derive every output of a run from :func:`staged_pages` and the known ledger rows.
 
-    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well.
+    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well. ``bundles`` are the looks and
+    lines that the catalogue's ``look_id`` and ``line_id`` name.
     """
     fields = [f for f in profile.fields if f != "product_id"]
-    updates = _updates(profile, catalog, pages, fields)
+    updates = _updates(profile, catalog, pages, fields, bundles)
     _, current = feed.update_and_delete(updates)
     changed = ledger.changes(known, ledger.id_rows(current))
     if label is not None:
@@ -99,7 +104,10 @@ def tables(
     return RunTables(updates, feed.delete_list(current, ledger.gone(changed)), ledger.added(changed), statuses, report, images)
 
 
-def _updates(profile: SiteProfile, catalog: DataFrame, pages: DataFrame, fields: list[str]) -> DataFrame:
+def _updates(
+    profile: SiteProfile, catalog: DataFrame, pages: DataFrame, fields: list[str],
+    bundles: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Product, colour and size rows of the pages, and placeholders for catalogue rows without a URL."""
     record = pages.schema["_records"].dataType.elementType
     details = [f.name for f in record if f.name != "color"]
@@ -112,7 +120,20 @@ def _updates(profile: SiteProfile, catalog: DataFrame, pages: DataFrame, fields:
     main = products.drop("_records").withColumn("level", F.lit(0))
     levels = products.where(F.size("_records") > 0).select(
         F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
-    return union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
+    if bundles is not None:
+        main = main.select("*", *kind_flags("normal"))
+    rows = union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
+    if bundles is None:
+        return rows
+    looks, lines = bundles
+    members = pages.where(fine).select(
+        "product_id", *fields, *[c for c in BUNDLE_COLUMNS if c in pages.columns],
+        F.transform("_records", lambda r: F.to_json(r)).alias("variants"),
+    )
+    return union_rows(
+        rows, bundle_masters(looks, "look"), bundle_masters(lines, "line"),
+        bundle_members(members, "look_id"), bundle_members(members, "line_id"),
+    )
 
 
 def catalog_without_url(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
@@ -136,8 +157,9 @@ def _statuses(catalog: DataFrame, new: DataFrame, unlisted: DataFrame) -> DataFr
 def run(
     profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str, run_id: str, stored: DataFrame | None = None,
     fmt: str = "parquet", ledger_buckets: int = ledger_store.BUCKETS, trial: int | None = None,
+    bundles: tuple[DataFrame, DataFrame] | None = None,
 ) -> RunTables:
-    """Run a site and write its feed version, ledger additions and reports below ``out``.
+    """Run a site and write its feed version, ledger additions, statuses, image manifest and reports below ``out``.
 
     Repeating a run id replaces what its earlier attempt wrote. ``trial`` limits a run to the first rows of each catalogue.
     """
@@ -146,9 +168,11 @@ def run(
         catalog = cat.trial(catalog, trial)
     pages = staged_pages(profile, catalog, fetched, run_id)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
-    result = tables(profile, catalog, pages, known, stored, label=run_id)
+    result = tables(profile, catalog, pages, known, stored, label=run_id, bundles=bundles)
     declared = feed.properties_table(spark, profile.properties)
     feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt)
     ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)
+    feed_store.write_table(result.statuses, f"{out}/statuses", run_id)
+    feed_store.write_table(result.images, f"{out}/images", run_id)
     reports.write_reports(result.report, f"{out}/reports")
     return result

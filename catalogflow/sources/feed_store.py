@@ -43,6 +43,11 @@ def write_feed(path: str, version: str, properties: DataFrame, deletes: DataFram
         files.remove(spark, f"{path}/version={old}")
 
 
+def write_table(df: DataFrame, path: str, version: str) -> None:
+    """Write one table of a run beside those of earlier runs; repeating the run replaces its own."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/version={version}")
+
+
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Complete versions, oldest first."""
     names = [n.partition("=")[2] for n in files.folders(spark, path) if n.startswith("version=")]

@@ -54,7 +54,9 @@ def test_vendor_feed_run(spark, out):
     with open(f"{out}/feed.xml", "w") as f:
         f.write(FEED)
     catalog = spark.createDataFrame([("1",), ("9",)], "product_id string")
-    result = feed_run.tables(vendor_feed.read_feed(spark, f"{out}/feed.xml"), catalog, "http://v.invalid/")
+    result = feed_run.run(vendor_feed.read_feed(spark, f"{out}/feed.xml"), catalog, f"{out}/run", "1", base="http://v.invalid/")
+    assert feed_store.read_feed(spark, f"{out}/run/feed", "delete").first().product_id == "1"
+    assert spark.read.parquet(f"{out}/run/statuses").count() == 2
     item = result.updates.first()
     assert result.updates.count() == 1
     assert (item.name_english, item.custom_price, item.in_stock, item.name_spanish) == ("Vase", "12.34", "NOT_IN_STOCK", None)
@@ -150,7 +152,8 @@ def test_site_run(spark, out):
     report = {r.catalog_id: r for r in result.report.collect()}
     assert (report["c"].scraped, report["c"].n102, report["c"].n104, report["c"].incomplete) == (4, 2, 1, False)
     assert report["e"].aborted and report["e"].incomplete and "Scraping terminated after error occurred on 2 urls." in report["e"].message
-    assert result.images.count() == 1
+    assert result.images.count() == spark.read.parquet(f"{out}/images").count() == 1
+    assert spark.read.parquet(f"{out}/statuses").count() == 10
     # The next run drops a size: its id is deleted, the ledger keeps it, and a repeat of the run changes nothing.
     for _attempt in range(2):
         site_run.run(SHOP, *inputs(spark, "#c=red;s=S;#c=blue;s=S;"), out, "0002", ledger_buckets=4)
@@ -159,6 +162,27 @@ def test_site_run(spark, out):
         assert ledger_store.read_ledger(spark, f"{out}/ledger").count() == 9
 
 
+def test_site_run_with_bundles(spark):
+    catalog, fetched = inputs(spark)
+    listed = catalog.withColumns({"look_id": F.when(F.col("product_id") == "p0", "L1").otherwise(""), "line_id": F.lit(None).cast("string"),
+                                  "order_index": F.col("ord").cast("int")})
+    looks = spark.createDataFrame([("L1", "Look one", "http://i/look.jpg")], "product_id string, name string, normal_image_url string")
+    lines = spark.createDataFrame([("N1", "Line one")], "product_id string, name string")
+    pages = site_run.staged_pages(SHOP, listed, fetched, "bundles")
+    result = site_run.tables(SHOP, listed, pages, ledger.id_rows(looks).where("false"), bundles=(looks, lines))
+    rows = {r.product_id: r for r in result.updates.collect()}
+    assert {"L1", "N1", "L1_p0", "p0", "p0_0"} <= set(rows) and "N1_p0" not in rows
+    member = rows["L1_p0"]
+    assert (member.master_product_id, member.style, member.name, member.order_index) == ("L1", "p0", "Zero!", 0)
+    assert member.variants[0] == '{"color":"red","size":"S"}' and rows["L1"].shop_look == "True"
+    assert {"L1_p0", "L1"} <= {r.product_id for r in result.deletes.collect()}
+
+
+def test_trial_run(spark, out):
+    result = site_run.run(SHOP, *inputs(spark), out, "1", trial=1, ledger_buckets=2)
+    assert {r.product_id for r in result.updates.where("level = 0").collect()} == {"p0"}
+
+
 def test_profiles_are_found_by_name():
     assert profile("test_shop") is SHOP
     with pytest.raises(KeyError, match="no site"):
