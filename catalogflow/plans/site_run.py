@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators import assets, catalog as cat, feed, ledger, matching, outcome
@@ -19,14 +20,67 @@ BUNDLE_COLUMNS = ("look_id", "line_id", "order_index")
 
 @dataclass(frozen=True)
 class RunTables:
-    """Everything a run yields, as lazy tables."""
+    """Everything a run yields from :func:`staged_pages` and the known ledger rows, each table planned when asked for.
 
-    updates: DataFrame
-    deletes: DataFrame
-    ledger_added: DataFrame
-    statuses: DataFrame
-    report: DataFrame
-    images: DataFrame
+    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well. ``bundles`` are the
+    looks and lines that the catalogue's ``look_id`` and ``line_id`` name.
+    """
+
+    profile: SiteProfile
+    catalog: DataFrame
+    pages: DataFrame
+    known: DataFrame
+    stored: DataFrame | None = None
+    run_date: Column | None = None
+    label: str | None = None
+    bundles: tuple[DataFrame, DataFrame] | None = None
+
+    @cached_property
+    def updates(self) -> DataFrame:
+        """Product, colour and size rows, placeholders and bundle rows."""
+        fields = [f for f in self.profile.fields if f != "product_id"]
+        return _updates(self.profile, self.catalog, self.pages, fields, self.bundles)
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        """Comparison of the run's ids with the ledger."""
+        changed = ledger.changes(self.known, ledger.id_rows(feed.update_and_delete(self.updates)[1]))
+        return changed if self.label is None else staged(changed, f"{self.profile.name}-{self.label}/ledger-changes")
+
+    @cached_property
+    def deletes(self) -> DataFrame:
+        """Ids to delete before the update."""
+        return feed.delete_list(feed.update_and_delete(self.updates)[1], ledger.gone(self.changes))
+
+    @cached_property
+    def ledger_added(self) -> DataFrame:
+        """Rows the ledger gains."""
+        return ledger.added(self.changes)
+
+    @cached_property
+    def statuses(self) -> DataFrame:
+        """Catalogue rows with their new status."""
+        new = self.pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
+        return _statuses(self.catalog, new, catalog_without_url(self.profile, self.catalog))
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """Counters and message of each catalogue."""
+        counts = outcome.counters(self.pages, max_errors=self.profile.max_errors)
+        done = outcome.completeness(self.pages, catalog_with_url(self.profile, self.catalog)).withColumnRenamed("message", "progress")
+        joined = done.drop("scraped").join(counts, "catalog_id", "left")
+        text = F.when(F.col("scraped").isNotNull(), outcome.report_message(self.profile.max_errors))
+        return joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
+
+    @cached_property
+    def images(self) -> DataFrame:
+        """Images to store, without those stored recently."""
+        wanted = self.pages.where(F.col("code").isNull()).select("product_id", F.explode("image_urls").alias("url"))
+        images = assets.manifest(wanted, self.profile.thumbs, self.profile.asset_name)
+        if self.stored is None:
+            return images
+        run_date = F.current_date() if self.run_date is None else self.run_date
+        return assets.stale(images, self.stored, run_date, self.profile.image_days)
 
 
 def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -72,38 +126,6 @@ def limited(profile: SiteProfile, pages: DataFrame, label: str) -> DataFrame:
     return outcome.cut_off(pages, limits, max_errors=profile.max_errors)
 
 
-def tables(
-    profile: SiteProfile, catalog: DataFrame, pages: DataFrame, known: DataFrame, stored: DataFrame | None = None,
-    run_date=None, label: str | None = None, bundles: tuple[DataFrame, DataFrame] | None = None,
-) -> RunTables:
-    """Derive every output of a run from :func:`staged_pages` and the known ledger rows.
-
-    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well. ``bundles`` are the looks and
-    lines that the catalogue's ``look_id`` and ``line_id`` name.
-    """
-    fields = [f for f in profile.fields if f != "product_id"]
-    updates = _updates(profile, catalog, pages, fields, bundles)
-    _, current = feed.update_and_delete(updates)
-    changed = ledger.changes(known, ledger.id_rows(current))
-    if label is not None:
-        changed = staged(changed, f"{profile.name}-{label}/ledger-changes")
-
-    counts = outcome.counters(pages, max_errors=profile.max_errors)
-    done = outcome.completeness(pages, catalog_with_url(profile, catalog)).withColumnRenamed("message", "progress")
-    joined = done.drop("scraped").join(counts, "catalog_id", "left")
-    text = F.when(F.col("scraped").isNotNull(), outcome.report_message(profile.max_errors))
-    report = joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
-
-    new = pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
-    statuses = _statuses(catalog, new, catalog_without_url(profile, catalog))
-
-    wanted = pages.where(F.col("code").isNull()).select("product_id", F.explode("image_urls").alias("url"))
-    images = assets.manifest(wanted, profile.thumbs, profile.asset_name)
-    if stored is not None:
-        images = assets.stale(images, stored, run_date if run_date is not None else F.current_date(), profile.image_days)
-    return RunTables(updates, feed.delete_list(current, ledger.gone(changed)), ledger.added(changed), statuses, report, images)
-
-
 def _updates(
     profile: SiteProfile, catalog: DataFrame, pages: DataFrame, fields: list[str],
     bundles: tuple[DataFrame, DataFrame] | None = None,
@@ -168,7 +190,7 @@ def run(
         catalog = cat.trial(catalog, trial)
     pages = staged_pages(profile, catalog, fetched, run_id)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
-    result = tables(profile, catalog, pages, known, stored, label=run_id, bundles=bundles)
+    result = RunTables(profile, catalog, pages, known, stored, label=run_id, bundles=bundles)
     declared = feed.properties_table(spark, profile.properties)
     feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt)
     ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)

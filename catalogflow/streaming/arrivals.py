@@ -29,5 +29,5 @@ def start(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str
 
 
 def finish(profile: SiteProfile, spark: SparkSession, out: str, label: str) -> DataFrame:
-    """Pages of all batches up to the error cut-off, as :func:`catalogflow.plans.site_run.tables` expects them."""
+    """Pages of all batches up to the error cut-off, as :func:`catalogflow.plans.site_run.RunTables` expects them."""
     return limited(profile, spark.read.parquet(out).drop("batch"), label)

@@ -169,7 +169,7 @@ def test_site_run_with_bundles(spark):
     looks = spark.createDataFrame([("L1", "Look one", "http://i/look.jpg")], "product_id string, name string, normal_image_url string")
     lines = spark.createDataFrame([("N1", "Line one")], "product_id string, name string")
     pages = site_run.staged_pages(SHOP, listed, fetched, "bundles")
-    result = site_run.tables(SHOP, listed, pages, ledger.id_rows(looks).where("false"), bundles=(looks, lines))
+    result = site_run.RunTables(SHOP, listed, pages, ledger.id_rows(looks).where("false"), bundles=(looks, lines))
     rows = {r.product_id: r for r in result.updates.collect()}
     assert {"L1", "N1", "L1_p0", "p0", "p0_0"} <= set(rows) and "N1_p0" not in rows
     member = rows["L1_p0"]
@@ -198,8 +198,8 @@ def test_arrivals_match_a_batch_run(spark, out):
         stream = spark.readStream.schema(fetched.schema).parquet(f"{out}/in")
         arrivals.start(SHOP, catalog, stream, f"{out}/pages", f"{out}/check").awaitTermination()
     empty = ledger_store.read_ledger(spark, f"{out}/none")
-    streamed = site_run.tables(SHOP, catalog, arrivals.finish(SHOP, spark, f"{out}/pages", "arrived"), empty)
-    batch = site_run.tables(SHOP, catalog, site_run.staged_pages(SHOP, catalog, fetched, "compare"), empty)
+    streamed = site_run.RunTables(SHOP, catalog, arrivals.finish(SHOP, spark, f"{out}/pages", "arrived"), empty)
+    batch = site_run.RunTables(SHOP, catalog, site_run.staged_pages(SHOP, catalog, fetched, "compare"), empty)
     for name in ("updates", "deletes", "statuses", "report"):
         a, b = getattr(streamed, name), getattr(batch, name)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
