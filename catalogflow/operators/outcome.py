@@ -166,6 +166,11 @@ def message_line(text: Column, blank_lines: int = 0, tabs: int = 0) -> Column:
     return F.concat(F.lit("\n" * (1 + blank_lines) + "\t" * tabs), text)
 
 
+def final_message(log: Column, report: Column) -> Column:
+    """Message log and report text in one."""
+    return F.concat(log, F.lit(" \n\n "), report)
+
+
 def settings_line(language: Column, production: Column, upload: Column, file: Column) -> Column:
     """The settings of a run in one line."""
     # Wording of the settings line.

@@ -43,7 +43,7 @@ def size(c: Column) -> Column:
     return F.length(c).cast("bigint")
 
 
-def entry_line_ord() -> Column:
+def line_ord() -> Column:
     """Position of an order line: dense in the order key."""
     return F.col("l_orderkey") * 8 + F.col("l_linenumber")
 

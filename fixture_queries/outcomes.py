@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from catalogflow.operators import outcome
-from catalogflow.operators.catalog import first_by_id
 from catalogflow.session import shared_folder
 from catalogflow.sources.reports import write_reports
 from fixture_queries.base import query
@@ -94,13 +93,15 @@ def _(t):
            || CASE WHEN o_totalprice > 100000 THEN ' on production ' ELSE ' on development ' END
            || CASE WHEN o_orderpriority = '1-URGENT' THEN 'with upload ' ELSE 'without upload ' END
            || 'for ' || o_orderpriority || ' catalog' AS line,
-           chr(10) || chr(10) || chr(9) || o_orderpriority AS log_line
+           chr(10) || chr(10) || chr(9) || o_orderpriority AS log_line,
+           o_orderpriority || ' ' || chr(10) || chr(10) || ' ' || o_orderstatus AS final
     FROM orders""")
 def _(t):
     language = F.when(F.col("o_orderstatus") == "O", "us").when(F.col("o_orderstatus") == "F", "english").otherwise("french")
     line = outcome.settings_line(
         language, F.col("o_totalprice") > 100000, F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority"))
-    return t.orders.select("o_orderkey", line.alias("line"), outcome.message_line(F.col("o_orderpriority"), 1, 1).alias("log_line"))
+    return t.orders.select("o_orderkey", line.alias("line"), outcome.message_line(F.col("o_orderpriority"), 1, 1).alias("log_line"),
+                           outcome.final_message(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("final"))
 
 
 @query("ag_05_completeness", _CUT + """

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions.numbering import letters
 from catalogflow.operators import variants
-from fixture_queries.base import entry_line_ord, query
+from fixture_queries.base import line_ord, query
 
 _LETTER = """CASE WHEN {0} < 26 THEN chr(CAST(97 + {0} AS INTEGER))
                   ELSE chr(CAST(97 + ({0} - 26) // 26 AS INTEGER)) || chr(CAST(97 + ({0} - 26) % 26 AS INTEGER)) END"""
@@ -23,7 +23,7 @@ def colors(t):
     """Suppliers of parts as their colours."""
     return t.lineitem.select(
         F.col("l_partkey").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("color"),
-        entry_line_ord().alias("ord"),
+        line_ord().alias("ord"),
     )
 
 
@@ -31,7 +31,7 @@ def sizes(t):
     """Quantities of part and supplier as sizes, the first line of each giving its position."""
     key = [F.col("l_partkey").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("color"),
            F.col("l_quantity").cast("bigint").cast("string").alias("size")]
-    return t.lineitem.groupBy(*key).agg(F.min(entry_line_ord()).alias("ord"))
+    return t.lineitem.groupBy(*key).agg(F.min(line_ord()).alias("ord"))
 
 
 @query("wn_03_letter_numbering", f"""
@@ -83,7 +83,7 @@ def _(t):
 def _(t):
     options = t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey", F.col("l_quantity").cast("bigint").alias("size"))
     names = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("color"))
-    shown = t.lineitem.select("l_partkey", "l_suppkey", entry_line_ord().alias("ord")).join(names, "l_suppkey")
+    shown = t.lineitem.select("l_partkey", "l_suppkey", line_ord().alias("ord")).join(names, "l_suppkey")
     return variants.join_options(options, shown, ["l_partkey", "l_suppkey"])
 
 
@@ -98,7 +98,7 @@ def _(t):
                        ORDER BY l_orderkey * 8 + l_linenumber, l_suppkey) = 1) s ON s.l_partkey = p_partkey""")
 def _(t):
     table = t.lineitem.select(
-        F.col("l_partkey").alias("p_partkey"), entry_line_ord().alias("ord"), F.col("l_returnflag").alias("flag"),
+        F.col("l_partkey").alias("p_partkey"), line_ord().alias("ord"), F.col("l_returnflag").alias("flag"),
         F.col("l_suppkey").alias("supplier"),
     )
     rows = t.part.select("p_partkey", "p_name")
