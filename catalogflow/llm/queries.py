@@ -5,18 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalogflow.llm import mixing
+from catalogflow.llm import digests, mixing, packing, secrets
 from catalogflow.llm.common import table
 
 
+def word_tokenizer() -> str:
+    """Where the public tokenizer of the packing query lies; only its path is a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's block, the slot of that block in the mixture, and its place in the block."""
     docs = table(spark, folder, "documents").select("doc_id", "source", "n_chars")
     return mixing.mix(docs).drop("n_chars")
 
 
+def op2_pack_tiers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in a sequence, with a checksum of its ids."""
+    pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every text."""
+    docs = table(spark, folder, "documents")
+    return secrets.digest_columns(secrets.scan(docs, secrets.fit(docs)), secrets.KINDS[:3])
+
+
+def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and its edited form."""
+    return digests.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources,)
+    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op10_fingerprint)
 }
 ORACLE: dict[str, str] = {}
