@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import digests, mixing, packing, quality, secrets
+from catalogflow.llm import digests, mixing, packing, quality, secrets, toxicity
 from catalogflow.llm.common import table
 
 
@@ -36,6 +36,12 @@ def op3_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest_columns(secrets.scan(docs, secrets.fit(docs)), secrets.KINDS[:3])
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text."""
     docs = table(spark, folder, "documents")
@@ -48,6 +54,6 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op9_quality, op10_fingerprint)
+    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op5_toxicity, op9_quality, op10_fingerprint)
 }
 ORACLE: dict[str, str] = {}
