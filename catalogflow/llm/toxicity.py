@@ -1,9 +1,10 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over word and character inputs, in numpy.
 
 A word is the sum of two learned parts: an embedding, if it is one of the frequent words of the learning texts (the first
-coordinate starts at the word's class log-odds there), beside the mean embedding of its hashed character triples. Windows
-of ``T`` words overlap by half and cover every word of a text; the text's logit is that of its worst window, calibrated by
-a logistic fit with the logarithm of the number of windows. The network learns from the worst window of each toxic text
+coordinate starts at the word's class log-odds there), beside the mean embedding of its hashed character triples and
+beginnings (of which the first coordinate starts at their log-odds likewise). Windows
+of ``T`` words overlap by half and cover every word of a text; a text's score is a logistic fit of its worst window's logit,
+its windows' mean logit and the logarithm of their number. The network learns from the worst window of each toxic text
 and from random and worst windows of the others.
 """
 
@@ -21,19 +22,22 @@ from pyspark.sql import functions as F
 from catalogflow.llm.common import WORD, by_batch, learning_texts, remainder, texts
 from catalogflow.llm.nets import Adam, Params, constant_logit, logistic, sigmoid
 
-T, STEP = 24, 12  # words in a window, and from one window to the next
-E, H, TRIPLES, LONGEST = 8, 8, 1024, 24  # sizes: each embedding, each direction, character buckets, triples read of a word's start and end
+T, STEP = 32, 16  # words in a window, and from one window to the next
+E, H, LONGEST = 8, 8, 24  # sizes: each embedding, each direction, triples read of a word's start and end
+TRIPLES, BEGINNINGS, LENGTHS = 2048, 8192, (4, 5, 6, 7)  # buckets of character triples and of a word's beginnings
+PIECES = TRIPLES + BEGINNINGS
 VOCABULARY = 20_000
 CACHE = 150_000  # distinct words whose inputs a task remembers
-BLOCK = 4096  # windows run at once
+BLOCK = 2048  # windows run at once
 
 
-def triples(word: str) -> list[int]:
-    """Buckets of the character triples of a word; of a very long word those of both ends."""
+def pieces(word: str) -> list[int]:
+    """Buckets of the character triples of a word (of a very long word those of both ends) and of its beginnings."""
     w = f"<{word}>"
     n = len(w) - 2
     at = range(n) if n <= LONGEST else [*range(LONGEST // 2), *range(n - LONGEST // 2, n)]
-    return [zlib.crc32(w[i : i + 3].encode()) % TRIPLES for i in at]
+    starts = [TRIPLES + zlib.crc32(word[:n].encode()) % BEGINNINGS for n in LENGTHS if len(word) >= n]
+    return [zlib.crc32(w[i : i + 3].encode()) % TRIPLES for i in at] + starts
 
 
 @dataclass
@@ -42,13 +46,13 @@ class Toxicity:
 
     index: dict[str, int] = field(default_factory=dict)  # word -> row of the embedding; 0 is any other word
     params: Params = field(default_factory=dict)
-    calibration: np.ndarray | None = None  # for (worst logit, log of windows, 1)
+    calibration: np.ndarray | None = None  # for (worst logit, mean logit, log of windows, 1)
     fixed: float | None = None
 
     def inputs(self, some: list[str]) -> np.ndarray:
         """Word and character parts of words."""
         p, out = self.params, np.zeros((len(some), 2 * E), dtype=np.float32)
-        lists = [triples(w) for w in some]
+        lists = [pieces(w) for w in some]
         count = np.array([len(x) for x in lists])
         if len(some):
             flat = np.concatenate([np.array(x, dtype=np.int64) for x in lists])
@@ -161,7 +165,7 @@ def _loss_gradients(p: Params, words_: np.ndarray, char_ids: np.ndarray, char_n:
     np.add.at(g["words"], words_[~pad], dx[..., :E][~pad])
     share = np.repeat((dx[..., E:] / char_n[..., None])[:, :, None], char_ids.shape[2], axis=2)
     np.add.at(g["chars"], char_ids.reshape(-1), share.reshape(-1, E))
-    g["chars"][-1] = 0  # the padding of the triples
+    g["chars"][-1] = 0  # the padding of the pieces
     return g
 
 
@@ -180,11 +184,19 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
                 toxic.update(own)
     frequent = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n > 1][:VOCABULARY]
     bad, good = float(y[~rest].sum()), float((1 - y[~rest]).sum())
-    odds = np.array([np.log((toxic[w] + 0.5) / (bad + 1)) - np.log((seen[w] - toxic[w] + 0.5) / (good + 1)) for w in frequent])
+    log_odds = lambda t, n: np.log((t + 0.5) / (bad + 1)) - np.log((n - t + 0.5) / (good + 1))
+    odds = np.array([log_odds(toxic[w], seen[w]) for w in frequent])
     model = Toxicity({w: i + 1 for i, w in enumerate(frequent)})
-    p = {"words": rng.normal(0, 0.05, (len(frequent) + 1, E)), "chars": rng.normal(0, 0.05, (TRIPLES + 1, E))}
+    p = {"words": rng.normal(0, 0.05, (len(frequent) + 1, E)), "chars": rng.normal(0, 0.05, (PIECES + 1, E))}
     p["words"][1:, 0] = np.clip(odds, -2, 4)
     p["chars"][-1] = 0
+    starts = np.zeros((2, PIECES))  # texts with a beginning: toxic ones, all
+    for s, label, r in zip(split, y, rest, strict=True):
+        if not r:
+            own = list({b for w in set(s) for b in pieces(w) if b >= TRIPLES})
+            starts[1, own] += 1
+            starts[0, own] += label
+    p["chars"][:PIECES, 0] += np.where(starts[1] > 2, 2 * np.clip(log_odds(*starts), -1, 4), 0)
     for side in (0, 1):
         p |= {f"w{side}_in": rng.normal(0, 0.3, (2 * E, 3 * H)), f"u{side}": rng.normal(0, 0.3, (H, 3 * H))}
     p |= {"b0": np.zeros(3 * H), "b1_in": np.zeros(3 * H), "wa": rng.normal(0, 0.3, (2 * H, H)), "va": rng.normal(0, 0.3, H),
@@ -193,8 +205,8 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
 
     vocabulary = sorted({w for s in split for w in s})
     number = {w: i for i, w in enumerate(vocabulary)}
-    lists = [triples(w) for w in vocabulary]
-    char_ids = np.full((len(vocabulary) + 1, LONGEST), TRIPLES, dtype=np.int64)
+    lists = [pieces(w) for w in vocabulary]
+    char_ids = np.full((len(vocabulary) + 1, LONGEST + len(LENGTHS)), PIECES, dtype=np.int64)
     for i, x in enumerate(lists):
         char_ids[i, : len(x)] = x
     char_n = np.array([max(len(x), 1) for x in lists] + [1], dtype=np.float64)
@@ -216,15 +228,21 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
         for at in range(0, len(picks), 64):
             w = np.stack([win[i][k] for i, k in picks[at : at + 64]])
             label = np.array([y[i] for i, _ in picks[at : at + 64]], dtype=np.float64)
-            adam.step(_loss_gradients(p, row[w], char_ids[w], char_n[w], label, np.where(label > 0, min(good / bad, 4.0), 1.0)))
+            rows_ = row[w]  # a third of the words is hidden, so that the characters must tell as well
+            rows_ = np.where((rows_ > 0) & (rng.random(rows_.shape) < 0.35), 0, rows_)
+            adam.step(_loss_gradients(p, rows_, char_ids[w], char_n[w], label, np.where(label > 0, min(good / bad, 4.0), 1.0)))
     model.params = {k: np.asarray(v, dtype=np.float32) for k, v in p.items()}
     projected = project(model.inputs(vocabulary), model.params)
-    top = lambda i: float(window_logits(projected, win[i], model.params).max())
     held = np.flatnonzero(rest) if len(np.unique(y[rest])) == 2 else np.arange(len(y))
-    model.calibration = logistic(np.column_stack([[top(i) for i in held], np.log([len(win[i]) for i in held])]), y[held].astype(np.float64))
+    model.calibration = logistic(_summary([window_logits(projected, win[i], model.params) for i in held]), y[held].astype(np.float64))
     return model
 
 
+def _summary(logits: list[np.ndarray]) -> np.ndarray:
+    """What the calibration sees of the windows of each text."""
+    return np.array([[x.max(), x.mean(), np.log(len(x))] for x in logits])
+
+
 class Scorer:
     """Scores texts with a memory of the inputs of words met before."""
 
@@ -262,8 +280,8 @@ class Scorer:
         win = [window_ids(np.array(list(map(self.number.__getitem__, s)), dtype=np.int64), pad) for s in split]
         logit = window_logits(self.projected, np.vstack(win), self.model.params)
         count = np.array([len(w) for w in win])
-        worst = np.maximum.reduceat(logit, np.concatenate([[0], np.cumsum(count)[:-1]]))
-        return np.column_stack([worst, np.log(count), np.ones(len(count))]) @ self.model.calibration
+        seen = _summary(np.split(logit, np.cumsum(count)[:-1]))
+        return np.column_stack([seen, np.ones(len(count))]) @ self.model.calibration
 
 
 def fit(docs: DataFrame, labels: DataFrame, divisor: int = 5, held_out: int = 0, rows: int = 5000, chars: int = 20_000) -> Toxicity:
