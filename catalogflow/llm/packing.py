@@ -10,6 +10,8 @@ The windows of a pool are then dealt to step groups of equal size by descending
 from __future__ import annotations
 
 import bisect
+import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,55 +22,77 @@ from pyspark.sql import DataFrame
 from catalogflow.llm.common import small_batches, texts
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, context long, step_group long"
-CACHE = 400_000  # chunks whose ids a task remembers; beyond that it starts anew
+CACHE = 400_000  # chunks whose ids a worker remembers; beyond that it starts anew
+
+
+# A chunk of letters up to U+00FF and then signs: two words of the tokenizer at most, whose bytes it writes as printable letters.
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512), strict=False))
 
 
 class ChunkTokenizer:
     """Ids of texts by a tokenizer, remembered for each run of characters between blanks and line ends.
 
     The tokenizers handled here cut texts at white space before they encode, so the ids of a text are those of its chunks.
+    With ``lower_words`` the tokenizer is known to lower its input and to cut letters from signs, and plain chunks go
+    straight to its vocabulary; all others through the whole tokenizer. Results are the same.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, lower_words: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.lower_words = lower_words
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids, self.n, self.used = np.zeros(1 << 20, dtype=np.uint32), 0, 0
-        self.first, self.count = np.zeros(CACHE * 2, dtype=np.int64), np.zeros(CACHE * 2, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+        self.first, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _ids(self, chunk: str) -> list[int]:
+        if self.lower_words and (m := _PLAIN.fullmatch(chunk.lower())):
+            if chunk.isascii():
+                word = m[1]
+            else:
+                word = m[1].encode().decode("latin-1").translate(_BYTES)
+            out = [t.id for t in self.tokenizer.model.tokenize(word)]
+            return out + [t.id for t in self.tokenizer.model.tokenize(m[2])] if m[2] else out
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for chunk, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = e.ids
-                if self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), dtype=np.uint32)])
-                if self.n == len(self.first):
-                    self.first, self.count = (np.concatenate([x, np.zeros(len(x), dtype=np.int64)]) for x in (self.first, self.count))
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.first[self.n], self.count[self.n] = self.used, len(ids)
-                self.index[chunk] = self.n
-                self.used += len(ids)
-                self.n += 1
-
-    def encode(self, text: str) -> np.ndarray:
-        chunks = text.replace("\n", " ").split(" ")
-        if self.n > CACHE:
+        ids: list[int] = []
+        count = []
+        for chunk in new:
+            own = self._ids(chunk)
+            ids += own
+            count.append(len(own))
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        at = len(self.ids) + np.cumsum([0, *count])[:-1]
+        self.ids = np.concatenate([self.ids, np.array(ids, dtype=np.uint32)])
+        self.first, self.count = np.concatenate([self.first, at]), np.concatenate([self.count, np.array(count, dtype=np.int64)])
+
+    def encode(self, some: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if len(self.index) > CACHE:
             self.clear()
-        get = self.index.get
-        at = list(map(get, chunks))
-        if None in at:
-            self._learn(list({c for c, i in zip(chunks, at, strict=True) if i is None}))
-            at = list(map(self.index.__getitem__, chunks))
-        at = np.array(at, dtype=np.int64)
-        count = self.count[at]
-        ends = np.cumsum(count)
-        # position in `ids`: the start of the chunk plus the distance from where the chunk begins in the text
-        return self.ids[np.repeat(self.first[at] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        split = [t.replace("\n", " ").split(" ") for t in some]
+        index = self.index
+        if new := list({c for chunks in split for c in chunks if c not in index}):
+            self._learn(new)
+        for chunks in split:
+            at = np.array(list(map(index.__getitem__, chunks)), dtype=np.int64)
+            count = self.count[at]
+            ends = np.cumsum(count)
+            # position in `ids`: the start of the chunk plus the distance from where the chunk begins in the text
+            yield self.ids[np.repeat(self.first[at] - (ends - count), count) + np.arange(ends[-1])]
+
+
+@functools.lru_cache(maxsize=1)
+def tokenizer_of(path: str, lower_words: bool) -> ChunkTokenizer:
+    """One tokenizer for all tasks of a Python worker."""
+    return ChunkTokenizer(path, lower_words)
 
 
 Piece = tuple[int, int, int]  # document of the pool, start, length
@@ -146,7 +170,7 @@ def step_groups(windows: list[tuple[int, list[Piece]]], tokens: int) -> list[int
 
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 4096, shortest: int = 512, least: int = 64, end_id: int = 2,
-    pool_tokens: int = 1 << 22, step_tokens: int = 1 << 16, order: list | None = None,
+    pool_tokens: int = 1 << 22, step_tokens: int = 1 << 16, order: list | None = None, lower_words: bool = False,
 ) -> DataFrame:
     """Pieces of all documents in sequences: the real ids (little-endian 32-bit), place, context size and step group.
 
@@ -158,7 +182,7 @@ def pack(
     tiers = tuple(t for t in (1 << k for k in range(capacity.bit_length())) if shortest <= t <= capacity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkTokenizer(tokenizer)
+        encoder = tokenizer_of(tokenizer, lower_words)
         base, groups_done = TaskContext.get().partitionId() << 40, 0
         done, pool, held = 0, [], 0
 
@@ -182,8 +206,8 @@ def pack(
                 yield _piece_batch(rows)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                ids = np.append(encoder.encode(text), np.uint32(end_id)).astype("<u4")
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts(batch)), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 pool.append((doc_id, ids))
                 held += len(ids)
                 if held >= pool_tokens:

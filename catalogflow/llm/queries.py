@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import digests, mixing, packing, quality, secrets, toxicity
+from catalogflow.llm import digests, mixing, packing, personal, quality, secrets, toxicity
 from catalogflow.llm.common import table
 
 
@@ -26,7 +26,7 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_pack_tiers(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document in a sequence, with a checksum of its ids."""
-    pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer())
+    pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer(), lower_words=True)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
@@ -36,6 +36,12 @@ def op3_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest_columns(secrets.scan(docs, secrets.fit(docs)), secrets.KINDS[:3])
 
 
+def op4_personal(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every text."""
+    docs = table(spark, folder, "documents")
+    return secrets.digest_columns(personal.scan(docs, personal.fit(docs)), personal.KINDS, "base")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text."""
     docs = table(spark, folder, "documents")
@@ -54,6 +60,6 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op5_toxicity, op9_quality, op10_fingerprint)
+    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op4_personal, op5_toxicity, op9_quality, op10_fingerprint)
 }
 ORACLE: dict[str, str] = {}

@@ -131,10 +131,10 @@ def scan(docs: DataFrame, model: Markov) -> DataFrame:
     return by_batch(docs.select("doc_id", "text"), run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
-def digest_columns(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
-    """Counts of base spans, the hash of their list, and the list of all spans."""
+def digest_columns(found: DataFrame, base: tuple[str, ...], source: str = "spans") -> DataFrame:
+    """Counts of base spans (those of kinds ``base`` in column ``source``), the hash of their list, and the list of all spans."""
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    only = F.filter("spans", lambda s: s["kind"].isin(*base))
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    only = F.filter(source, lambda s: s["kind"].isin(*base))
+    count = lambda kind: F.size(F.filter(source, lambda s: s["kind"] == kind)).cast("long")
     counts = [count(k).alias(f"n_{k}") for k in base]
     return found.select("doc_id", *counts, F.sha2(said(only), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
