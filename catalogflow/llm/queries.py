@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import digests, mixing, packing, personal, quality, secrets, toxicity
+from catalogflow.llm import digests, licenses, mixing, neardup, nearest, packing, personal, quality, secrets, toxicity
 from catalogflow.llm.common import table
 
 
@@ -48,6 +48,21 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of linked texts of every document."""
+    return neardup.groups(table(spark, folder, "documents"))
+
+
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in every text."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every query vector."""
+    return nearest.search(table(spark, folder, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text."""
     docs = table(spark, folder, "documents")
@@ -60,6 +75,6 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op4_personal, op5_toxicity, op9_quality, op10_fingerprint)
+    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op4_personal, op5_toxicity, op6_near_duplicates, op7_licenses, op8_nearest, op9_quality, op10_fingerprint)
 }
 ORACLE: dict[str, str] = {}
