@@ -189,10 +189,16 @@ def groups(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     rest = rest.join(lead, "lead", "left").withColumn("lc", F.coalesce("lc", "lead"))
     several = rest.groupBy("band", "key").agg(F.max(F.col("c") != F.col("lc")).alias("open")).where("open").select("band", "key")
     rest = staged(rest.join(several, ["band", "key"]).withColumn("g", F.floor(F.col("d") / (1 - similar))), "open")
-    x = rest.where("c <> lc").select("band", "key", "g", "doc_id", "n", "c", "d")
-    y = rest.select("band", "key", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1)).alias("g"), F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("d").alias("dy"))
+    # shingles that no other of these texts has cannot be shared: what is left bounds the similarity of any pair from above
+    open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.explode("s").alias("h"))
+    alone = open_sets.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
+    rest = rest.join(alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("u")), "doc_id", "left").withColumn("most", F.col("n") - F.coalesce("u", F.lit(0)))
+    rest = rest.where(F.col("most") >= similar * F.col("n"))
+    x = rest.where("c <> lc").select("band", "key", "g", "doc_id", "n", "c", "d", "most")
+    y = rest.select("band", "key", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1)).alias("g"), F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("d").alias("dy"), F.col("most").alias("my"))
     more = x.join(y, ["band", "key", "g"]).where(
-        (F.col("c") != F.col("cy")) & (F.abs(F.col("d") - F.col("dy")) <= 1 - similar + 1e-9) & (F.least("n", "ny") >= similar * F.greatest("n", "ny")))
+        (F.col("c") != F.col("cy")) & (F.abs(F.col("d") - F.col("dy")) <= 1 - similar + 1e-9) 
+        & (F.least("n", "ny") >= similar * F.greatest("n", "ny")) & (F.least("most", "my") * (1 + similar) >= similar * (F.col("n") + F.col("ny"))))
     more = more.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct()
     more = more.join(stars.select("a", "b"), ["a", "b"], "left_anti")
     more_links = staged(compared(more, sets).where(F.col("similarity") >= similar), "links")

@@ -11,7 +11,6 @@ and from random and worst windows of the others.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -104,7 +103,7 @@ def windows(n: int) -> np.ndarray:
 def window_ids(ids: np.ndarray, pad: int) -> np.ndarray:
     """Word numbers of each window of a text."""
     starts = windows(len(ids))
-    padded = np.concatenate([ids, np.full(T, pad, dtype=np.int64)])
+    padded = np.concatenate([ids, np.full(T, pad, dtype=ids.dtype)])
     return padded[starts[:, None] + np.arange(T)]
 
 
@@ -175,25 +174,28 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
     if len(np.unique(y[~rest])) < 2:
         return Toxicity(fixed=constant_logit(y))
     rng = np.random.default_rng(seed)
-    split = [WORD.findall(t.lower()) for t in some]
-    seen, toxic = Counter(), Counter()
-    for s, label, r in zip(split, y, rest, strict=True):
+    number: dict[str, int] = {}
+    ids = [np.array([number.setdefault(w, len(number)) for w in WORD.findall(t.lower())], dtype=np.int32) for t in some]
+    vocabulary = list(number)
+    seen, toxic = (np.zeros(len(vocabulary), dtype=np.int64) for _ in range(2))  # texts with a word
+    for x, label, r in zip(ids, y, rest, strict=True):
         if not r:
-            seen.update(own := set(s))
-            if label:
-                toxic.update(own)
-    frequent = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n > 1][:VOCABULARY]
+            seen[own := np.unique(x)] += 1
+            toxic[own] += int(label)
+    frequent = [vocabulary[i] for i in sorted(np.flatnonzero(seen > 1), key=lambda i: (-seen[i], vocabulary[i]))[:VOCABULARY]]
     bad, good = float(y[~rest].sum()), float((1 - y[~rest]).sum())
     log_odds = lambda t, n: np.log((t + 0.5) / (bad + 1)) - np.log((n - t + 0.5) / (good + 1))
-    odds = np.array([log_odds(toxic[w], seen[w]) for w in frequent])
+    common = np.array([number[w] for w in frequent], dtype=np.int64)
+    odds = log_odds(toxic[common], seen[common])
     model = Toxicity({w: i + 1 for i, w in enumerate(frequent)})
     p = {"words": rng.normal(0, 0.05, (len(frequent) + 1, E)), "chars": rng.normal(0, 0.05, (PIECES + 1, E))}
     p["words"][1:, 0] = np.clip(odds, -2, 4)
     p["chars"][-1] = 0
+    lists = [pieces(w) for w in vocabulary]
     starts = np.zeros((2, PIECES))  # texts with a beginning: toxic ones, all
-    for s, label, r in zip(split, y, rest, strict=True):
+    for x, label, r in zip(ids, y, rest, strict=True):
         if not r:
-            own = list({b for w in set(s) for b in pieces(w) if b >= TRIPLES})
+            own = list({b for i in np.unique(x) for b in lists[i] if b >= TRIPLES})
             starts[1, own] += 1
             starts[0, own] += label
     p["chars"][:PIECES, 0] += np.where(starts[1] > 2, 2 * np.clip(log_odds(*starts), -1, 4), 0)
@@ -203,15 +205,11 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
           "w1": rng.normal(0, 0.3, (2 * H, H)), "b1": np.zeros(H), "w2": rng.normal(0, 0.3, H), "b2": np.zeros(())}
     model.params = p
 
-    vocabulary = sorted({w for s in split for w in s})
-    number = {w: i for i, w in enumerate(vocabulary)}
-    lists = [pieces(w) for w in vocabulary]
-    char_ids = np.full((len(vocabulary) + 1, LONGEST + len(LENGTHS)), PIECES, dtype=np.int64)
+    char_ids = np.full((len(vocabulary) + 1, LONGEST + len(LENGTHS)), PIECES, dtype=np.int32)
     for i, x in enumerate(lists):
         char_ids[i, : len(x)] = x
     char_n = np.array([max(len(x), 1) for x in lists] + [1], dtype=np.float64)
     row = np.array([model.index.get(w, 0) for w in vocabulary] + [-1])
-    ids = [np.array([number[w] for w in s], dtype=np.int64) for s in split]
     win = [window_ids(x, len(vocabulary)) for x in ids]
     learn = np.flatnonzero(~rest)
     lift = np.append([odds[model.index[w] - 1] if w in model.index else 0.0 for w in vocabulary], -9)
