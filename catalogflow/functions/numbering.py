@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LETTERS = 7  # letters enough for every position of a 32-bit count
+_LETTERS = 14  # letters enough for every position a bigint can hold
 
 
 def letters(position: Column) -> Column:
@@ -14,8 +14,9 @@ def letters(position: Column) -> Column:
     result = F
     for length in range(1, _LETTERS + 1):
         first = sum(26**n for n in range(1, length))  # positions that have fewer letters
-        chars = [F.char(F.floor((p - first) / 26**i) % 26 + 97) for i in reversed(range(length))]
-        result = result.when(p < first + 26**length, F.concat(*chars))
+        chars = [F.char(F.call_function("div", p - first, F.lit(26**i)) % 26 + 97) for i in reversed(range(length))]
+        text = F.concat(*chars)
+        result = result.when(p < first + 26**length, text) if length < _LETTERS else result.otherwise(text)
     return result
 
 

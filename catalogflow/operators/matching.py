@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators.joins import join_reduced
-from catalogflow.operators.ordering import HOT_ROWS, first_rows, numbered
+from catalogflow.operators.ordering import first_rows, numbered
 
 
 def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", url: str = "url") -> DataFrame:
@@ -21,11 +21,11 @@ def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested
 
 def match_nth(
     pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", page_ord: str = "fetch_ord",
-    url: str = "url", hot_rows: int = HOT_ROWS,
+    url: str = "url",
 ) -> DataFrame:
-    """The n-th page of a URL with the n-th catalogue row of that URL."""
-    left = numbered(pages, [page_url], [page_ord], "_nth", hot_rows=hot_rows)
-    right = numbered(catalog, [url], ["ord"], "_row", hot_rows=hot_rows)
+    """The n-th page of a URL with the n-th catalogue row of that URL; rows without a URL match nothing."""
+    left = numbered(pages.where(F.col(page_url).isNotNull()), [page_url], [page_ord], "_nth")
+    right = numbered(catalog.where(F.col(url).isNotNull()), [url], ["ord"], "_row")
     right = right.withColumnRenamed(url, "_url")
     on = (F.col(page_url) == F.col("_url")) & (F.col("_nth") == F.col("_row"))
     return left.join(right, on).drop("_nth", "_row", "_url")

@@ -1,65 +1,50 @@
 """Numbering and list building that hold when one key owns a third of all rows.
 
-A window over such a key would sort the whole key in one task. Keys with very many rows are found first, and
-their range of the leading order column is cut into parts. Rows are then numbered inside ``(key, part)``, and the sizes
-of a hot key's parts give the offset of each. All other keys have one part and pay little more than a plain window.
+A window over such a key would sort the whole key in one task. Rows are therefore dealt by range over key, order and a
+hash of all columns, so that every key is cut where it is large, whatever its order column looks like. Rows are numbered
+inside each (range, key), and the counts of a key's earlier ranges give the offset of each.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000  # rows of one key that one task may sort
-SHARE = 64  # one row in so many is counted to find the keys that may be hot
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: ``(keys, _rows, _low, _high)``, the last two from the first order column.
-
-    Likely keys come from counting rows whose hash falls in one of ``SHARE`` classes, so ordinary keys cost almost no
-    shuffle; the likely ones are then counted exactly. A key that is missed is merely numbered in one task.
-    """
-    lead = F.col(order[0]).cast("double")
-    counted = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(SHARE)) == 0).groupBy(*keys).agg(F.count("*").alias("_seen"))
-    likely = counted.where(F.col("_seen") > hot_rows / SHARE).select(*keys)
-    exact = df.join(F.broadcast(likely), list(keys)).groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.min(lead).alias("_low"), F.max(lead).alias("_high"))
-    return exact.where(F.col("_rows") > hot_rows)
+from catalogflow.session import staged
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", start: int = 0, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", start: int = 0, parts: int | None = None
 ) -> DataFrame:
-    """Number the rows of each key from ``start`` in the given order.
+    """Number the rows of each key from ``start`` in the given order; null keys are a key, null order values come first.
 
-    The first order column must be numeric and should vary inside a key. The rows are shuffled once, and ``df`` is read again
-    for narrow columns, so stage it first if it is costly. What is broadcast is bounded: of ``n`` rows at most
-    ``n / hot_rows`` keys are hot, and they have at most twice as many parts.
+    ``df`` is read once (and sampled for the ranges) and written to the shared folder with its range. Only rows that are
+    equal in every column stay in one range for certain. ``parts`` sets the number of ranges; otherwise it follows the size.
     """
-    hot = hot_keys(df, keys, order, hot_rows)
-    lead = F.col(order[0]).cast("double")
-    parts = F.ceil(F.col("_rows") / hot_rows)
-    part = F.floor((lead - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * parts)
-    tagged = df.join(F.broadcast(hot), list(keys), "left").withColumn("_part", F.coalesce(part, F.lit(0)))
+    by = [*keys, *order, F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(*by) if parts is None else df.repartitionByRange(parts, *by)
+    rows = staged(ranged.withColumn("_part", F.spark_partition_id()), f"numbered-{uuid.uuid4().hex}")
 
     split = [*keys, "_part"]
-    sizes = tagged.where(F.col("_rows").isNotNull()).groupBy(*split).agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*split, F.sum("_size").over(before).alias("_before"))
+    sizes = rows.groupBy(*split).agg(F.count("*").alias("_size"))
+    offsets = sizes.select(*[F.col(k).alias(f"_at_{i}") for i, k in enumerate(split)], F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
 
-    local = tagged.withColumn("_n", F.row_number().over(Window.partitionBy(*split).orderBy(*order)))
-    placed = local.join(F.broadcast(offsets), split, "left")
-    position = F.coalesce("_before", F.lit(0)) + F.col("_n") - 1 + start
-    return placed.withColumn(name, position.cast("bigint")).select(*df.columns, name)
+    local = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*split).orderBy(*order)))
+    same = F.lit(True)
+    for i, k in enumerate(split):
+        same = same & local[k].eqNullSafe(offsets[f"_at_{i}"])
+    position = F.col("_before") + F.col("_n") - 1 + start
+    return local.join(offsets, same).withColumn(name, position.cast("bigint")).select(*df.columns, name)
 
 
-def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """Values of each key as an ordered list in long form: ``(key, pos, value)``, repeats kept."""
     columns = dict.fromkeys([key, value, *order])
-    return numbered(df.select(*columns), [key], order, hot_rows=hot_rows).select(key, "pos", value)
+    return numbered(df.select(*columns), [key], order, parts=parts).select(key, "pos", value)
 
 
 def list_pieces(rows: DataFrame, key: str, value: str, size: int = 1000) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalogflow.functions.numbering import digits
 from catalogflow.functions.text import cdata
 from catalogflow.operators.joins import join_reduced
-from catalogflow.operators.ordering import HOT_ROWS, numbered
+from catalogflow.operators.ordering import numbered
 
 NO_COLOR = "no_color"
 
@@ -40,14 +40,14 @@ def zip_positions(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
 
 
 def color_rows(
-    variants: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS, product: str = "product_id", color: str = "color",
+    variants: DataFrame, suffix=digits, product: str = "product_id", color: str = "color",
 ) -> DataFrame:
     """One row per product and colour, numbered by first appearance.
 
     ``variants`` holds ``(product, color, ord)``. The rows are reduced per colour before numbering.
     """
     firsts = variants.groupBy(product, color).agg(F.min("ord").alias("first_ord"))
-    rows = numbered(firsts, [product], ["first_ord", color], hot_rows=hot_rows)
+    rows = numbered(firsts, [product], ["first_ord", color])
     return rows.select(
         F.concat_ws("_", product, suffix(F.col("pos"))).alias("product_id"),
         F.col(product).alias("master_product_id"),
@@ -57,10 +57,10 @@ def color_rows(
 
 
 def two_levels(
-    products: DataFrame, variants: DataFrame, suffix=digits, no_color: str = "NO_COLOR", hot_rows: int = HOT_ROWS
+    products: DataFrame, variants: DataFrame, suffix=digits, no_color: str = "NO_COLOR"
 ) -> DataFrame:
     """Products and their colour rows; a product without colours gets one row with a marker colour."""
-    children = color_rows(variants, suffix, hot_rows)
+    children = color_rows(variants, suffix)
     bare = products.join(variants.select("product_id").distinct(), "product_id", "left_anti").select(
         F.concat_ws("_", "product_id", suffix(F.lit(0))).alias("product_id"),
         F.col("product_id").alias("master_product_id"),
@@ -70,7 +70,7 @@ def two_levels(
     return union_rows(level(products, 0), level(children.drop("color_pos"), 1), level(bare, 1))
 
 
-def three_levels(products: DataFrame, variants: DataFrame, suffix=digits, hot_rows: int = HOT_ROWS) -> DataFrame:
+def three_levels(products: DataFrame, variants: DataFrame, suffix=digits) -> DataFrame:
     """Product, colour and size rows with ids ``root``, ``root_c`` and ``root_c_s``.
 
     ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size. A variant without a size
@@ -78,9 +78,9 @@ def three_levels(products: DataFrame, variants: DataFrame, suffix=digits, hot_ro
     """
     variants = variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR)))
     details = [c for c in variants.columns if c not in ("product_id", "color", "ord")]
-    colors = color_rows(variants, suffix, hot_rows).select(
+    colors = color_rows(variants, suffix).select(
         F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("color_id"))
-    sizes = numbered(variants, ["product_id", "color"], ["ord", *details], hot_rows=hot_rows)
+    sizes = numbered(variants, ["product_id", "color"], ["ord", *details])
     placed = sizes.withColumnRenamed("product_id", "root_id").join(colors, ["root_id", "color"])
     none = {c: F.lit(None).cast(variants.schema[c].dataType) for c in ["color", *details]}
 

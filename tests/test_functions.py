@@ -132,7 +132,7 @@ def test_letters_go_past_z(spark):
             out = chr(97 + r) + out
         return out
 
-    positions = [0, 1, 25, 26, 27, 51, 52, 701, 702, 703, 18277, 18278, 475253, 475254, 2**31]
+    positions = [0, 1, 25, 26, 27, 51, 52, 701, 702, 703, 18277, 18278, 475253, 475254, 2**31, 8353082582, 2**53 + 1, 2**63 - 1]
     rows = spark.createDataFrame([(p,) for p in positions], "p bigint").select("p", numbering.letters(F.col("p")).alias("s")).collect()
     assert {r.p: r.s for r in rows} == {p: expected(p) for p in positions}
 

@@ -25,32 +25,37 @@ def brute_positions(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [7, 64, 10**6])
-def test_numbering_splits_hot_keys(spark, hot_rows):
+@pytest.mark.parametrize("parts", [2, 16, None])
+def test_numbering_splits_hot_keys(spark, parts):
     rows = skewed()
     df = spark.createDataFrame(rows, "k string, o bigint, v int")
-    got = ordering.numbered(df, ["k"], ["o"], hot_rows=hot_rows)
+    got = ordering.numbered(df, ["k"], ["o"], parts=parts)
     assert {tuple(r) for r in got.collect()} == brute_positions(rows)
 
 
 def test_numbering_with_equal_leads_and_null_keys(spark):
     rows = [(None, 5, i) for i in range(20)] + [("a", 5, i) for i in range(20)] + [("a", None, 99)]
     df = spark.createDataFrame(rows, "k string, o bigint, v int")
-    got = ordering.numbered(df, ["k"], ["o", "v"], hot_rows=3).collect()
+    got = ordering.numbered(df, ["k"], ["o", "v"], parts=6).collect()
     assert sorted(r.pos for r in got if r.k is None) == list(range(20))
     assert {(r.v, r.pos) for r in got if r.k == "a"} == {(99, 0)} | {(i, i + 1) for i in range(20)}
 
 
-def test_no_task_holds_a_hot_key(spark):
-    df = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("o"))
+@pytest.mark.parametrize("kind", ["equal", "outlier", "null"])
+def test_no_task_holds_a_hot_key(spark, kind):
+    """A third of the rows has one key: with equal order values, with one outlier among them, or a null key."""
+    hot = F.col("id") % 3 == 0
+    key = F.when(hot, F.lit(None if kind == "null" else -1)).otherwise(F.col("id"))
+    lead = {"equal": F.lit(5), "outlier": F.when(F.col("id") == 0, 10**15).otherwise(F.col("id") % 7), "null": F.col("id")}[kind]
+    df = spark.range(0, 6000, 1, 4).select(key.cast("bigint").alias("k"), F.when(hot, lead).otherwise(1).cast("bigint").alias("o"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        assert ordering.hot_keys(df, ["k"], ["o"], 200).select("k", "_rows", "_low", "_high").collect() == [(-1, 2000, 0.0, 5997.0)]
-        got = ordering.numbered(df, ["k"], ["o"], hot_rows=200)
-        tasks = got.where("k = -1").groupBy(F.spark_partition_id()).count().collect()
-        assert len(tasks) > 3 and max(r["count"] for r in tasks) < 1200
-        assert sorted((r.o, r.pos) for r in got.where("k = -1").collect()) == [(3 * i, i) for i in range(2000)]
+        got = ordering.numbered(df, ["k"], ["o"], parts=16).where(F.col("k").eqNullSafe(F.lit(None if kind == "null" else -1)))
+        tasks = got.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 2 and max(r["count"] for r in tasks) < 1500
+        rows = sorted((r.pos, r.o) for r in got.collect())
+        assert [p for p, _ in rows] == list(range(2000)) and [o for _, o in rows] == sorted(o for _, o in rows)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
@@ -59,7 +64,7 @@ def test_no_task_holds_a_hot_key(spark):
 def test_list_pieces_keep_order_and_repeats(spark):
     rows = skewed()
     df = spark.createDataFrame(rows, "k string, o bigint, v int")
-    pieces = ordering.list_pieces(ordering.list_rows(df, "k", "v", ["o"], hot_rows=30), "k", "v", size=10).collect()
+    pieces = ordering.list_pieces(ordering.list_rows(df, "k", "v", ["o"], parts=8), "k", "v", size=10).collect()
     joined = {}
     for p in sorted(pieces, key=lambda r: (r.k, r.piece)):
         assert len(p["values"]) <= 10
@@ -111,9 +116,8 @@ def test_match_first_and_nth(spark):
     pages = spark.createDataFrame([(10, "u"), (11, "u"), (12, "v"), (13, "w"), (14, "u"), (15, "u")], "fetch_ord bigint, requested_url string")
     first = {(r.fetch_ord, r.product_id) for r in matching.match_first(pages, catalog).collect()}
     assert first == {(10, "p0"), (11, "p0"), (12, "p1"), (14, "p0"), (15, "p0")}
-    for hot_rows in (1, 100):
-        nth = {(r.fetch_ord, r.product_id) for r in matching.match_nth(pages, catalog, hot_rows=hot_rows).collect()}
-        assert nth == {(10, "p0"), (11, "p2"), (12, "p1"), (14, "p3")}
+    nth = {(r.fetch_ord, r.product_id) for r in matching.match_nth(pages, catalog).collect()}
+    assert nth == {(10, "p0"), (11, "p2"), (12, "p1"), (14, "p3")}
 
 
 def test_feed_joins(spark):
@@ -130,10 +134,10 @@ def test_two_and_three_levels(spark, count):
     products = spark.createDataFrame([("p", "P"), ("q", "Q")], "product_id string, name string")
     rows = [("p", f"c{i:02d}", f"s{j}", 1000 - 10 * i + j) for i in range(count) for j in range(2)]
     options = spark.createDataFrame(rows, "product_id string, color string, size string, ord bigint")
-    two = {r.product_id: (r.master_product_id, r.color) for r in variants.two_levels(products, options, hot_rows=5).collect()}
+    two = {r.product_id: (r.master_product_id, r.color) for r in variants.two_levels(products, options).collect()}
     assert two["q_0"] == ("q", "NO_COLOR")
     assert len(two) == 2 + (count or 1) + 1
-    three = {r.product_id: r for r in variants.three_levels(products, options, letters, hot_rows=5).collect()}
+    three = {r.product_id: r for r in variants.three_levels(products, options, letters).collect()}
     assert len(three) == 2 + count + 2 * count
     if count:  # the last colour of the loop comes first on the page
         assert three["p_a"].color == f"c{count - 1:02d}" and three["p_a"].master_product_id == "p"
