@@ -61,7 +61,8 @@ def trial(catalog: DataFrame, count: int) -> DataFrame:
 
 def placeholders(without_url: DataFrame) -> DataFrame:
     """A product row for each catalogue row that has no URL."""
-    return without_url.select("product_id", "name", F.lit("NOT_AVAILABLE").alias("in_stock"))
+    scope = [c for c in ("catalog_id",) if c in without_url.columns]
+    return without_url.select(*scope, "product_id", "name", F.lit("NOT_AVAILABLE").alias("in_stock"))
 
 
 def backfill_urls(

@@ -13,9 +13,11 @@ from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.ordering import first_rows, numbered
 
 
-def match_first(pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", url: str = "url") -> DataFrame:
-    """Each page with the first catalogue row that has its requested URL."""
-    rows = first_rows(catalog, [url], ["ord"]).withColumnRenamed(url, page_url)
+def match_first(
+    pages: DataFrame, catalog: DataFrame, page_url: str = "requested_url", url: str = "url", scope: tuple[str, ...] = (),
+) -> DataFrame:
+    """Each page with the first catalogue row that has its requested URL, one for each value of ``scope`` that lists it."""
+    rows = first_rows(catalog.where(F.col(url).isNotNull()), [*scope, url], ["ord"]).withColumnRenamed(url, page_url)
     return join_reduced(pages, rows, [page_url])
 
 

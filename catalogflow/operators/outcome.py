@@ -22,7 +22,8 @@ def outcome_code(
 ) -> Column:
     """Error code of a fetch, null when it is fine; the first matching rule wins.
 
-    No URL, page not found, redirected, a text that says the product is gone, failed extraction.
+    No URL, page not found, redirected, a text that says the product is gone, any other HTTP status than a success, no text,
+    failed extraction.
     """
     gone = F.lit(False)
     for marker in unavailable:
@@ -32,6 +33,7 @@ def outcome_code(
         .when(http_status == 404, SITE_ERROR)
         .when(final_url != requested_url, NOT_AVAILABLE)
         .when(gone, NOT_AVAILABLE)
+        .when((http_status < 200) | (http_status > 299), UNHANDLED)
         .when(html.isNull(), UNHANDLED)
     )
     return code if error is None else code.when(error.isNotNull(), UNHANDLED)

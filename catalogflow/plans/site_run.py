@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators import assets, catalog as cat, feed, ledger, matching, outcome
+from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.variants import bundle_masters, bundle_members, kind_flags, record_levels, union_rows
 from catalogflow.plans.profile import SiteProfile
 from catalogflow.session import staged
@@ -35,11 +37,21 @@ class RunTables:
     label: str | None = None
     bundles: tuple[DataFrame, DataFrame] | None = None
 
+    @cached_property
+    def live_pages(self) -> DataFrame:
+        """Pages of the catalogues that kept within their error limit; an aborted one yields its report only."""
+        return self.pages.where(~F.col("aborted"))
+
+    @cached_property
+    def live_catalog(self) -> DataFrame:
+        """Rows of the catalogues that were not aborted."""
+        return join_reduced(self.catalog, self.pages.where("aborted").select("catalog_id").distinct(), ["catalog_id"], "left_anti")
+
     @cached_property
     def updates(self) -> DataFrame:
         """Product, colour and size rows, placeholders and bundle rows."""
         fields = [f for f in self.profile.fields if f != "product_id"]
-        return _updates(self.profile, self.catalog, self.pages, fields, self.bundles)
+        return _updates(self.profile, self.live_catalog, self.live_pages, fields, self.bundles)
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -49,8 +61,10 @@ class RunTables:
 
     @cached_property
     def deletes(self) -> DataFrame:
-        """Ids to delete before the update."""
-        return feed.delete_list(feed.update_and_delete(self.updates)[1], ledger.gone(self.changes))
+        """Ids to delete before the update, by catalogue: a gone id belongs to the catalogues that list its root."""
+        now = self.updates.where(F.coalesce("product_id", F.lit("")) != "").select("catalog_id", "product_id")
+        roots = now.select("catalog_id", ledger.root_id(F.col("product_id")).alias("root_id")).distinct()
+        return now.unionByName(ledger.gone(self.changes).join(roots, "root_id").select("catalog_id", "product_id"))
 
     @cached_property
     def ledger_added(self) -> DataFrame:
@@ -60,22 +74,24 @@ class RunTables:
     @cached_property
     def statuses(self) -> DataFrame:
         """Catalogue rows with their new status."""
-        new = self.pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
-        return _statuses(self.catalog, new, catalog_without_url(self.profile, self.catalog))
+        new = self.live_pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
+        return _statuses(self.catalog, new, catalog_without_url(self.profile, self.live_catalog))
 
     @cached_property
     def report(self) -> DataFrame:
         """Counters and message of each catalogue."""
         counts = outcome.counters(self.pages, max_errors=self.profile.max_errors)
         done = outcome.completeness(self.pages, catalog_with_url(self.profile, self.catalog)).withColumnRenamed("message", "progress")
-        joined = done.drop("scraped").join(counts, "catalog_id", "left")
+        missing = catalog_without_url(self.profile, self.catalog).groupBy("catalog_id").agg(F.count("*").alias("_missing"))
+        joined = done.drop("scraped").join(counts, "catalog_id", "left").join(missing, "catalog_id", "left")
+        joined = joined.withColumn("n101", F.coalesce("n101", F.lit(0)) + F.coalesce("_missing", F.lit(0))).drop("_missing")
         text = F.when(F.col("scraped").isNotNull(), outcome.report_message(self.profile.max_errors))
         return joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
 
     @cached_property
     def images(self) -> DataFrame:
         """Images to store, without those stored recently."""
-        wanted = self.pages.where(F.col("code").isNull()).select("product_id", F.explode("image_urls").alias("url"))
+        wanted = self.live_pages.where(F.col("code").isNull()).select("product_id", F.explode("image_urls").alias("url"))
         images = assets.manifest(wanted, self.profile.thumbs, self.profile.asset_name)
         if self.stored is None:
             return images
@@ -109,7 +125,7 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     extra = [c for c in BUNDLE_COLUMNS if c in catalog.columns]
     listed = catalog_with_url(profile, catalog).select(
         "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url", *extra)
-    return matching.match_first(coded, listed).withColumnRenamed("requested_url", "url")
+    return matching.match_first(coded, listed, scope=("catalog_id",)).withColumnRenamed("requested_url", "url")
 
 
 def staged_pages(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, label: str) -> DataFrame:
@@ -135,13 +151,12 @@ def _updates(
     details = [f.name for f in record if f.name != "color"]
     fine = F.col("code").isNull()
     products = pages.where(fine | (F.col("code") == outcome.NOT_AVAILABLE)).select(
-        "product_id", *[F.when(fine, F.col(f)).alias(f) if f != "name" else
+        "catalog_id", "product_id", *[F.when(fine, F.col(f)).alias(f) if f != "name" else
                         F.when(fine, F.col("name")).otherwise(F.col("sheet_name")).alias("name") for f in fields],
         outcome.stock_of(F.col("code")).alias("in_stock"), F.when(fine, F.col("_records")).alias("_records"),
     )
     main = products.drop("_records").withColumn("level", F.lit(0))
-    levels = products.where(F.size("_records") > 0).select(
-        F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
+    levels = products.where(F.size("_records") > 0).select("catalog_id", F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
     if bundles is not None:
         main = main.select("*", *kind_flags("normal"))
     rows = union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
@@ -158,6 +173,12 @@ def _updates(
     )
 
 
+def prepared(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
+    """Catalogue rows with normal ids and, for a site whose sheets name the URLs, normal URLs."""
+    rows = catalog.withColumn("product_id", cat.normal_id(F.col("product_id")))
+    return rows.withColumn("url", cat.normal_url(F.col("url"))) if profile.url_rule == "sheet" else rows
+
+
 def catalog_without_url(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
     """Catalogue rows that name no page to fetch."""
     return cat.split_by_url(cat.first_by_id(catalog, scope=("catalog_id",)), profile.url_rule)[1]
@@ -183,14 +204,17 @@ def run(
 ) -> RunTables:
     """Run a site and write its feed version, ledger additions, statuses, image manifest and reports below ``out``.
 
-    Repeating a run id replaces what its earlier attempt wrote. ``trial`` limits a run to the first rows of each catalogue.
+    Repeating a run id replaces what its earlier attempt wrote. A catalogue over its error limit gets its report and nothing else: its
+    feed, ledger and statuses stay as they were. ``trial`` limits a run to the first rows of each catalogue.
     """
     spark = catalog.sparkSession
     if trial is not None:
         catalog = cat.trial(catalog, trial)
-    pages = staged_pages(profile, catalog, fetched, run_id)
+    label = f"{run_id}-{uuid.uuid4().hex}"  # staged tables of this attempt only
+    catalog = staged(prepared(profile, catalog), f"{profile.name}-{label}/catalog")
+    pages = staged_pages(profile, catalog, fetched, label)
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
-    result = RunTables(profile, catalog, pages, known, stored, label=run_id, bundles=bundles)
+    result = RunTables(profile, catalog, pages, known, stored, label=label, bundles=bundles)
     declared = feed.properties_table(spark, profile.properties)
     feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt)
     ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)

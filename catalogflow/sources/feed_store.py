@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogflow.sources import files
@@ -30,17 +32,55 @@ def write_feed(path: str, version: str, properties: DataFrame, deletes: DataFram
                fmt: str = "parquet") -> None:
     """Write a feed version, then keep it and the one before. Versions must sort in time order.
 
-    A version counts only once its marker is written, so a job that is lost half-way leaves the current feed as it was.
+    A version counts only once its marker is written. A repeated version goes to a folder of its own, and the earlier attempt is
+    removed only when the new one is complete, so a job that is lost half-way leaves the current feed as it was. With a
+    column ``catalog_id`` each catalogue has a current and a previous version of its own, kept until it has two newer ones.
     """
     spark = updates.sparkSession
-    folder = f"{path}/version={version}"
-    if files.exists(spark, f"{folder}/{DONE}"):
-        files.remove(spark, f"{folder}/{DONE}")
+    done = _folders(spark, path)
+    attempt = int(done[version].partition("~")[2] or 0) + 1 if version in done else 0
+    folder = f"{path}/version={version}" + (f"~{attempt:04d}" if attempt else "")
     for part, df in zip(PARTS, (properties, deletes, updates), strict=True):
         write_part(df, folder, part, fmt)
+    if "catalog_id" in updates.columns:
+        updates.select("catalog_id").distinct().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/catalogs")
     files.touch(spark, f"{folder}/{DONE}")
-    for old in versions(spark, path)[:-2]:
-        files.remove(spark, f"{path}/version={old}")
+    if version in done:
+        files.remove(spark, f"{path}/version={done[version]}")
+    now = _folders(spark, path)
+    recent = catalog_versions(spark, path)
+    kept = {r.version for r in recent.where("back < 2").select("version").distinct().collect()} if recent is not None else set()  # one for each version
+    for old in sorted(now)[:-2]:
+        if old not in kept:
+            files.remove(spark, f"{path}/version={now[old]}")
+
+
+def _folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Complete versions and the folder name of the last complete attempt of each."""
+    names = [n.partition("=")[2] for n in files.folders(spark, path) if n.startswith("version=")]
+    return {n.partition("~")[0]: n for n in sorted(names) if files.exists(spark, f"{path}/version={n}/{DONE}")}
+
+
+def catalog_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """(catalog_id, version, back) of the feeds that name catalogues, ``back`` counted from the catalogue's newest version."""
+    listed = [spark.read.parquet(f"{path}/version={n}/catalogs").select("catalog_id", F.lit(v).alias("version"))
+              for v, n in _folders(spark, path).items() if files.exists(spark, f"{path}/version={n}/catalogs")]
+    if not listed:
+        return None
+    newest = Window.partitionBy("catalog_id").orderBy(F.desc("version"))
+    return reduce(DataFrame.unionByName, listed).withColumn("back", F.row_number().over(newest) - 1)
+
+
+def read_catalogs(spark: SparkSession, path: str, part: str, back: int = 0) -> DataFrame:
+    """A part of every catalogue's current feed, or of its previous one with ``back=1`` (parquet), with its version."""
+    wanted = catalog_versions(spark, path)
+    if wanted is None:
+        raise FileNotFoundError(f"no feed version with catalogues in {path}")
+    rows = [spark.read.parquet(f"{path}/version={n}/{part}").withColumn("version", F.lit(v))
+            for v, n in _folders(spark, path).items() if files.exists(spark, f"{path}/version={n}/catalogs")]
+    whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), rows)
+    chosen = wanted.where(F.col("back") == back).select(F.col("catalog_id").alias("_c"), F.col("version").alias("_v"))
+    return whole.join(chosen, whole["catalog_id"].eqNullSafe(chosen["_c"]) & (whole["version"] == chosen["_v"]), "left_semi")
 
 
 def write_table(df: DataFrame, path: str, version: str) -> None:
@@ -50,13 +90,12 @@ def write_table(df: DataFrame, path: str, version: str) -> None:
 
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Complete versions, oldest first."""
-    names = [n.partition("=")[2] for n in files.folders(spark, path) if n.startswith("version=")]
-    return [n for n in names if files.exists(spark, f"{path}/version={n}/{DONE}")]
+    return sorted(_folders(spark, path))
 
 
 def read_feed(spark: SparkSession, path: str, part: str, back: int = 0) -> DataFrame:
     """A part of the current feed, or of the previous one with ``back=1`` (parquet)."""
-    found = versions(spark, path)
+    found = _folders(spark, path)
     if len(found) <= back:
         raise FileNotFoundError(f"no feed version in {path}")
-    return spark.read.parquet(f"{path}/version={found[-1 - back]}/{part}")
+    return spark.read.parquet(f"{path}/version={found[sorted(found)[-1 - back]]}/{part}")

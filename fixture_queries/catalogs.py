@@ -162,30 +162,30 @@ def _(t):
 
 
 def shipped_parts(t):
-    """Part ids of late shipments, as a catalogue with repeats."""
-    return t.lineitem.where(F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz")).select(
-        F.col("l_partkey").alias("product_id"))
+    """Part ids of all order lines, with repeats; every seventh is shifted to one that no part has."""
+    key = F.col("l_partkey")
+    return t.lineitem.select(F.when(key % 7 == 0, key + 1_000_000_000).otherwise(key).alias("product_id"))
 
 
-_LATE = "SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-09-01'"
+_LISTED = "SELECT CASE WHEN l_partkey % 7 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS l_partkey FROM lineitem"
 
 
-@query("jn_03_in_catalog", f"SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey IN ({_LATE})")
+@query("jn_03_in_catalog", f"SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey IN ({_LISTED})")
 def _(t):
     return matching.in_catalog(t.part.select("p_partkey", "p_name", "p_brand"), shipped_parts(t), "p_partkey")
 
 
 @query("jn_04_not_in_feed", f"""
-    SELECT p_partkey AS product_id, p_name AS name, 'not_found' AS status FROM part WHERE p_partkey NOT IN ({_LATE})""")
+    SELECT p_partkey AS product_id, p_name AS name, 'not_found' AS status FROM part WHERE p_partkey NOT IN ({_LISTED})""")
 def _(t):
     catalog = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"))
     return matching.not_in_feed(catalog, shipped_parts(t).withColumnRenamed("product_id", "feed_id"), "feed_id")
 
 
 @query("ag_06_match_ratio", f"""
-    SELECT p_brand AS catalog, count(*) AS total, count(*) FILTER (p_partkey NOT IN ({_LATE})) AS missing,
-           CASE WHEN count(*) FILTER (p_partkey NOT IN ({_LATE})) > 0
-                THEN CAST(count(*) FILTER (p_partkey NOT IN ({_LATE})) AS VARCHAR) || ' id(s) from id list weren''t found in feed'
+    SELECT p_brand AS catalog, count(*) AS total, count(*) FILTER (p_partkey NOT IN ({_LISTED})) AS missing,
+           CASE WHEN count(*) FILTER (p_partkey NOT IN ({_LISTED})) > 0
+                THEN CAST(count(*) FILTER (p_partkey NOT IN ({_LISTED})) AS VARCHAR) || ' id(s) from id list weren''t found in feed'
                 ELSE 'All ids found in feed.' END AS message
     FROM part GROUP BY p_brand""")
 def _(t):

@@ -63,16 +63,17 @@ def _(t):
     return items.select("product_id", "name_english", "custom_price", F.array_join("normal_image_url", " ").alias("images"))
 
 
-_LATE = "SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-09-01'"
+# Parts of all order lines, every seventh shifted to one that the feed lacks.
+_LISTED = "SELECT CASE WHEN l_partkey % 7 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END FROM lineitem"
 
 
 @query("run_vendor_feed", f"""
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name_english, {_PRICE} AS custom_price,
            CASE WHEN p_size < 10 THEN 'NOT_IN_STOCK' ELSE 'IN_STOCK' END AS in_stock
-    FROM part WHERE p_partkey IN ({_LATE})""")
+    FROM part WHERE p_partkey IN ({_LISTED})""")
 def _(t):
-    listed = t.lineitem.where(F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz")).select(
-        F.col("l_partkey").cast("string").alias("product_id"))
+    key = F.col("l_partkey")
+    listed = t.lineitem.select(F.when(key % 7 == 0, key + 1_000_000_000).otherwise(key).cast("string").alias("product_id"))
     full = vendor_records(t)
     records = full.select(*[F.col(f) if f in full.columns else F.lit(None).cast("string").alias(f) for f in vendor_feed.FIELDS])
     return feed_run.tables(records, listed).updates.select("product_id", "name_english", "custom_price", "in_stock")

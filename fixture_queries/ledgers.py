@@ -70,14 +70,22 @@ def _stored(t, name):
     return path
 
 
-@query("src_05_ledger_read", _SQL + "SELECT root_id, variant_id FROM old")
+def _every(t):
+    return ledger.id_rows(published(t, True).unionByName(published(t, False)))
+
+
+@query("src_05_ledger_read", _SQL + "SELECT * FROM old UNION SELECT * FROM now")
 def _(t):
-    return ledger_store.read_ledger(t.spark, _stored(t, "ledger-read"))
+    import uuid
+
+    path = f"{shared_folder(t.spark)}/ledger-read-{uuid.uuid4().hex}"
+    ledger_store.append_ledger(_every(t), path, "run1", buckets=8)
+    return ledger_store.read_ledger(t.spark, path)
 
 
-@query("src_05_ledger_import", _SQL + "SELECT root_id, variant_id FROM old")
+@query("src_05_ledger_import", _SQL + "SELECT * FROM old UNION SELECT * FROM now")
 def _(t):
-    ids = ledger.id_rows(published(t, True))
+    ids = _every(t)
     documents = ids.select(F.to_json(F.create_map("root_id", F.array("variant_id", "variant_id"))).alias("value"))
     return ledger_store.import_json(documents)
 
