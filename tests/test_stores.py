@@ -148,7 +148,7 @@ def test_site_run(spark, out):
     assert updates["p0_0_1"]["size"] == "M" and updates["p0_0_1"].master_product_id == "p0_0" and updates["p0_1"].color == "blue"
     statuses = {(r.catalog_id, r.ord): r.status for r in result.statuses.collect()}
     assert statuses == {("c", 0): "ran", ("c", 1): "ran", ("c", 2): "no_avail", ("c", 3): "no_url", ("c", 4): "no_avail", ("c", 5): "error",
-                        ("e", 0): "error", ("e", 1): "error", ("e", 2): "error", ("e", 3): "none"}  # e stops at its third error
+                        ("e", 0): "none", ("e", 1): "none", ("e", 2): "none", ("e", 3): "none"}  # e stops at its third error and publishes nothing
     report = {r.catalog_id: r for r in result.report.collect()}
     assert (report["c"].scraped, report["c"].n102, report["c"].n104, report["c"].incomplete) == (4, 2, 1, False)
     assert report["e"].aborted and report["e"].incomplete and "Scraping terminated after error occurred on 2 urls." in report["e"].message
