@@ -1,11 +1,12 @@
-"""String functions. All are native column expressions except :func:`decode_entities`."""
+"""String functions, all native column expressions."""
 
 from __future__ import annotations
 
-import pandas as pd
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _ALL = 1_000_000_000  # "to the end" for slice(); no text holds more pieces than this
 
@@ -86,16 +87,49 @@ def unescape_markup(c: Column) -> Column:
     return c
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode every HTML entity, twice. Only texts with an ampersand travel to Python."""
-
-    @F.pandas_udf(T.StringType())
-    def decode(texts: pd.Series) -> pd.Series:
-        from html import unescape
+# Numbers that stand for another character or for none, by the rules of the HTML standard: 128 to 159 are read as Windows
+# characters where that page has one; control characters and non-characters vanish.
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+_NUMBERS = {0: "\ufffd", 13: "\r", **_WINDOWS}
+_BEFORE_SEMICOLON = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _number(digits: Column, base: int) -> Column:
+    """The character of a numeric reference's digits."""
+    plain = F.regexp_replace(digits, "^0+(?=.)", "")
+    n = F.when(F.length(plain) > 7, F.lit(0x110000)).otherwise(F.conv(plain, base, 10).cast("bigint"))
+    gone = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | ((n % 65536) >= 65534)
+    known = F.from_json(F.lit(json.dumps({str(k): v for k, v in _NUMBERS.items()})), "map<string,string>")
+    return (
+        F.when(n.isin(*_NUMBERS), F.element_at(known, n.cast("string")))
+        .when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(gone, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    )
+
+
+def _reference(p: Column) -> Column:
+    """A text that follows an ampersand, with its leading reference decoded."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    name = F.regexp_extract(p, "^[^\t\n\f <&#;]{1,32};?", 0)
+    short = F.regexp_extract(name, "^(?:" + "|".join(_BEFORE_SEMICOLON) + ")", 0)  # the longest, as they stand by length
+    decimal, hexadecimal = F.regexp_extract(p, "^#([0-9]+);?", 1), F.regexp_extract(p, "^#[xX]([0-9a-fA-F]+);?", 1)
+    after = F.regexp_replace(p, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    rest = lambda head: F.substring(p, F.length(head) + 1, F.length(p))
+    return (
+        F.when(decimal != "", F.concat(_number(decimal, 10), after))
+        .when(hexadecimal != "", F.concat(_number(hexadecimal, 16), after))
+        .when((name != "") & F.element_at(names, name).isNotNull(), F.concat(F.element_at(names, name), rest(name)))
+        .when(short != "", F.concat(F.element_at(names, short), rest(short)))
+        .otherwise(F.concat(F.lit("&"), p))
+    )
 
-        return texts.map(lambda t: unescape(unescape(t)), na_action="ignore")
 
-    return F.coalesce(decode(F.when(c.contains("&"), c)), c)
+def decode_entities(c: Column) -> Column:
+    """Decode every HTML entity, twice: each text after an ampersand may begin with a number or a name, with or without ``;``."""
+    for _ in range(2):
+        parts = F.transform(F.split(c, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(_reference(p)))
+        c = F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)
+    return c
 
 
 def chunks(c: Column, size: int = 2000) -> Column:

@@ -206,18 +206,9 @@ def script_records(
 
 
 def bracket_records(c: Column, fields: list[str]) -> Column:
-    """Size records of nested brackets: quotes dropped, cut at ``]``, then at commas.
-
-    The last two pieces close the outer lists and hold no record.
-    """
-    flat = F.replace(c, F.lit("'"), F.lit(""))
-    flat = F.replace(F.replace(flat, F.lit("["), F.lit(",")), F.lit(",,"), F.lit(""))
-    pieces = F.split(flat, "\\]")
-    records = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 2, F.lit(0)))
-    return F.transform(
-        records,
-        lambda r: F.struct(*[F.get(F.split(r, ","), F.lit(n)).alias(name) for n, name in enumerate(fields)]),
-    )
+    """Records of a list of quoted lists, by position; an empty cell stays empty, a missing one is null, other text gives null."""
+    cells = F.from_json(c, "array<array<string>>", {"allowSingleQuotes": "true"})
+    return F.transform(cells, lambda r: F.struct(*[F.get(r, F.lit(n)).alias(name) for n, name in enumerate(fields)]))
 
 
 def extract_items(

@@ -127,9 +127,9 @@ def _(t):
 
 @query("ex_06_bracket_records", """
     SELECT p_partkey, 0 AS pos, p_name AS short, p_brand AS full_name, CAST(p_size AS VARCHAR) AS number FROM part
-    UNION ALL SELECT p_partkey, 1, p_type, p_name, CAST(p_partkey AS VARCHAR) FROM part""")
+    UNION ALL SELECT p_partkey, 1, p_type, '', CAST(p_partkey AS VARCHAR) FROM part""")
 def _(t):
-    script = F.format_string("[['%s','%s','%d'],['%s','%s','%d']]", "p_name", "p_brand", "p_size", "p_type", "p_name", "p_partkey")
+    script = F.format_string("[['%s','%s','%d'],['%s','','%d']]", "p_name", "p_brand", "p_size", "p_type", "p_partkey")
     found = extract.bracket_records(script, ["short", "full_name", "number"])
     rows = t.part.select("p_partkey", F.posexplode(found).alias("pos", "r"))
     return rows.select("p_partkey", "pos", "r.*")

@@ -149,3 +149,15 @@ def test_lists(spark):
     assert row["all"] == row["first"] == ["a", "", None, "b"]
     assert row.value == "0.0"
     assert row.packed == ['{"k":"1","v":"\\"q\\""}', '{"k":"2"}']
+
+
+def test_entities_are_decoded_as_the_standard_library_does(spark):
+    import random
+    from html import unescape
+
+    rng = random.Random(3)
+    parts = ["&", "&amp;", "&amp", "&AMP;lt;", "&notit;", "&notin;", "&copy", "&eacutex", "&#233;", "&#xE9", "&#x1F600;", "&#128;", "&#0;", "&#13;", "&#1;", "&#xD800;", "&#x110000;", "&#99999999999;",
+             "&#0000065;", "&#65534;", "&bogus;", "&;", "&#;", "&#x;", " ", "a", ";", "<", "#", "é", "&CounterClockwiseContourIntegral;", "&gt", "&frac12x", "\n", "&ThickSpace;", "&nbsp"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(600)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string").select("i", text.decode_entities(F.col("t")).alias("d")).collect()
+    assert {r.i: r.d for r in rows} == {i: unescape(unescape(t)) for i, t in enumerate(texts)}
