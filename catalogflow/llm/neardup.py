@@ -7,8 +7,8 @@
 3. Texts whose signatures agree in all ``R`` places of a band meet in a bucket. A pair of similarity 0.8 meets in one of the
    B = K / R bands with probability 1 - (1 - 0.8 ** R) ** B > 0.99999.
 4. Each text of a bucket is first compared with the bucket's smallest id, exactly (distinct shingles, Jaccard). Texts of a
-   bucket that are then not in one class are compared with each other, unless the distances to the smallest id show by
-   the triangle inequality that they cannot be similar. So a bucket of many copies costs one comparison each, and no link is lost.
+   bucket that are then not in one class are compared with each other inside the join, unless the distances to the smallest id
+   (triangle inequality), the sizes or the shingles that nobody shares rule them out. Only links leave the join, and none is lost.
 5. Classes are the connected components of the links, found by passing the smallest id along, with the links shortened.
 """
 
@@ -150,13 +150,12 @@ def classes(links: DataFrame, name: str = "classes") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
         ends = edges.join(least, "v").join(least.select(F.col("v").alias("u"), F.col("m").alias("mu")), "u")
-        pairs = F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct("v", F.col("mu").alias("u")))
-        after = staged(ends.select(F.explode(pairs).alias("e")).select("e.v", "e.u").where("v > u").distinct(), name)
-        # done when each number has one link and no number that is linked to has a link of its own
-        many = after.groupBy("v").count().where("count > 1").limit(1).count()
-        deep = after.join(after.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count()
-        edges = after
-        if not many and not deep:
+        same = ((F.col("m") == F.col("u")) & (F.col("mu") == F.col("u"))).alias("same")
+        pairs = F.array(F.struct("v", F.col("m").alias("u"), same), F.struct(F.col("u").alias("v"), F.col("m").alias("u"), same), F.struct("v", F.col("mu").alias("u"), same))
+        moved = ends.select(F.explode(pairs).alias("e")).select("e.*").where("v > u").groupBy("v", "u").agg(F.min("same").alias("same"))
+        after = staged(moved, name)
+        edges = after.select("v", "u")
+        if not after.where("NOT same").limit(1).count():  # nothing moved: each number has one link, to the smallest of its component
             return edges.select(F.col("v").alias("doc_id"), F.col("u").alias("class")).unionByName(edges.select(F.col("u").alias("doc_id"), F.col("u").alias("class")).distinct())
 
 
@@ -188,22 +187,22 @@ def groups(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     lead = known.select(F.col("doc_id").alias("lead"), F.col("class").alias("lc"))
     rest = rest.join(lead, "lead", "left").withColumn("lc", F.coalesce("lc", "lead"))
     several = rest.groupBy("band", "key").agg(F.max(F.col("c") != F.col("lc")).alias("open")).where("open").select("band", "key")
-    rest = staged(rest.join(several, ["band", "key"]).withColumn("g", F.floor(F.col("d") / (1 - similar))), "open")
+    rest = staged(rest.join(several, ["band", "key"]), "open")
     # shingles that no other of these texts has cannot be shared: what is left bounds the similarity of any pair from above
-    open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.explode("s").alias("h"))
-    alone = open_sets.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
+    open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi")
+    alone = open_sets.select("doc_id", F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
     rest = rest.join(alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("u")), "doc_id", "left").withColumn("most", F.col("n") - F.coalesce("u", F.lit(0)))
-    rest = rest.where(F.col("most") >= similar * F.col("n"))
-    x = rest.where("c <> lc").select("band", "key", "g", "doc_id", "n", "c", "d", "most")
-    y = rest.select("band", "key", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1)).alias("g"), F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("d").alias("dy"), F.col("most").alias("my"))
-    more = x.join(y, ["band", "key", "g"]).where(
-        (F.col("c") != F.col("cy")) & (F.abs(F.col("d") - F.col("dy")) <= 1 - similar + 1e-9) 
-        & (F.least("n", "ny") >= similar * F.greatest("n", "ny")) & (F.least("most", "my") * (1 + similar) >= similar * (F.col("n") + F.col("ny"))))
-    more = more.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct()
-    more = more.join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more_links = staged(compared(more, sets).where(F.col("similarity") >= similar), "links")
-    every = links.unionByName(more_links)
-    final = classes(known.select(F.col("doc_id").alias("b"), F.col("class").alias("a")).unionByName(more_links.select("b", "a")))
+    rest = rest.where(F.col("most") >= similar * F.col("n")).join(open_sets, "doc_id")
+    x = rest.where("c <> lc").select("band", "key", "doc_id", "n", "c", "d", "most", "s")
+    y = rest.select("band", "key", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("d").alias("dy"), F.col("most").alias("my"), F.col("s").alias("sy"))
+    shared = F.size(F.array_intersect("s", "sy"))
+    more = x.join(y, ["band", "key"]).where(
+        (F.col("c") != F.col("cy")) & (F.abs(F.col("d") - F.col("dy")) <= 1 - similar + 1e-9)
+        & (F.least("n", "ny") >= similar * F.greatest("n", "ny")) & (F.least("most", "my") * (1 + similar) >= similar * (F.col("n") + F.col("ny")))
+        & (shared >= similar * (F.col("n") + F.col("ny") - shared)))
+    more_links = staged(more.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct(), "links")
+    every = links.select("a", "b").unionByName(more_links)
+    final = known if not more_links.limit(1).count() else classes(known.select(F.col("doc_id").alias("b"), F.col("class").alias("a")).unionByName(more_links.select("b", "a")))
 
     degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     named = first.join(final.select(F.col("doc_id").alias("rep"), "class"), "rep", "left").join(degree, "rep", "left").select(
