@@ -216,7 +216,7 @@ def run(
     known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
     result = RunTables(profile, catalog, pages, known, stored, label=label, bundles=bundles)
     declared = feed.properties_table(spark, profile.properties)
-    feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt)
+    feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt, catalogs=result.live_catalog)
     ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)
     feed_store.write_table(result.statuses, f"{out}/statuses", run_id)
     feed_store.write_table(result.images, f"{out}/images", run_id)

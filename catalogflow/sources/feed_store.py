@@ -29,12 +29,13 @@ def write_part(df: DataFrame, path: str, part: str, fmt: str = "parquet") -> Non
 
 
 def write_feed(path: str, version: str, properties: DataFrame, deletes: DataFrame, updates: DataFrame,
-               fmt: str = "parquet") -> None:
+               fmt: str = "parquet", catalogs: DataFrame | None = None) -> None:
     """Write a feed version, then keep it and the one before. Versions must sort in time order.
 
     A version counts only once its marker is written. A repeated version goes to a folder of its own, and the earlier attempt is
     removed only when the new one is complete, so a job that is lost half-way leaves the current feed as it was. With a
-    column ``catalog_id`` each catalogue has a current and a previous version of its own, kept until it has two newer ones.
+    column ``catalog_id`` each catalogue has a current and a previous version of its own, kept until it has two newer ones;
+    ``catalogs`` names those that the version holds, also where their feed is empty (otherwise those of the updates).
     """
     spark = updates.sparkSession
     done = _folders(spark, path)
@@ -42,8 +43,10 @@ def write_feed(path: str, version: str, properties: DataFrame, deletes: DataFram
     folder = f"{path}/version={version}" + (f"~{attempt:04d}" if attempt else "")
     for part, df in zip(PARTS, (properties, deletes, updates), strict=True):
         write_part(df, folder, part, fmt)
-    if "catalog_id" in updates.columns:
-        updates.select("catalog_id").distinct().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/catalogs")
+    if catalogs is None and "catalog_id" in updates.columns:
+        catalogs = updates
+    if catalogs is not None:
+        catalogs.select("catalog_id").distinct().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/catalogs")
     files.touch(spark, f"{folder}/{DONE}")
     if version in done:
         files.remove(spark, f"{path}/version={done[version]}")
