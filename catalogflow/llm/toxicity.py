@@ -27,7 +27,7 @@ TRIPLES, BEGINNINGS, LENGTHS = 2048, 8192, (4, 5, 6, 7)  # buckets of character
 PIECES = TRIPLES + BEGINNINGS
 VOCABULARY = 20_000
 CACHE = 150_000  # distinct words whose inputs a task remembers
-BLOCK = 2048  # windows run at once
+BLOCK = 2048  # windows run, or words read, at once
 
 
 def pieces(word: str) -> list[int]:
@@ -51,12 +51,13 @@ class Toxicity:
     def inputs(self, some: list[str]) -> np.ndarray:
         """Word and character parts of words."""
         p, out = self.params, np.zeros((len(some), 2 * E), dtype=np.float32)
-        lists = [pieces(w) for w in some]
-        count = np.array([len(x) for x in lists])
-        if len(some):
+        for at in range(0, len(some), BLOCK):
+            part = some[at : at + BLOCK]
+            lists = [pieces(w) for w in part]
+            count = np.array([len(x) for x in lists])
             flat = np.concatenate([np.array(x, dtype=np.int64) for x in lists])
-            out[:, :E] = p["words"][[self.index.get(w, 0) for w in some]]
-            out[:, E:] = np.add.reduceat(p["chars"][flat], np.concatenate([[0], np.cumsum(count)[:-1]])) / count[:, None]
+            out[at : at + BLOCK, :E] = p["words"][[self.index.get(w, 0) for w in part]]
+            out[at : at + BLOCK, E:] = np.add.reduceat(p["chars"][flat], np.concatenate([[0], np.cumsum(count)[:-1]])) / count[:, None]
         return out
 
 
@@ -209,6 +210,7 @@ def train(some: list[str], y: np.ndarray, epochs: int = 12, seed: int = 5) -> To
     for i, x in enumerate(lists):
         char_ids[i, : len(x)] = x
     char_n = np.array([max(len(x), 1) for x in lists] + [1], dtype=np.float64)
+    del lists
     row = np.array([model.index.get(w, 0) for w in vocabulary] + [-1])
     win = [window_ids(x, len(vocabulary)) for x in ids]
     learn = np.flatnonzero(~rest)
