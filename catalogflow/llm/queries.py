@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import digests, licenses, mixing, neardup, nearest, packing, personal, quality, secrets, toxicity
+from catalogflow.llm import (
+    bytebpe, digests, infill, licenses, mixing, neardup, nearest, packing, personal, quality, secrets, toxicity, whitening,
+)
 from catalogflow.llm.common import table
 
 
@@ -74,7 +76,34 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return digests.fingerprints(table(spark, folder, "documents"))
 
 
+def op11_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the leading components of all vectors, each with unit variance."""
+    vectors = table(spark, folder, "embeddings")
+    model = whitening.fit(vectors)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    rows = whitening.whiten(vectors, model).select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("i", "whitened"))
+    explained = F.array(*[F.lit(float(x)) for x in model.explained])
+    return rows.select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(model.at.n).cast("long").alias("n"), "deviation", "whitened",
+        explained[F.col("i")].alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, lengths and digests of every document's fill-in-middle output and of the text restored from it."""
+    return infill.digests(table(spark, folder, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and digest of every text's ids, and the digest of the bytes decoded from them."""
+    import public_tokenizers
+
+    return bytebpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op4_personal, op5_toxicity, op6_near_duplicates, op7_licenses, op8_nearest, op9_quality, op10_fingerprint)
+    f.__name__: f for f in (
+        op1_mix_sources, op2_pack_tiers, op3_scan_secrets, op4_personal, op5_toxicity, op6_near_duplicates, op7_licenses, op8_nearest, op9_quality,
+        op10_fingerprint, op11_whiten, op12_fill_in_middle, op13_byte_bpe)
 }
 ORACLE: dict[str, str] = {}
