@@ -6,18 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _LETTERS = 14  # letters enough for every position a bigint can hold
+# The first position that has one letter, two letters and so on, and what a letter counts by its place from the right.
+_FIRST = "array(%s)" % ", ".join(f"{sum(26**n for n in range(1, length))}L" for length in range(1, _LETTERS + 1))
+_WORTH = "array(%s)" % ", ".join(f"{26**n}L" for n in range(_LETTERS))
 
 
 def letters(position: Column) -> Column:
     """``a`` to ``z`` for positions 0 to 25, then ``aa``, ``ab`` and so on."""
     p = position.cast("bigint")
-    result = F
-    for length in range(1, _LETTERS + 1):
-        first = sum(26**n for n in range(1, length))  # positions that have fewer letters
-        chars = [F.char(F.call_function("div", p - first, F.lit(26**i)) % 26 + 97) for i in reversed(range(length))]
-        text = F.concat(*chars)
-        result = result.when(p < first + 26**length, text) if length < _LETTERS else result.otherwise(text)
-    return result
+    length = F.size(F.filter(F.expr(_FIRST), lambda first: first <= p))
+    past = p - F.element_at(F.expr(_FIRST), length)
+    letter = lambda i: F.char(F.call_function("div", past, F.get(F.expr(_WORTH), i)) % 26 + 97)
+    many = F.array_join(F.transform(F.sequence(length - 1, F.lit(0), F.lit(-1)), letter), "")
+    return F.when(p < 26, F.char(p + 97)).when(p >= 26, many)
 
 
 def digits(position: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import zlib
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -94,42 +96,56 @@ _NUMBERS = {0: "\ufffd", 13: "\r", **_WINDOWS}
 _BEFORE_SEMICOLON = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 
 
-def _number(digits: Column, base: int) -> Column:
-    """The character of a numeric reference's digits."""
-    plain = F.regexp_replace(digits, "^0+(?=.)", "")
-    n = F.when(F.length(plain) > 7, F.lit(0x110000)).otherwise(F.conv(plain, base, 10).cast("bigint"))
-    gone = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | ((n % 65536) >= 65534)
-    known = F.from_json(F.lit(json.dumps({str(k): v for k, v in _NUMBERS.items()})), "map<string,string>")
-    return (
-        F.when(n.isin(*_NUMBERS), F.element_at(known, n.cast("string")))
-        .when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(gone, "")
-        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
-    )
-
-
-def _reference(p: Column) -> Column:
-    """A text that follows an ampersand, with its leading reference decoded."""
-    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
-    name = F.regexp_extract(p, "^[^\t\n\f <&#;]{1,32};?", 0)
-    short = F.regexp_extract(name, "^(?:" + "|".join(_BEFORE_SEMICOLON) + ")", 0)  # the longest, as they stand by length
-    decimal, hexadecimal = F.regexp_extract(p, "^#([0-9]+);?", 1), F.regexp_extract(p, "^#[xX]([0-9a-fA-F]+);?", 1)
-    after = F.regexp_replace(p, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
-    rest = lambda head: F.substring(p, F.length(head) + 1, F.length(p))
-    return (
-        F.when(decimal != "", F.concat(_number(decimal, 10), after))
-        .when(hexadecimal != "", F.concat(_number(hexadecimal, 16), after))
-        .when((name != "") & F.element_at(names, name).isNotNull(), F.concat(F.element_at(names, name), rest(name)))
-        .when(short != "", F.concat(F.element_at(names, short), rest(short)))
-        .otherwise(F.concat(F.lit("&"), p))
-    )
+# Names by a hash of their text, a few in each branch, so that a look-up compares a few names and not all.
+_BRANCHES = 1024
+
+
+@functools.cache
+def _tables() -> str:
+    """The branches of names, and the numbers that stand for another character, as JSON."""
+    branches: list[dict[str, str]] = [{} for _ in range(_BRANCHES)]
+    for name, value in html5.items():
+        branches[zlib.crc32(name.encode()) % _BRANCHES][name] = value
+    return json.dumps({"names": branches, "numbers": {str(n): c for n, c in _NUMBERS.items()}})
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL in which a name stands for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+# SQL of the character with number n.
+_CHARACTER = r"""CASE
+    WHEN element_at(x.t.numbers, CAST(n AS STRING)) IS NOT NULL THEN element_at(x.t.numbers, CAST(n AS STRING))
+    WHEN n > 1114111 OR n BETWEEN 55296 AND 57343 THEN decode(unhex('EFBFBD'), 'UTF-8')
+    WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN ''
+    ELSE decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') END"""
+_DIGITS = r"CASE WHEN length(d) > 7 THEN 1114112L ELSE CAST(conv(d, %d, 10) AS BIGINT) END"
+_VALUE = "CASE WHEN head ILIKE '#x%' THEN {} ELSE {} END".format(
+    _let(r"regexp_extract(head, r'^..0*([0-9a-fA-F]+)', 1)", "d", _DIGITS % 16), _let(r"regexp_extract(head, r'^#0*([0-9]+)', 1)", "d", _DIGITS % 10))
+_NAMED = f"element_at(x.t.names[CAST(crc32(CAST({{0}} AS BINARY)) % {_BRANCHES} AS INT)], {{0}})"
+_REST = "substring(p, length({0}) + 1)"
+_SHORT = "CASE WHEN short <> '' THEN concat({}, {}) ELSE concat('&', p) END".format(_NAMED.format("short"), _REST.format("short"))
+_NAME = "CASE WHEN known IS NOT NULL THEN concat(known, {}) ELSE {} END".format(
+    _REST.format("head"), _let("regexp_extract(head, r'^(?:%s)', 0)" % "|".join(_BEFORE_SEMICOLON), "short", _SHORT))
+# SQL of a text p that follows an ampersand, with its leading reference decoded.
+_REFERENCE = "CASE WHEN startswith(p, '#') THEN {} ELSE {} END".format(
+    _let(r"regexp_extract(p, r'^#(?:[0-9]+|[xX][0-9a-fA-F]+);?', 0)", "head",
+         "CASE WHEN head = '' THEN concat('&', p) ELSE concat({}, {}) END".format(_let(_VALUE, "n", _CHARACTER), _REST.format("head"))),
+    _let(r"regexp_extract(p, r'^[^\t\n\f <&#;]{1,32};?', 0)", "head", _let(_NAMED.format("head"), "known", _NAME)))
+_ONCE = "array_join(transform(split({0}, '&', -1), (p, i) -> CASE WHEN i = 0 THEN p ELSE %s END), '')" % _REFERENCE
+_TWICE = "x -> " + _let(_ONCE.replace("{0}", "x.c"), "once", "CASE WHEN once <> x.c AND contains(once, '&') THEN {} ELSE once END".format(
+    _ONCE.replace("{0}", "once")))
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode every HTML entity, twice: each text after an ampersand may begin with a number or a name, with or without ``;``."""
-    for _ in range(2):
-        parts = F.transform(F.split(c, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(_reference(p)))
-        c = F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)
-    return c
+    """Decode every HTML entity, twice: each text after an ampersand may begin with a number or a name, with or without ``;``.
+
+    The second time only texts that the first has changed are looked at.
+    """
+    tables = F.from_json(F.lit(_tables()), "names array<map<string,string>>, numbers map<string,string>")
+    named = F.array(F.struct(c.alias("c"), tables.alias("t")))
+    return F.when(c.contains("&"), F.get(F.call_function("transform", named, F.expr(_TWICE)), F.lit(0))).otherwise(c)
 
 
 def chunks(c: Column, size: int = 2000) -> Column:

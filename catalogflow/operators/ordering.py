@@ -1,19 +1,21 @@
 """Numbering and list building that hold when one key owns a third of all rows.
 
-A window over such a key would sort the whole key in one task. Rows are therefore dealt by range over key, order and a
-hash of all columns, so that every key is cut where it is large, whatever its order column looks like. Rows are numbered
-inside each (range, key), and the counts of a key's earlier ranges give the offset of each.
+A window over such a key would sort the whole key in one task. Rows are therefore written once, which tells their size. A table of
+more than ``RANGE_BYTES`` is dealt by range over key, order and a hash of all columns, so that every key is cut where it is large, whatever its order
+column looks like. Each range is one sorted file: a row's number is its place in the file, less that of the first row of its key
+there, plus the counts of the key in earlier files.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogflow.session import staged
+from catalogflow.session import written
+
+RANGE_BYTES = 64 << 20
 
 
 def numbered(
@@ -21,24 +23,36 @@ def numbered(
 ) -> DataFrame:
     """Number the rows of each key from ``start`` in the given order; null keys are a key, null order values come first.
 
-    ``df`` is read once (and sampled for the ranges) and written to the shared folder with its range. Only rows that are
-    equal in every column stay in one range for certain. ``parts`` sets the number of ranges; otherwise it follows the size.
+    ``df`` is evaluated once and written to the shared folder. Only rows that are equal in every column stay in one range for
+    certain. ``parts`` sets the number of ranges; otherwise it follows the size.
     """
-    by = [*keys, *order, F.xxhash64(*df.columns)]
-    ranged = df.repartitionByRange(*by) if parts is None else df.repartitionByRange(parts, *by)
-    rows = staged(ranged.withColumn("_part", F.spark_partition_id()), f"numbered-{uuid.uuid4().hex}")
+    rows, size = written(df, "numbered")
+    return numbered_rows(rows, size, keys, order, name, start, parts)
 
-    split = [*keys, "_part"]
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*split).agg(F.count("*").alias("_size"))
-    offsets = sizes.select(*[F.col(k).alias(f"_at_{i}") for i, k in enumerate(split)], F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
 
-    local = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*split).orderBy(*order)))
+def numbered_rows(
+    rows: DataFrame, size: int, keys: Sequence[str], order: Sequence[str], name: str = "pos", start: int = 0, parts: int | None = None
+) -> DataFrame:
+    """:func:`numbered` over a written table of ``size`` bytes."""
+    by = [*keys, *order, F.xxhash64(*rows.columns)]
+    parts = parts or -(-size // RANGE_BYTES)
+    if parts <= 1:  # even if one key has all rows, its task sorts one range
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by[len(keys):]))
+        return rows.withColumn(name, (number - 1 + start).cast("bigint"))
+    ranged, _ = written(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by), "ranged")
+    file = F.regexp_extract_all("_metadata.file_name", F.lit("^part-([0-9]+)|-c([0-9]+)[.]"), F.lit(0))
+    digits = F.transform(file, lambda x: F.regexp_replace(x, "[^0-9]", "").cast("bigint"))
+    placed = ranged.select("*", (F.get(digits, F.lit(0)) * 1_000_000 + F.get(digits, F.lit(1))).alias("_file"), F.col("_metadata.row_index").alias("_at"))
+
+    split = [*keys, "_file"]
+    before = Window.partitionBy(*keys).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*split).agg(F.count("*").alias("_size"), F.min("_at").alias("_first"))
+    offsets = sizes.select(*[F.col(k).alias(f"_at_{i}") for i, k in enumerate(split)], (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     same = F.lit(True)
     for i, k in enumerate(split):
-        same = same & local[k].eqNullSafe(offsets[f"_at_{i}"])
-    position = F.col("_before") + F.col("_n") - 1 + start
-    return local.join(offsets, same).withColumn(name, position.cast("bigint")).select(*df.columns, name)
+        same = same & placed[k].eqNullSafe(offsets[f"_at_{i}"])
+    position = F.col("_at") + F.col("_shift") + start
+    return placed.join(offsets, same).withColumn(name, position.cast("bigint")).select(*rows.columns, name)
 
 
 def list_rows(df: DataFrame, key: str, value: str, order: Sequence[str], parts: int | None = None) -> DataFrame:

@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.functions.binding import bound
 from catalogflow.functions.numbering import digits
 from catalogflow.functions.text import cdata
 from catalogflow.operators.joins import join_reduced
-from catalogflow.operators.ordering import numbered
+from catalogflow.operators.ordering import numbered, numbered_rows
+from catalogflow.session import written
 
 NO_COLOR = "no_color"
 
@@ -76,11 +78,11 @@ def three_levels(products: DataFrame, variants: DataFrame, suffix=digits) -> Dat
     ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size. A variant without a size
     keeps a null size; one without a colour belongs to ``no_color``. The first size of a colour also yields the colour's row.
     """
-    variants = variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR)))
+    variants, bytes_written = written(variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR))), "variants")
     details = [c for c in variants.columns if c not in ("product_id", "color", "ord")]
     colors = color_rows(variants, suffix).select(
         F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("color_id"))
-    sizes = numbered(variants, ["product_id", "color"], ["ord", *details])
+    sizes = numbered_rows(variants, bytes_written, ["product_id", "color"], ["ord", *details])
     placed = sizes.withColumnRenamed("product_id", "root_id").join(colors, ["root_id", "color"])
     none = {c: F.lit(None).cast(variants.schema[c].dataType) for c in ["color", *details]}
 
@@ -102,8 +104,9 @@ def record_levels(
 ) -> Column:
     """Colour and size rows of a product whose variant records sit in one array of ``struct(color, fields...)``.
 
-    The result is one array of structs for ``inline``: a page's records never leave its row, so colours keep the
-    order of the page and nothing is shuffled.
+    The result is one array of structs for ``inline``, null for a product without records: a page's records never leave its row, so
+    colours keep the order of the page and nothing is shuffled. The records' places are sorted by colour once, and each colour is a slice
+    of them, so the work grows with the records and not with colours times records.
     """
     color_of = lambda r: F.coalesce(r["color"], F.lit(no_color))
 
@@ -116,13 +119,27 @@ def record_levels(
     def color_id(i):
         return F.concat_ws("_", root_id, suffix(i))
 
-    def sizes(color, i):
-        own = F.filter(records, lambda r: color_of(r) == color)
+    def sizes(run, i):
         none = F.lit(None).cast("string")
-        return F.transform(own, lambda r, j: row(F.concat_ws("_", color_id(i), suffix(j)), color_id(i), none, 2, r))
-
-    colors = F.array_distinct(F.transform(records, color_of))
-    return F.concat(F.transform(colors, lambda c, i: row(color_id(i), root_id, c, 1)), F.flatten(F.transform(colors, sizes)))
+        return bound(color_id(i), lambda own: F.transform(run["records"], lambda r, j: row(F.concat_ws("_", own, suffix(j)), own, none, 2, r)))
+
+    def runs(records, sorted_, starts):
+        """Each colour with the place of its first record and its records, from their places in order of colour and place."""
+        def run(start, k):
+            places = F.slice(sorted_, start + 1, F.coalesce(F.get(starts, k + 1), F.size(sorted_)) - start)
+            return F.struct(F.get(sorted_, start)["place"].alias("place"), F.get(sorted_, start)["color"].alias("color"),
+                            F.transform(places, lambda p: F.get(records, p["place"])).alias("records"))
+        return F.transform(starts, run)
+
+    def tree(records):
+        places = F.array_sort(F.transform(records, lambda r, i: F.struct(color_of(r).alias("color"), i.alias("place"))))
+        return bound(places, lambda sorted_: bound(
+            F.filter(F.sequence(F.lit(0), F.size(sorted_) - 1), lambda j: (j == 0) | (F.get(sorted_, j)["color"] != F.get(sorted_, j - 1)["color"])),
+            lambda starts: bound(runs(records, sorted_, starts), lambda colors: bound(
+                F.transform(F.array_sort(F.transform(colors, lambda r, k: F.struct(r["place"].alias("place"), k.alias("k")))), lambda o: F.get(colors, o["k"])),
+                lambda order: F.concat(F.transform(order, lambda c, i: row(color_id(i), root_id, c["color"], 1)), F.flatten(F.transform(order, sizes)))))))
+
+    return F.when(F.size(records) > 0, bound(records, tree))
 
 
 def cross_sell(blocks: Column, product_base: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -14,7 +15,7 @@ from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.variants import bundle_masters, bundle_members, kind_flags, record_levels, union_rows
 from catalogflow.plans.profile import SiteProfile
 from catalogflow.session import staged
-from catalogflow.sources import feed_store, ledger_store, reports
+from catalogflow.sources import feed_store, files, ledger_store, reports, sheets
 
 
 BUNDLE_COLUMNS = ("look_id", "line_id", "order_index")
@@ -24,18 +25,23 @@ BUNDLE_COLUMNS = ("look_id", "line_id", "order_index")
 class RunTables:
     """Everything a run yields from :func:`staged_pages` and the known ledger rows, each table planned when asked for.
 
-    With a ``label`` the comparison with the ledger, which two outputs read, is written once as well. ``bundles`` are the
-    looks and lines that the catalogue's ``look_id`` and ``line_id`` name.
+    ``known`` may also be a function that gives the ledger rows of a table of roots. With a ``label`` the updates and the comparison
+    with the ledger, which several outputs read, are written once as well. ``bundles`` are the looks and lines that the
+    catalogue's ``look_id`` and ``line_id`` name. ``unreadable`` has a ``(catalog_id, message)`` for each sheet that could not be read.
     """
 
     profile: SiteProfile
     catalog: DataFrame
     pages: DataFrame
-    known: DataFrame
+    known: DataFrame | Callable[[DataFrame], DataFrame]
     stored: DataFrame | None = None
     run_date: Column | None = None
     label: str | None = None
     bundles: tuple[DataFrame, DataFrame] | None = None
+    unreadable: DataFrame | None = None
+
+    def _once(self, df: DataFrame, name: str) -> DataFrame:
+        return df if self.label is None else staged(df, f"{self.profile.name}-{self.label}/{name}")
 
     @cached_property
     def live_pages(self) -> DataFrame:
@@ -51,13 +57,14 @@ class RunTables:
     def updates(self) -> DataFrame:
         """Product, colour and size rows, placeholders and bundle rows."""
         fields = [f for f in self.profile.fields if f != "product_id"]
-        return _updates(self.profile, self.live_catalog, self.live_pages, fields, self.bundles)
+        return self._once(_updates(self.profile, self.live_catalog, self.live_pages, fields, self.bundles), "updates")
 
     @cached_property
     def changes(self) -> DataFrame:
         """Comparison of the run's ids with the ledger."""
-        changed = ledger.changes(self.known, ledger.id_rows(feed.update_and_delete(self.updates)[1]))
-        return changed if self.label is None else staged(changed, f"{self.profile.name}-{self.label}/ledger-changes")
+        now = ledger.id_rows(feed.update_and_delete(self.updates)[1])
+        known = self.known(now.select("root_id").distinct()) if callable(self.known) else self.known
+        return self._once(ledger.changes(known, now), "ledger-changes")
 
     @cached_property
     def deletes(self) -> DataFrame:
@@ -86,7 +93,10 @@ class RunTables:
         joined = done.drop("scraped").join(counts, "catalog_id", "left").join(missing, "catalog_id", "left")
         joined = joined.withColumn("n101", F.coalesce("n101", F.lit(0)) + F.coalesce("_missing", F.lit(0))).drop("_missing")
         text = F.when(F.col("scraped").isNotNull(), outcome.report_message(self.profile.max_errors))
-        return joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
+        done = joined.withColumn("message", F.concat_ws("\n\n", "progress", text))
+        if self.unreadable is None:
+            return done
+        return union_rows(done, self.unreadable.select(F.col("catalog_id").cast(done.schema["catalog_id"].dataType), F.lit(True).alias("aborted"), "message"))
 
     @cached_property
     def images(self) -> DataFrame:
@@ -162,9 +172,9 @@ def _updates(
     rows = union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
     if bundles is None:
         return rows
-    looks, lines = bundles
+    looks, lines = (_of_catalogs(masters, catalog, key) for masters, key in zip(bundles, ("look_id", "line_id"), strict=True))
     members = pages.where(fine).select(
-        "product_id", *fields, *[c for c in BUNDLE_COLUMNS if c in pages.columns],
+        "catalog_id", "product_id", *fields, *[c for c in BUNDLE_COLUMNS if c in pages.columns],
         F.transform("_records", lambda r: F.to_json(r)).alias("variants"),
     )
     return union_rows(
@@ -173,6 +183,14 @@ def _updates(
     )
 
 
+def _of_catalogs(masters: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
+    """Looks or lines with the catalogues whose rows name them, a row for each; one that no row names belongs to none."""
+    if "catalog_id" in masters.columns:
+        return masters
+    named = catalog.where(F.coalesce(key, F.lit("")) != "").select("catalog_id", F.col(key).alias("product_id")).distinct()
+    return masters.join(named, "product_id", "left")
+
+
 def prepared(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
     """Catalogue rows with normal ids and, for a site whose sheets name the URLs, normal URLs."""
     rows = catalog.withColumn("product_id", cat.normal_id(F.col("product_id")))
@@ -199,8 +217,8 @@ def _statuses(catalog: DataFrame, new: DataFrame, unlisted: DataFrame) -> DataFr
 
 def run(
     profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, out: str, run_id: str, stored: DataFrame | None = None,
-    fmt: str = "parquet", ledger_buckets: int = ledger_store.BUCKETS, trial: int | None = None,
-    bundles: tuple[DataFrame, DataFrame] | None = None,
+    fmt: str = "parquet", trial: int | None = None, bundles: tuple[DataFrame, DataFrame] | None = None,
+    unreadable: DataFrame | None = None,
 ) -> RunTables:
     """Run a site and write its feed version, ledger additions, statuses, image manifest and reports below ``out``.
 
@@ -213,12 +231,32 @@ def run(
     label = f"{run_id}-{uuid.uuid4().hex}"  # staged tables of this attempt only
     catalog = staged(prepared(profile, catalog), f"{profile.name}-{label}/catalog")
     pages = staged_pages(profile, catalog, fetched, label)
-    known = ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id)
-    result = RunTables(profile, catalog, pages, known, stored, label=label, bundles=bundles)
+    known = lambda roots: ledger_store.read_ledger(spark, f"{out}/ledger", skip_run=run_id, roots=roots)
+    result = RunTables(profile, catalog, pages, known, stored, label=label, bundles=bundles, unreadable=unreadable)
     declared = feed.properties_table(spark, profile.properties)
     feed_store.write_feed(f"{out}/feed", run_id, declared, result.deletes, result.updates, fmt, catalogs=result.live_catalog)
-    ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id, ledger_buckets)
+    ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id)
     feed_store.write_table(result.statuses, f"{out}/statuses", run_id)
     feed_store.write_table(result.images, f"{out}/images", run_id)
     reports.write_reports(result.report, f"{out}/reports")
     return result
+
+
+def file_stem(file: Column) -> Column:
+    """Name of a file without folder and ending."""
+    return F.regexp_replace(F.substring_index(files.decoded(file), "/", -1), "\\.[^.]*$", "")
+
+
+def run_sheets(
+    profile: SiteProfile, sheet_path: str, fetched: DataFrame, out: str, run_id: str, catalog_of: Callable[[Column], Column] = file_stem, **options,
+) -> RunTables:
+    """:func:`run` over the catalogues of all CSV sheets below a path, read by the profile's layout and ``read_rows``.
+
+    ``catalog_of`` gives the catalogue from a sheet's file path. A sheet that cannot be read gets a report and nothing else.
+    """
+    rows, problems = sheets.read_csv(fetched.sparkSession, sheet_path, profile.layout, profile.read_rows)
+    catalog = rows.withColumn("catalog_id", catalog_of(F.col("file"))).drop("file", "sheet")
+    if "name" not in catalog.columns:
+        catalog = catalog.withColumn("name", F.lit(None).cast("string"))
+    unreadable = problems.select(catalog_of(F.col("file")).alias("catalog_id"), "message")
+    return run(profile, catalog, fetched, out, run_id, unreadable=unreadable, **options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +62,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`staged` under a name of its own, and the bytes written."""
+    from catalogflow.sources import files
+
+    own = f"{name}-{uuid.uuid4().hex}"
+    rows = staged(df, own)
+    return rows, files.size(df.sparkSession, f"{shared_folder(df.sparkSession)}/{own}")

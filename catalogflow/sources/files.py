@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -17,6 +21,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) ->
         return spark.createDataFrame([], schema)
 
 
+def decoded(path: Column) -> Column:
+    """A file path as Spark's metadata columns give it, without its URL escapes."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -36,10 +45,58 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a path, sorted."""
     p, fs = _path(spark, path)
-    fs.create(p, True).close()
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    p, fs = _path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create a folder; false if it exists already."""
+    p, fs = _path(spark, path)
+    if fs.exists(p):
+        return False
+    return fs.mkdirs(p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    p, fs = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file under a name of its own and rename it to ``path``; false if that exists already.
+
+    Readers see the whole file or none, and of several writers of one path only the first succeeds.
+    """
+    jvm = spark._jvm
+    target, fs = _path(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    return True
 
 
 def remove(spark: SparkSession, path: str) -> None:

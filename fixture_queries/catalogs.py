@@ -1,11 +1,15 @@
 """Catalogue reading, splitting, matching and back-fill."""
 
+import uuid
+
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalogflow.operators import catalog as cat
 from catalogflow.operators import matching
 from catalogflow.operators.ordering import first_rows, sorted_ids
 from catalogflow.operators.variants import union_rows
+from catalogflow.session import shared_folder
 from catalogflow.sources import sheets, tables
 from fixture_queries.base import LINE_ORDER, LINE_ORDER_SQL, query
 
@@ -35,6 +39,46 @@ def _(t):
     return sheets.apply_layout(rows, sheets.DEFAULT)
 
 
+@query("src_01_sheet_file", f"""
+    SELECT CAST(c_custkey AS VARCHAR) AS product_id, 'said "' || c_name || '",' || chr(10) || c_mktsegment AS name,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN '{_NO_URL}' ELSE 'https://shop.invalid/' || c_nationkey END AS url,
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 3 AS ord
+    FROM customer QUALIFY ord >= 0""")
+def _(t):
+    path = f"{shared_folder(t.spark)}/sheets-{uuid.uuid4().hex}"
+    name = F.concat(F.lit('said "'), "c_name", F.lit('",\n'), "c_mktsegment")
+    link = F.when(F.col("c_mktsegment") == "BUILDING", "none").otherwise(F.concat(F.lit(" https://shop.invalid/"), F.col("c_nationkey").cast("string")))
+    # a sheet for each nation, cells with commas, quotes and line breaks
+    rows = t.customer.select("c_nationkey", F.col("c_custkey").alias("id"), name.alias("name"), link.alias("link"))
+    rows = rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "id").select("c_nationkey", F.col("id").cast("string"), "name", "link")
+    rows.write.partitionBy("c_nationkey").option("escape", '"').csv(path)
+    small = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}  # several tasks for a sheet
+    before = {k: t.spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        t.spark.conf.set(k, v)
+    try:
+        read, _ = sheets.read_csv(t.spark, path, sheets.Layout(2, {"product_id": 0, "name": 1, "url": 2}))  # writes the sheets' lines
+    finally:
+        for k, v in before.items():
+            t.spark.conf.set(k, v)
+    return read.drop("sheet", "file")
+
+
+@query("src_01_unreadable_sheets", """
+    SELECT 103 AS code, 'Error reading excel file' || chr(10) || 'Error occurred for given file: ' || c_nationkey AS message,
+           CASE WHEN c_nationkey % 3 = 0 THEN 'a quote is not closed' ELSE 'the sheet has no column 2 for url' END AS reason
+    FROM customer WHERE c_nationkey % 3 < 2 GROUP BY c_nationkey""")
+def _(t):
+    path = f"{shared_folder(t.spark)}/sheets-{uuid.uuid4().hex}"
+    third = F.col("c_nationkey") % 3
+    open_quote = F.when(F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) == 2, ',"x').otherwise(",x")
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(",n"), F.when(third == 0, open_quote).when(third == 1, "").otherwise(",http://x"))
+    t.customer.select("c_nationkey", line.alias("line")).repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    problems = sheets.read_csv(t.spark, path, sheets.COMPACT)[1]
+    nation = F.regexp_extract("file", "c_nationkey=([0-9]+)", 1)  # the files' own names are Spark's
+    return problems.select("code", F.replace("message", "sheet", nation).alias("message"), "reason")
+
+
 @query("src_01_bundle_sheet", f"""
     SELECT p_partkey - 1 AS ord, CAST(p_partkey AS VARCHAR) AS product_id, p_brand AS look_id, p_type AS line_id,
            '{_NO_URL}' AS url

@@ -66,7 +66,7 @@ def _stored(t, name):
 
     path = f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
     earlier = ledger_store.read_ledger(t.spark, path)
-    ledger_store.append_ledger(earlier.unionByName(ledger.id_rows(published(t, True))), path, "run1", buckets=8)
+    ledger_store.append_ledger(earlier.unionByName(ledger.id_rows(published(t, True))), path, "run1")
     return path
 
 
@@ -79,7 +79,7 @@ def _(t):
     import uuid
 
     path = f"{shared_folder(t.spark)}/ledger-read-{uuid.uuid4().hex}"
-    ledger_store.append_ledger(_every(t), path, "run1", buckets=8)
+    ledger_store.append_ledger(_every(t), path, "run1")
     return ledger_store.read_ledger(t.spark, path)
 
 
@@ -96,5 +96,5 @@ def _(t):
     for _attempt in range(2):  # the second attempt replaces the first
         known = ledger_store.read_ledger(t.spark, path, skip_run="run2")
         changed = ledger.changes(known, ledger.id_rows(published(t, False)))
-        ledger_store.append_ledger(ledger.added(changed), path, "run2", buckets=8)
+        ledger_store.append_ledger(ledger.added(changed), path, "run2")
     return ledger_store.read_ledger(t.spark, path)

@@ -1,5 +1,10 @@
 """Readers and writers, round trips and repeated runs."""
 
+import csv
+import os
+import random
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +14,7 @@ from catalogflow.operators.catalog import NO_URL
 from catalogflow.operators.extract import script_records
 from catalogflow.plans import feed_run, site_run
 from catalogflow.plans.profile import SiteProfile, profile, register
-from catalogflow.sources import feed_store, ledger_store, sheets, tables, vendor_feed
+from catalogflow.sources import feed_store, files, ledger_store, sheets, tables, vendor_feed
 from catalogflow.sources.reports import write_reports
 
 
@@ -24,6 +29,62 @@ def test_parquet_and_csv_sheets(spark, out):
             (0, "1", "One", "http://a"), (1, "2", "Two, b", NO_URL), (2, "2", "Two", "https://c")]
 
 
+@pytest.fixture
+def small_ranges(spark):
+    """Text is read in ranges of 500 bytes."""
+    settings = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_csv_sheets_by_byte_ranges(spark, out, small_ranges):
+    rnd, want = random.Random(5), {}
+    for name in ("a", "b", "c"):
+        rows = [["".join(rnd.choice(["x", "yy", " ", '"', ",", "\n", "\r\n", "é"]) for _ in range(rnd.randrange(9))) for _ in range(3)] for _ in range(150)]
+        with open(f"{out}/{name}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\r\n" if name == "b" else "\n").writerows(rows)
+        want |= {(f"{name}.csv", i): r for i, r in enumerate(rows)}
+    assert spark.read.text(f"{out}/a.csv").rdd.getNumPartitions() > 2
+    got = {(r.sheet, r.row): [r._c0 or "", r._c1 or "", r._c2 or ""] for r in sheets.csv_rows(spark, out, 3).collect()}
+    assert got == want
+
+
+def test_unreadable_sheets_are_report_rows(spark, out, small_ranges):
+    body = "".join(f"{i},n{i},http://{i}\n" for i in range(60))
+    for name, text_ in {"good": "h\nh\n" + body, "open": "h\nh\n" + body + '1,"x,http://1\n' + body, "narrow": "h,h\nh,h\n1,2\n" * 30,
+                        "long": "h\nh\n" + '1,"' + "x\n" * 10_001 + '",http://1\n', "empty": ""}.items():
+        with open(f"{out}/{name}.csv", "w") as f:
+            f.write("\ufeff" * (name == "good") + text_)
+    rows, problems = sheets.read_csv(spark, out, sheets.COMPACT)
+    assert {(r.sheet, r.n) for r in rows.groupBy("sheet").agg(F.count("*").alias("n")).collect()} == {("good.csv", 60)}
+    assert {(r.sheet, r.code, r.reason) for r in problems.collect()} == {
+        ("open.csv", 103, "a quote is not closed"), ("narrow.csv", 103, "the sheet has no column 2 for url"), ("long.csv", 103, "a record has more than 10000 lines")}
+    assert problems.where("sheet = 'open.csv'").first().message == "Error reading excel file\nError occurred for given file: open.csv"
+
+
+def test_run_from_sheets_with_an_own_reader(spark, out):
+    os.makedirs(f"{out}/sheets")
+    catalog, fetched = inputs(spark)
+    for c in ("c", "e"):
+        rows = [(r.product_id, r.name, r.url) for r in catalog.where(F.col("catalog_id") == c).orderBy("ord").collect()]
+        with open(f"{out}/sheets/{c}.csv", "w", newline="") as f:
+            csv.writer(f).writerows([("id", "name", "url"), *rows])
+    with open(f"{out}/sheets/f.csv", "w") as f:
+        f.write('"never closed')
+    upper = lambda cells, layout: sheets.apply_layout(cells, layout).withColumn("name", F.upper("name"))
+    site = replace(SHOP, name="sheet_shop", layout=sheets.Layout(1, {"product_id": 0, "name": 1, "url": 2}), read_rows=upper)
+    result = site_run.run_sheets(site, f"{out}/sheets", fetched, f"{out}/run", "1")
+    updates = {r.product_id: r.name for r in feed_store.read_feed(spark, f"{out}/run/feed", "update").collect()}
+    assert updates["p0"] == "Zero!" and updates["p2"] == "TWO" and "p0_0_1" in updates and "q0" not in updates
+    messages = {r.catalog_id: r.value for r in spark.read.text(f"{out}/run/reports", wholetext=True).collect()}
+    assert set(messages) == {"c", "e", "f"} and messages["f"].startswith("Error reading excel file\nError occurred for given file: f.csv")
+    assert result.report.where("catalog_id = 'f'").first().aborted
+
+
 def test_layouts(spark):
     df = spark.createDataFrame([(1.0, "look", "line", "x", "http://a", 0)], "_c0 double, _c1 string, _c2 string, _c3 string, _c4 string, row bigint")
     rows = sheets.apply_layout(df.withColumn("row", F.lit(1).cast("bigint")), sheets.BUNDLE).first()
@@ -70,19 +131,71 @@ def test_ledger_store(spark, out):
     path = f"{out}/ledger"
     assert ledger_store.read_ledger(spark, path).count() == 0
     rows = lambda *v: ledger.id_rows(spark.createDataFrame([(x,) for x in v], "product_id string"))
-    ledger_store.append_ledger(rows("a", "a_1", "b_1"), path, "1", buckets=8)
+    ledger_store.append_ledger(rows("a", "a_1", "b_1"), path, "1")
     for _attempt in range(2):
         known = ledger_store.read_ledger(spark, path, skip_run="2")
-        ledger_store.append_ledger(ledger.added(ledger.changes(known, rows("a_1", "a_2", "c_1"))), path, "2", buckets=8)
+        ledger_store.append_ledger(ledger.added(ledger.changes(known, rows("a_1", "a_2", "c_1"))), path, "2")
     assert sorted(r.variant_id for r in ledger_store.read_ledger(spark, path).collect()) == ["a", "a_1", "a_2", "b_1", "c_1"]
     roots = spark.createDataFrame([("a",)], "root_id string")
-    pruned = ledger_store.read_ledger(spark, path, roots=roots, buckets=8)
+    pruned = ledger_store.read_ledger(spark, path, roots=roots)
     assert {r.variant_id for r in pruned.where("root_id = 'a'").collect()} == {"a", "a_1", "a_2"}
-    assert "PartitionFilters: [isnotnull(bucket" in pruned._jdf.queryExecution().executedPlan().toString()
-    ledger_store.compact(ledger_store.read_ledger(spark, path), f"{out}/compact", "all", 8)
+    ledger_store.compact(ledger_store.read_ledger(spark, path), f"{out}/compact", "all")
     assert ledger_store.read_ledger(spark, f"{out}/compact").count() == 5
 
 
+def many(spark, roots, ids, start=0):
+    """Ledger rows of many roots, a third of them of one root."""
+    root = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), (F.col("id") % roots).cast("string")))
+    return spark.range(start, start + ids).select(root.alias("root_id"), F.concat_ws("_", root, F.sha1(F.col("id").cast("string").cast("binary"))).alias("variant_id"))
+
+
+def files_of(df, path):
+    """How many files of a folder a table reads."""
+    return sum(path in f for f in df.inputFiles())
+
+
+def test_a_run_over_few_roots_opens_few_ledger_files(spark, out):
+    path = f"{out}/ledger"
+    ledger_store.append_ledger(many(spark, 5000, 60_000), path, "big", file_bytes=100_000)
+    for n in range(6):  # small runs, one file each
+        ledger_store.append_ledger(spark.createDataFrame([(f"s{n}", f"s{n}_{i}") for i in range(50)], "root_id string, variant_id string"), path, f"small{n}")
+    every = ledger_store.read_ledger(spark, path)
+    assert files_of(every, "run=big") > 20 and files_of(every, "run=small") == 6
+    pick = lambda *names: ledger_store.read_ledger(spark, path, roots=spark.createDataFrame([(n,) for n in names], "root_id string"))
+    few = pick("r7", "s3")
+    assert files_of(few, "run=big") <= 2 and files_of(few, "run=small") == 1
+    for name in ("r7", "s3", "hot"):
+        assert pick(name).where(F.col("root_id") == name).count() == every.where(F.col("root_id") == name).count() > 0
+    assert pick("nowhere").where("root_id = 'nowhere'").count() == 0
+    # a run whose manifest was lost is read whole
+    files.remove(spark, f"{path}/_manifest/run=small5")
+    assert files_of(pick("s3"), "run=small") == 2
+
+
+def test_files_of_a_hot_root_follow_its_size(spark, out):
+    held = []
+    for n in (30_000, 90_000):
+        ledger_store.append_ledger(many(spark, 500, n), f"{out}/{n}", "1", file_bytes=150_000)
+        written = spark.read.parquet(f"{out}/{n}/run=1")
+        held.append(written.where("root_id = 'hot'").select(F.input_file_name()).distinct().count())
+        assert written.count() == n
+    assert held[0] >= 3 and held[1] >= 2 * held[0]
+
+
+def test_a_run_reads_the_ledger_of_its_roots(spark, out):
+    site_run.run(SHOP, *inputs(spark), out, "0001")
+    ledger_store.append_ledger(many(spark, 5000, 30_000), f"{out}/ledger", "0002", file_bytes=50_000)
+    asked = []
+    read = ledger_store.read_ledger
+    try:
+        ledger_store.read_ledger = lambda *a, **k: asked.append(read(*a, **k)) or asked[-1]
+        site_run.run(SHOP, *inputs(spark, "#c=red;s=S;"), out, "0003")
+    finally:
+        ledger_store.read_ledger = read
+    assert len(asked) == 1 and files_of(asked[0], "run=0001") == 1 and files_of(asked[0], "run=0002") < files_of(read(spark, f"{out}/ledger"), "run=0002") / 2
+    assert "p0_1" in {r.product_id for r in feed_store.read_feed(spark, f"{out}/feed", "delete").collect()}
+
+
 def test_ledger_import(spark):
     docs = spark.createDataFrame([('{"a": ["a", "a_1", "a_1"], "b": []}',)], "value string")
     assert {tuple(r) for r in ledger_store.import_json(docs).collect()} == {("a", "a"), ("a", "a_1")}
@@ -100,6 +213,60 @@ def test_feed_versions_keep_two(spark, out):
         feed_store.read_feed(spark, f"{out}/f", "update", back=2)
 
 
+def test_runs_side_by_side_lose_nothing(spark, out, monkeypatch):
+    declared = feed.properties_table(spark, [])
+    rows = lambda *c: spark.createDataFrame([(x, f"{x}1") for x in c], "catalog_id string, product_id string")
+    write = lambda v, *c: feed_store.write_feed(f"{out}/f", v, declared, rows(*c), rows(*c))
+    write("1", "a", "b")
+    publish, between = files.publish, []
+
+    def late(*args):  # another run commits just before this one does
+        if not between:
+            between.append(True)
+            write("3", "b")
+        return publish(*args)
+
+    monkeypatch.setattr(files, "publish", late)
+    write("2", "a")
+    monkeypatch.setattr(files, "publish", publish)
+    current = lambda **k: {(r.catalog_id, r.version) for r in feed_store.read_catalogs(spark, f"{out}/f", "update", **k).collect()}
+    assert current() == {("a", "2"), ("b", "3")} and current(back=1) == {("a", "1"), ("b", "1")} and current(only=["b"]) == {("b", "3")}
+    assert feed_store.versions(spark, f"{out}/f") == ["1", "2", "3"]
+    write("4", "a", "b")
+    assert current(back=1) == {("a", "2"), ("b", "3")} and feed_store.versions(spark, f"{out}/f") == ["2", "3", "4"]
+    assert "version=1" not in files.folders(spark, f"{out}/f")
+    assert len([n for n in files.names(spark, f"{out}/f/_log") if n.endswith(".json")]) == 4  # one small file a commit
+    plan = feed_store.read_catalogs(spark, f"{out}/f", "update")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
+def test_a_lost_job_leaves_the_current_feed(spark, out):
+    declared, rows = feed.properties_table(spark, []), spark.createDataFrame([("a", "a1")], "catalog_id string, product_id string")
+    feed_store.write_feed(f"{out}/f", "1", declared, rows, rows)
+    broken = rows.withColumn("product_id", F.raise_error(F.lit("lost")))
+    for version in ("1", "2"):
+        with pytest.raises(Exception, match="lost"):
+            feed_store.write_feed(f"{out}/f", version, declared, rows, broken)
+    assert feed_store.read_feed(spark, f"{out}/f", "update").count() == 1 and feed_store.versions(spark, f"{out}/f") == ["1"]
+    feed_store.write_feed(f"{out}/f", "2", declared, rows, rows)
+    assert feed_store.versions(spark, f"{out}/f") == ["1", "2"]
+
+
+def test_bundles_belong_to_the_catalogues_that_name_them(spark, out):
+    catalog, fetched = inputs(spark)
+    listed = catalog.withColumns({"look_id": F.when(F.col("product_id") == "p0", "L1").otherwise(""), "line_id": F.lit(None).cast("string")})
+    looks = spark.createDataFrame([("L1", "Look one")], "product_id string, name string")
+    site_run.run(SHOP, listed, fetched, out, "1", bundles=(looks, looks.where("false")))
+    for part in ("update", "delete"):
+        ids = {(r.catalog_id, r.product_id) for r in feed_store.read_catalogs(spark, f"{out}/feed", part).collect()}
+        assert {("c", "L1"), ("c", "L1_p0"), ("c", "p0")} <= ids, part
+
+
+def test_publish_is_once(spark, out):
+    assert files.publish(spark, f"{out}/one", "é") and not files.publish(spark, f"{out}/one", "two")
+    assert files.read_text(spark, f"{out}/one") == "é" and files.names(spark, out) == ["one"]
+
+
 def test_feed_as_xml(spark, out):
     declared = feed.properties_table(spark, [feed.Property("size", "Size", "integer")])
     updates = spark.createDataFrame([("1", ["x", "<&>"], None)], "product_id string, tags array<string>, none string")
@@ -140,7 +307,7 @@ def inputs(spark, sizes="#c=red;s=S;#c=red;s=M;#c=blue;s=S;"):
 
 
 def test_site_run(spark, out):
-    result = site_run.run(SHOP, *inputs(spark), out, "0001", ledger_buckets=4)
+    result = site_run.run(SHOP, *inputs(spark), out, "0001")
     updates = {r.product_id: r for r in feed_store.read_feed(spark, f"{out}/feed", "update").collect()}
     assert set(updates) == {"p0", "p0_0", "p0_1", "p0_0_0", "p0_0_1", "p0_1_0", "p2", "p4", "p3"}
     assert updates["p0"].name == "Zero!" and updates["p0"].in_stock == "IN_STOCK"
@@ -156,7 +323,7 @@ def test_site_run(spark, out):
     assert spark.read.parquet(f"{out}/statuses").count() == 10
     # The next run drops a size: its id is deleted, the ledger keeps it, and a repeat of the run changes nothing.
     for _attempt in range(2):
-        site_run.run(SHOP, *inputs(spark, "#c=red;s=S;#c=blue;s=S;"), out, "0002", ledger_buckets=4)
+        site_run.run(SHOP, *inputs(spark, "#c=red;s=S;#c=blue;s=S;"), out, "0002")
         deletes = sorted(r.product_id for r in feed_store.read_feed(spark, f"{out}/feed", "delete").collect())
         assert deletes == sorted({"p0", "p0_0", "p0_1", "p0_0_0", "p0_0_1", "p0_1_0", "p2", "p4", "p3"})
         assert ledger_store.read_ledger(spark, f"{out}/ledger").count() == 9
@@ -179,7 +346,7 @@ def test_site_run_with_bundles(spark):
 
 
 def test_trial_run(spark, out):
-    result = site_run.run(SHOP, *inputs(spark), out, "1", trial=1, ledger_buckets=2)
+    result = site_run.run(SHOP, *inputs(spark), out, "1", trial=1)
     assert {r.product_id for r in result.updates.where("level = 0").collect()} == {"p0"}
 
 
