@@ -1,15 +1,17 @@
-"""Near duplicates by ProbMinHash over weighted word shingles, banding, exact verification, and connected classes.
+"""Near duplicates by ProbMinHash over word shingles, banding, exact verification, and connected classes.
 
 1. Texts with the same multiset of shingles are one text; the one of the smallest id stands for them.
-2. ProbMinHash: each shingle's points arrive as a Poisson process of its weight (its count), each at a random one of ``K``
-   places; a place keeps the shingle of its earliest point. A process ends once its next point is later than every place's
-   earliest. Two signatures agree at a place with the probability Jaccard similarity of the texts.
+2. ProbMinHash: each shingle's points arrive as a Poisson process of its weight, each at a random one of ``K`` places; a place
+   keeps the shingle of its earliest point. A process ends once its next point is later than every place's earliest. Two
+   signatures agree at a place with the probability Jaccard similarity of the weights. Every text has a signature with weight 1
+   for each distinct shingle, for which that is the Jaccard similarity that step 4 verifies; a text that repeats shingles has a second
+   one weighted by their counts, which brings it to texts that repeat them alike (without repeats the two are the same).
 3. Texts whose signatures agree in all ``R`` places of a band meet in a bucket. A pair of similarity 0.8 meets in one of the
-   B = K / R bands with probability 1 - (1 - 0.8 ** R) ** B > 0.99999.
-4. Each text of a bucket is first compared with the bucket's smallest id, exactly (distinct shingles, Jaccard). Texts of a
-   bucket that are then not in one class are compared with each other inside the join, unless the distances to the smallest id
-   (triangle inequality), the sizes or the shingles that nobody shares rule them out. Only links leave the join, and none is lost.
-5. Classes are the connected components of the links, found by passing the smallest id along, with the links shortened.
+   B = K / R bands with probability 1 - (1 - 0.8 ** R) ** B > 0.99999, however often either text repeats its shingles.
+4. Each text of a bucket is compared with the bucket's smallest id, exactly (distinct shingles, Jaccard).
+5. Texts that then share a bucket but not a class are joined on rare shingles: sets of n shingles with a similarity of 0.8 share one of their
+   n - ceil(0.8 n) + 1 rarest. Only pairs that share such a one are compared, so a bucket is never compared all with all, and no link is lost.
+6. Classes are the connected components of the links, found by passing the smallest id along, with the links shortened.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def signatures(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
     The i-th point of a shingle arrives after an exponential wait of rate weight; waits and places depend on shingle and i alone.
     """
-    size = np.array([len(h) for h, _ in parts])
+    size = np.array([len(h) for h, _ in parts], dtype=np.int64)
     doc = np.repeat(np.arange(len(parts)), size)
     h = np.concatenate([x for x, _ in parts]) if len(parts) else np.zeros(0, dtype=np.uint64)
     weight = np.concatenate([c for _, c in parts]).astype(np.float64) if len(parts) else np.zeros(0)
@@ -104,18 +106,28 @@ def _bands(signature: np.ndarray) -> np.ndarray:
         return _mixed(out + np.arange(B, dtype=np.uint64)).view(np.int64)
 
 
+def content_hash(h: np.ndarray, c: np.ndarray) -> int:
+    """A hash of weighted shingles."""
+    return zlib.crc32(h.tobytes() + c.tobytes()) << 31 ^ int(_mixed(h * c.astype(np.uint64)).sum(dtype=np.uint64) >> np.uint64(1))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, n, bands): hash of the weighted shingles, number of distinct ones, band hashes."""
+    """(doc_id, content, n, bands): hash of the weighted shingles, number of distinct ones, and band hashes.
+
+    The first ``B`` hashes are those of the set. A text with repeated shingles has ``B`` more, of the weighted ones, null where they agree.
+    """
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = [shingles(t, hashes) for t in texts(batch)]
-        bands = _bands(signatures(parts))
-        content = [zlib.crc32(h.tobytes() + c.tobytes()) << 31 ^ int(_mixed(h * c.astype(np.uint64)).sum(dtype=np.uint64) >> np.uint64(1)) for h, c in parts]
+        plain = _bands(signatures([(h, np.ones(len(h), dtype=np.int64)) for h, _ in parts]))
+        bands = [b.tolist() if len(h) else [] for b, (h, _) in zip(plain, parts, strict=True)]
+        several = [i for i, (_, c) in enumerate(parts) if len(c) and c.max() > 1]
+        for i, weighted in zip(several, _bands(signatures([parts[i] for i in several])), strict=True):
+            bands[i] += [None if x == y else y for x, y in zip(bands[i], weighted.tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), pa.array(content, pa.int64()), pa.array([len(h) for h, _ in parts], pa.int64()),
-            pa.array([list(b) if len(h) else [] for b, (h, _) in zip(bands, parts, strict=True)], pa.list_(pa.int64()))],
-            names=["doc_id", "content", "n", "bands"])
+            batch.column("doc_id").cast(pa.int64()), pa.array([content_hash(h, c) for h, c in parts], pa.int64()),
+            pa.array([len(h) for h, _ in parts], pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "content", "n", "bands"])
 
     return by_batch(docs.select("doc_id", "text"), run, "doc_id long, content long, n long, bands array<long>")
 
@@ -129,14 +141,30 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, s) of the wanted documents: hashes of the distinct shingles."""
+    """(doc_id, s) of the wanted texts (doc_id, content): hashes of the distinct shingles. Of several texts of one id only that one counts."""
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s = [shingles(t, hashes)[0].view(np.int64) for t in texts(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(s, pa.list_(pa.int64()))], names=["doc_id", "s"])
+        parts = [shingles(t, hashes) for t in texts(batch)]
+        return pa.RecordBatch.from_arrays([
+            batch.column("doc_id").cast(pa.int64()), pa.array([content_hash(h, c) for h, c in parts], pa.int64()),
+            pa.array([h.view(np.int64) for h, _ in parts], pa.list_(pa.int64()))], names=["doc_id", "content", "s"])
+
+    some = docs.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi")
+    found = by_batch(some, run, "doc_id long, content long, s array<long>")
+    return found.join(wanted, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "s")
+
 
-    return by_batch(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), run, "doc_id long, s array<long>")
+def rare_pairs(sets: DataFrame, similar: float) -> DataFrame:
+    """(a, b) of the sets (doc_id, n, c, s) of different c that may be so similar: they share one of their rarest members, and their sizes allow it."""
+    member = sets.select("doc_id", F.explode("s").alias("h"))
+    often = member.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
+    ranked = member.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("r"))
+    least = (F.col("n") - F.ceil(F.col("n") * similar - 1e-9) + 1).cast("int")
+    rare = ranked.join(sets.select("doc_id", "n", "c"), "doc_id").select("doc_id", "n", "c", F.explode(F.filter(F.slice("r", F.lit(1), least), lambda x: x["often"] > 1)["h"]).alias("h"))
+    other = rare.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "h")
+    met = rare.withColumnRenamed("doc_id", "a").join(other, "h").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("cb")) & (F.least("n", "nb") >= similar * F.greatest("n", "nb")))
+    return met.select("a", "b").distinct()
 
 
 def classes(links: DataFrame, name: str = "classes") -> DataFrame:
@@ -171,36 +199,25 @@ def groups(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     one = sketch.groupBy("doc_id").agg(F.min(F.struct("content", "n", "bands")).alias("x")).select("doc_id", "x.*") if _repeats(sketch) else sketch
     first = one.groupBy("content").agg(F.min("doc_id").alias("rep"))
     reps = staged(one.join(first.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "texts")
-    met = reps.where("n > 0").select("doc_id", "n", F.posexplode("bands").alias("band", "key"))
+    met = reps.where("n > 0").select("doc_id", "n", F.posexplode("bands").alias("band", "key")).where("key IS NOT NULL").withColumn("band", F.col("band") % B)
     bucket = met.groupBy("band", "key").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = staged(met.join(bucket, ["band", "key"]).where("lead < doc_id").select("band", "key", "lead", "doc_id", "n"), "members")
+    members = staged(met.join(bucket, ["band", "key"]).where("lead < doc_id").select("band", "key", "lead", "doc_id"), "members")
     pairs = members.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = staged(shingle_sets(docs, ends).dropDuplicates(["doc_id"]), "shingles")
+    sets = staged(shingle_sets(docs, reps.select("doc_id", "content").join(ends, "doc_id", "left_semi")), "shingles")
     stars = staged(compared(pairs, sets), "stars")
     links = stars.where(F.col("similarity") >= similar)
     known = classes(links)
 
-    # what shares a bucket but not a class, where the distances to the lead differ by no more than the allowed distance
-    rest = members.join(stars.select(F.col("a").alias("lead"), F.col("b").alias("doc_id"), (1 - F.col("similarity")).alias("d")), ["lead", "doc_id"])
-    rest = rest.join(known.withColumnRenamed("class", "c"), "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
+    # texts of buckets whose members are not all in the class of the smallest id
+    rest = members.select("band", "key", "lead", "doc_id").join(known.withColumnRenamed("class", "c"), "doc_id", "left").withColumn("c", F.coalesce("c", "doc_id"))
     lead = known.select(F.col("doc_id").alias("lead"), F.col("class").alias("lc"))
     rest = rest.join(lead, "lead", "left").withColumn("lc", F.coalesce("lc", "lead"))
     several = rest.groupBy("band", "key").agg(F.max(F.col("c") != F.col("lc")).alias("open")).where("open").select("band", "key")
-    rest = staged(rest.join(several, ["band", "key"]), "open")
-    # shingles that no other of these texts has cannot be shared: what is left bounds the similarity of any pair from above
-    open_sets = sets.join(rest.select("doc_id").distinct(), "doc_id", "left_semi")
-    alone = open_sets.select("doc_id", F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
-    rest = rest.join(alone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("u")), "doc_id", "left").withColumn("most", F.col("n") - F.coalesce("u", F.lit(0)))
-    rest = rest.where(F.col("most") >= similar * F.col("n")).join(open_sets, "doc_id")
-    x = rest.where("c <> lc").select("band", "key", "doc_id", "n", "c", "d", "most", "s")
-    y = rest.select("band", "key", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("d").alias("dy"), F.col("most").alias("my"), F.col("s").alias("sy"))
-    shared = F.size(F.array_intersect("s", "sy"))
-    more = x.join(y, ["band", "key"]).where(
-        (F.col("c") != F.col("cy")) & (F.abs(F.col("d") - F.col("dy")) <= 1 - similar + 1e-9)
-        & (F.least("n", "ny") >= similar * F.greatest("n", "ny")) & (F.least("most", "my") * (1 + similar) >= similar * (F.col("n") + F.col("ny")))
-        & (shared >= similar * (F.col("n") + F.col("ny") - shared)))
-    more_links = staged(more.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct(), "links")
+    texts_open = rest.join(several, ["band", "key"]).select("doc_id", "c").distinct()
+    open_sets = staged(sets.join(texts_open, "doc_id").select("doc_id", F.size("s").alias("n"), "c", "s"), "open")
+    more = compared(rare_pairs(open_sets, similar), open_sets.select("doc_id", "s"))
+    more_links = staged(more.where(F.col("similarity") >= similar).select("a", "b"), "links")
     every = links.select("a", "b").unionByName(more_links)
     final = known if not more_links.limit(1).count() else classes(known.select(F.col("doc_id").alias("b"), F.col("class").alias("a")).unionByName(more_links.select("b", "a")))
 
@@ -218,8 +235,9 @@ def _repeats(sketch: DataFrame) -> bool:
 def kept(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``docs`` with one document of each class: that of the smallest id. Of repeated rows of that id one stays; rows without an id stay."""
     first = groups(docs, similar).where("doc_id = class_id").select("doc_id")
-    one = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").select(*docs.columns)
-    if bool(one.groupBy("doc_id").count().where("count > 1").limit(1).count()):
-        order = W.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-        one = one.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")  # columns may have any names
+    one = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").select(whole)
+    if bool(one.groupBy("r.doc_id").count().where("count > 1").limit(1).count()):
+        order = W.partitionBy("r.doc_id").orderBy(F.xxhash64("r"))
+        one = one.withColumn("k", F.row_number().over(order)).where("k = 1")
+    return one.unionByName(docs.where("doc_id IS NULL").select(whole), allowMissingColumns=True).select("r.*").select(*[f"`{c}`" for c in docs.columns])

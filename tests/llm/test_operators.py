@@ -403,6 +403,45 @@ def test_near_duplicates_are_all_pairs_classes(spark):
         assert got == plain_classes({r.doc_id: r.text for r in docs.select("doc_id", "text").collect()})
 
 
+def test_repeated_lines_lose_no_links(spark):
+    """Texts that differ in how often they repeat a line: alike as sets, unlike as multisets."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(60):
+        lines = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 20)) for _ in range(40)]
+        rows += [(3 * k, "\n".join(lines)), (3 * k + 1, "\n".join(lines[:20] + [lines[20]] * (20, 50, 200)[k % 3] + lines[21:])),
+                 (3 * k + 2, "\n".join([*lines[:39], lines[3]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_classes(dict(rows))
+    assert {r.doc_id: r.class_id for r in neardup.groups(docs).collect()} == want and len(set(want.values())) == 60
+
+
+def test_repeated_ids_do_not_depend_on_row_order(spark):
+    a, b = ("one two three four five six seven eight nine ten " + x for x in ("eleven", "twelve"))
+    rows = [(1, a), (1, "an unlike text of the same id with words of its own"), (2, a), (3, b + " thirteen fourteen fifteen")]
+    got = [{r.doc_id: r.class_id for r in neardup.groups(spark.createDataFrame(x, "doc_id long, text string").coalesce(1)).collect()} for x in (rows, rows[::-1])]
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_rare_pairs_hold_every_similar_pair(spark):
+    rng = np.random.default_rng(4)
+    sets = []
+    for k in range(120):
+        own = set(map(int, rng.integers(0, 40 if k % 2 else 2000, int(rng.integers(1, 30)))))
+        sets.append((k, own | set(range(10_000, 10_000 + int(rng.integers(0, 60))))))
+    rows = spark.createDataFrame([(k, len(s), k, sorted(s)) for k, s in sets], "doc_id long, n int, c long, s array<long>")
+    got = {(r.a, r.b) for r in neardup.rare_pairs(rows, 0.8).collect()}
+    alike = {(i, j) for i, s in sets for j, t in sets if i < j and len(s & t) >= 0.8 * len(s | t)}
+    assert alike and alike <= got and len(got) < 120 * 119 / 2
+
+
+def test_kept_has_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 1, "x"), (1, "a b c d e f", 1, "y"), (2, "a b c d e f", 1, "x"), (None, "z", 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, `r.k` string")
+    got = neardup.kept(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1]
+
+
 def test_near_duplicates_on_odd_rows(odd):
     got = {r.doc_id: r.class_id for r in neardup.groups(odd).collect()}
     assert got == {1: 1, 5: 1, 2: 2, 3: 2, 6: 2, 4: 4, 7: 7}
@@ -448,6 +487,61 @@ def test_license_notices(spark, odd):
     assert licenses.scan(odd.limit(0)).count() == 0
 
 
+def plain_notices(text: str, ix) -> list:
+    """Every stretch of a text that holds enough of a template, by comparing all shingles with all templates."""
+    h, out = licenses.shingle_hashes(re.findall(r"\w+", text.lower()), neardup.WordHashes()), []
+    for name, own in zip(ix.names, ix.own, strict=True):
+        hits = np.flatnonzero(np.isin(h, own))
+        for run in np.split(hits, np.flatnonzero(np.diff(hits) > licenses.BREAK) + 1) if len(hits) else []:
+            if len(np.unique(h[run])) / len(own) >= licenses.CONTAINED:
+                out.append((name, round(len(np.unique(h[run])) / len(own), 9)))
+    return sorted(out)
+
+
+def test_licenses_are_those_of_a_full_comparison(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ix = licenses.index(licenses.TEMPLATES)
+    got = defaultdict(list)
+    for r in licenses.scan(docs).collect():
+        got[r.doc_id].append((r.license, round(r.containment, 9)))
+    want = {r.doc_id: found for r in docs.collect() if (found := plain_notices(r.text or "", ix))}
+    assert want and {d: sorted(x) for d, x in got.items()} == want
+
+
+def test_edited_licenses_are_retrieved_at_the_stated_rate():
+    rng = np.random.default_rng(6)
+    ix, hashes = licenses.index(licenses.TEMPLATES), neardup.WordHashes()
+    some = []
+    for k in range(600):
+        w = licenses.TEMPLATES[ix.names[k % len(ix.names)]].split()
+        for _ in range(int(rng.integers(0, 6))):
+            at, kind = int(rng.integers(len(w))), rng.random()
+            w[at : at + 1] = ["edited"] if kind < 0.4 else [w[at], "inserted"] if kind < 0.7 or len(w) == 1 else []
+        around = [" ".join(f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(0, 300)))) for _ in range(2)]
+        some.append(f"{around[0]} {' '.join(w)} {around[1]}")
+    some.append(" ".join(some[:80]))  # a text of several parts
+    want = [plain_notices(t, ix) for t in some]
+    got = [sorted((x[0], round(x[3], 9)) for x in found) for found in licenses.matches(some, ix, hashes)]
+    lost = sum(len(set(w) - set(g)) for w, g in zip(want, got, strict=True))
+    assert all(set(g) <= set(w) for w, g in zip(want, got, strict=True)) and lost <= 0.003 * sum(map(len, want))
+    assert [sorted((x[0], round(x[3], 9)) for x in licenses.find(t, ix, hashes)) for t in some[:50]] == got[:50]  # whatever else is in the batch
+    for r in ix.sizes:  # without the bands nothing is found
+        r.some[:] = False
+    assert not any(licenses.matches(some, ix, hashes))
+
+
+def test_collision_bound():
+    assert min(licenses.collision(n) for n in range(1, 2000)) > 0.997
+    for n in range(1, 400):
+        size, step = licenses.window(n)
+        assert size == n if n <= licenses.EXACT else n + step - 1 <= size <= 1.72 * n
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 2**63, 400).astype(np.uint64)
+    a, b = licenses.values(h[:300], 64).min(1), licenses.values(h[100:], 64).min(1)
+    same = [np.mean(licenses.values(x[:300], 64).min(1) == licenses.values(x[100:], 64).min(1)) for x in (rng.integers(0, 2**63, 400).astype(np.uint64) for _ in range(60))]
+    assert len(a) == len(b) == 64 and np.mean(same) == pytest.approx(0.5, abs=0.04)  # minima agree as often as the sets are similar
+
+
 # --- 8 nearest ---------------------------------------------------------------------------------------------------------
 
 
