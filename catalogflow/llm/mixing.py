@@ -58,20 +58,19 @@ def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
 
 
 def numbered_by_source(docs: DataFrame, key: list[str], bucket_rows: int) -> DataFrame:
-    """``docs`` with ``_n`` (documents of its source) and ``_k`` (its number there, from 0, in the order of hashed keys).
+    """(d, s, n, k): each row as a struct with its source, the rows of that source, and its number there from 0 in the order of hashes.
 
-    A source is cut into buckets of about ``bucket_rows`` by hash, numbered apart and put together by their counts, so no
-    task sorts a whole source. Equal keys share a bucket.
+    A source is cut into buckets of about ``bucket_rows`` by a hash of the key and the whole row, numbered apart and put together by their
+    counts, so no task sorts a whole source, also where many keys are equal or null. Rows equal in every column share a bucket.
     """
-    size = docs.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
-    hashed = docs.join(size, docs["source"].eqNullSafe(size["source"])).drop(size["source"])
-    hashed = hashed.withColumn("_h", F.xxhash64(*key)).withColumn("_b", F.pmod("_h", F.ceil(F.col("_n") / bucket_rows)))
-    before = hashed.groupBy("source", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    before = before.withColumn("_o", F.sum("_c").over(W.partitionBy("source").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)))
-    before = before.select(F.col("source").alias("_s"), F.col("_b").alias("_b2"), F.coalesce("_o", F.lit(0)).alias("_o"))
-    inside = hashed.withColumn("_r", F.row_number().over(W.partitionBy("source", "_b").orderBy("_h", *key)))
-    return inside.join(before, inside["source"].eqNullSafe(before["_s"]) & (F.col("_b") == F.col("_b2"))).withColumn(
-        "_k", F.col("_o") + F.col("_r") - 1).drop("_s", "_b2", "_o", "_r", "_b", "_h")
+    whole = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("source").alias("s"), F.xxhash64(*[F.col(f"`{c}`") for c in key], *whole).alias("h"))
+    size = rows.groupBy(F.col("s").alias("s1")).agg(F.count(F.lit(1)).alias("n"))
+    hashed = rows.join(size, rows["s"].eqNullSafe(size["s1"])).drop("s1").withColumn("b", F.pmod("h", F.ceil(F.col("n") / bucket_rows)))
+    before = hashed.groupBy(F.col("s").alias("s1"), F.col("b").alias("b1")).agg(F.count(F.lit(1)).alias("c"))
+    before = before.withColumn("o", F.coalesce(F.sum("c").over(W.partitionBy("s1").orderBy("b1").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = hashed.withColumn("r", F.row_number().over(W.partitionBy("s", "b").orderBy("h", *[F.col(f"d.`{c}`") for c in key])))
+    return inside.join(before, inside["s"].eqNullSafe(before["s1"]) & (F.col("b") == F.col("b1"))).select("d", "s", "n", (F.col("o") + F.col("r") - 1).alias("k"))
 
 
 def mix(
@@ -83,27 +82,21 @@ def mix(
     ``weights`` has (source, weight); a source without a positive weight there takes its share of one block a cycle.
     Without ``weights`` a source of n documents weighs n ** power. Weights are held to the nearest 1 / ``cycle``, at least one
     block a cycle each. No row is dropped or repeated. A null source is a source of its own; null texts and keys, repeated
-    rows and further columns stay as they are (a further column must not be named block, slot, place or _n, _k, _s, _b, _b2,
-    _h, _o, _r). An empty table gives none. Ties of the key are put in any order.
+    rows and further columns stay as they are, whatever their names; columns that are named block, slot or place give way to the
+    operator's. An empty table gives none. Ties of the key are put in any order.
     """
-    key = key or ["doc_id"]
-    columns = docs.columns
-    numbered = numbered_by_source(docs, key, bucket_rows)
+    numbered = numbered_by_source(docs, key or ["doc_id"], bucket_rows)
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         counts = counts.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(power)))
     else:
         given = weights.groupBy(F.col("source").alias("_ws")).agg(F.max("weight").cast("double").alias("weight"))
         counts = counts.join(given, counts["source"].eqNullSafe(given["_ws"]), "left").select("source", "n", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)).alias("weight"))
-    schedule = plan(counts, block_rows, cycle).withColumnRenamed("source", "_s")
-    out = numbered.join(schedule, numbered["source"].eqNullSafe(schedule["_s"]))
-    block = F.floor(F.col("_k") / block_rows)
+    schedule = plan(counts, block_rows, cycle).withColumnRenamed("source", "s1")
+    out = numbered.join(schedule, numbered["s"].eqNullSafe(schedule["s1"]))
+    block = F.floor(F.col("k") / block_rows)
     turn = F.floor(F.col("block") / F.col("share"))
     part = F.element_at(F.filter("parts", lambda p: p["first"] <= F.col("turn")), -1)
-    return (
-        out.withColumn("block", block).withColumn("turn", turn).withColumn("part", part)
-        .withColumn("slot", F.col("part.base") + (F.col("turn") - F.col("part.first")) * F.col("part.m")
-                    + F.col("part.slots")[(F.col("block") - F.col("turn") * F.col("share")).cast("int")])
-        .withColumn("place", F.col("_k") - F.col("block") * block_rows)
-        .select(*columns, "block", "slot", "place")
-    )
+    slot = F.col("part.base") + (F.col("turn") - F.col("part.first")) * F.col("part.m") + F.col("part.slots")[(F.col("block") - F.col("turn") * F.col("share")).cast("int")]
+    kept = [F.col(f"d.`{c}`").alias(c) for c in docs.columns if c not in ("block", "slot", "place")]
+    return out.withColumn("block", block).withColumn("turn", turn).withColumn("part", part).select(*kept, "block", slot.alias("slot"), (F.col("k") - F.col("block") * block_rows).alias("place"))

@@ -18,9 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from catalogflow.llm.common import small_batches, texts
 
+PLACE_SCHEMA = "pool_file long, pool_row long"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, context long, step_group long"
 CACHE = 400_000  # chunks whose ids a worker remembers; beyond that it starts anew
 
@@ -170,13 +172,15 @@ def step_groups(windows: list[tuple[int, list[Piece]]], tokens: int) -> list[int
 
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 4096, shortest: int = 512, least: int = 64, end_id: int = 2,
-    pool_tokens: int = 1 << 22, step_tokens: int = 1 << 16, order: list | None = None, lower_words: bool = False,
+    pool_tokens: int = 1 << 22, step_tokens: int = 1 << 16, place: tuple[str, str] | None = None, lower_words: bool = False,
 ) -> DataFrame:
     """Pieces of all documents in sequences: the real ids (little-endian 32-bit), place, context size and step group.
 
-    Each task packs pools of at least ``pool_tokens`` tokens from the partition it reads, so no row is shuffled; ``order``
-    sorts the rows of a partition first. A null or empty text is its end id alone. Rows with equal or null doc_id are
-    documents of their own; further columns are ignored; an empty table gives no rows. Sequence ids are unique, not dense.
+    Each task packs pools of at least ``pool_tokens`` tokens from the partition it reads, so no row is shuffled. ``place`` names two
+    columns of whole numbers, a file's and a row's: then a pool holds neighbouring rows of one file in their order, and its sequences carry the
+    place of its first row as ``pool_file`` and ``pool_row``, by which sequences follow the order of the rows however files are
+    dealt to tasks. A null or empty text is its end id alone. Rows with equal or null doc_id are documents of their own; further
+    columns are ignored; an empty table gives no rows. Sequence ids are unique, not dense.
     """
     small_batches(docs.sparkSession)
     tiers = tuple(t for t in (1 << k for k in range(capacity.bit_length())) if shortest <= t <= capacity)
@@ -184,10 +188,10 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer_of(tokenizer, lower_words)
         base, groups_done = TaskContext.get().partitionId() << 40, 0
-        done, pool, held = 0, [], 0
+        done, pool, held, first = 0, [], 0, (0, 0)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal done, groups_done
+            nonlocal done, groups_done, pool, held
             windows = pack_pool([len(ids) for _, ids in pool], tiers, least)
             groups = step_groups(windows, step_tokens)
             rows: list[tuple] = []
@@ -195,7 +199,7 @@ def pack(
                 offset = 0
                 for doc, start, n in pieces:
                     doc_id, ids = pool[doc]
-                    rows.append((doc_id, start, n, ids[start : start + n].tobytes(), len(ids), base + done, offset, context, base + groups_done + group))
+                    rows.append((doc_id, start, n, ids[start : start + n].tobytes(), len(ids), base + done, offset, context, base + groups_done + group, *(first if place else ())))
                     offset += n
                 done += 1
                 if len(rows) >= 1000:
@@ -204,24 +208,30 @@ def pack(
             groups_done += max(groups, default=-1) + 1
             if rows:
                 yield _piece_batch(rows)
+            pool, held = [], 0
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts(batch)), strict=True):
+            where = zip(batch.column("file").to_pylist(), batch.column("row").to_pylist(), strict=True) if place else [(0, 0)] * batch.num_rows
+            for doc_id, at, ids in zip(batch.column("doc_id").to_pylist(), where, encoder.encode(texts(batch)), strict=True):
+                if pool and at[0] != first[0]:
+                    yield from flush()
+                if not pool:
+                    first = at
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 pool.append((doc_id, ids))
                 held += len(ids)
                 if held >= pool_tokens:
                     yield from flush()
-                    pool, held = [], 0
         yield from flush()
 
-    rows = docs.select("doc_id", "text", *(order or []))
-    if order:
-        rows = rows.sortWithinPartitions(*order)
-    return rows.select("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
+    if place is None:
+        return docs.select("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
+    file, row = (F.col(c).cast("long") for c in place)
+    rows = docs.select("doc_id", "text", file.alias("file"), row.alias("row")).sortWithinPartitions("file", "row")
+    return rows.mapInArrow(run, f"{PIECE_SCHEMA}, {PLACE_SCHEMA}")
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    fields = [f.split() for f in PIECE_SCHEMA.split(", ")]
+    fields = [f.split() for f in f"{PIECE_SCHEMA}, {PLACE_SCHEMA}".split(", ")][: len(rows[0])]
     columns = [pa.array(c, pa.binary() if t == "binary" else pa.int64()) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)]
     return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])

@@ -93,6 +93,22 @@ def test_mixing_keeps_odd_rows(odd, spark):
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["share", "parts", "turn", "part", "s", "n", "k", "d", "h", "b", "_n", "_k", "_s", "o.x"]
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("source"), *[F.lit(i).alias(n) for i, n in enumerate(names)], F.lit(9).alias("slot"))
+    got = mixing.mix(docs, block_rows=4, cycle=10)
+    assert got.columns == ["doc_id", "source", *names, "block", "slot", "place"] and got.select("slot", "place").distinct().count() == 50
+    assert {tuple(r[2:-3]) for r in got.collect()} == {tuple(range(len(names)))}
+
+
+def test_mixing_spreads_null_ids(spark):
+    docs = spark.range(0, 40_000, 1, 4).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one").alias("source"), F.col("id").alias("n_chars"))
+    buckets = mixing.numbered_by_source(docs, ["doc_id"], 1024).select(F.floor(F.col("k") / 1024).alias("b"), "k")
+    assert sorted(r.k for r in buckets.collect()) == list(range(40_000))
+    plan = mixing.numbered_by_source(docs, ["doc_id"], 1024).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in plan) < 40_000
+
+
 # --- 2 packing -------------------------------------------------------------------------------------------------------
 
 

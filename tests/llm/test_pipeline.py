@@ -19,7 +19,7 @@ def test_stages_and_registration():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "near_duplicates", "personal_data", "mixture", "packing"] and corpus_pipeline.ORACLE_SQL is None
     queries = __spark_entry__.queries()
-    assert "pipeline" in queries and sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op")) == list(range(1, 11))
+    assert "pipeline" in queries and sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_against_plain_stages(spark):
@@ -61,6 +61,25 @@ def test_pipeline_against_plain_stages(spark):
     got = {d: np.concatenate([np.frombuffer(b, dtype="<u4") for b in g.sort_values("start").ids]).tolist() for d, g in pieces.groupby("doc_id")}
     assert got == {r.doc_id: plain.encode(r.text, add_special_tokens=False).ids + [2] for r in after}
     assert pieces.groupby("sequence_id").length.sum().max() <= 4096
+    _follow_the_mixture(pieces, {r.doc_id: n for n, r in enumerate(rows.collect())})
+
+
+def _follow_the_mixture(pieces, position):
+    """Pools in the order of their places hold documents in the order of the mixture, whichever task read them."""
+    pools = pieces.groupby(["pool_file", "pool_row"]).doc_id.agg(lambda d: [min(map(position.get, d)), max(map(position.get, d))]).sort_index()
+    assert all(a[1] < b[0] for a, b in zip(pools, pools[1:]))
+    assert pieces.groupby("sequence_id").pool_row.nunique().max() == 1
+
+
+def test_sequences_follow_the_mixture_over_many_files(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    mixed = mixing.mix(docs).repartitionByRange(16, "slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    mixed.write.parquet(f"{out}/mixed")
+    written = spark.read.parquet(f"{out}/mixed")
+    pieces = corpus_pipeline.packing_stage(spark, written, FOLDER).toPandas()
+    order = written.select("doc_id", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r")).orderBy("f", "r").collect()
+    assert pieces.pool_file.nunique() > 8
+    _follow_the_mixture(pieces, {r.doc_id: n for n, r in enumerate(order)})
 
 
 def test_run_gives_the_last_stage(spark, out):
