@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and all but the last return the columns of
 documents. The mixture has no column to carry its order: the stage writes its rows in order, and packing reads the order
-back from the files' names and row numbers.
+back from the files' numbers and row numbers. Each pool that it packs is a stretch of that order and carries its place (``pool_file``,
+``pool_row``), by which sequences are read in the order of the mixture.
 """
 
 from __future__ import annotations
@@ -40,9 +41,10 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences, packed in the order of the mixture."""
-    rows = docs.select("doc_id", "text", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return packing.pack(rows, word_tokenizer(), order=["_file", "_row"], lower_words=True)
+    """Pieces of all documents in sequences, packed from stretches of the mixture."""
+    file = F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).try_cast("long")
+    rows = docs.select("doc_id", "text", F.coalesce(file, F.lit(0)).alias("file"), F.col("_metadata.row_index").alias("row"))
+    return packing.pack(rows, word_tokenizer(), place=("file", "row"), lower_words=True)
 
 
 STAGES = [
