@@ -32,6 +32,7 @@ R, B = 5, 30
 K = R * B
 SIMILAR = 0.8
 CACHE = 400_000
+PARITY = 8  # words of 64 bits
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -156,15 +157,32 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def rare_pairs(sets: DataFrame, similar: float) -> DataFrame:
-    """(a, b) of the sets (doc_id, n, c, s) of different c that may be so similar: they share one of their rarest members, and their sizes allow it."""
+    """(a, b) of the sets (doc_id, n, c, s) of different c that may be so similar.
+
+    Two such sets share one of the n - ceil(similar * n) + 1 rarest members of the larger and one of the n - ceil(2 similar / (1 + similar) * n) + 1
+    rarest of the smaller one. What a set shares with no other counts against it: the rest must still hold the overlap that the sizes ask for.
+    And a set's members toggle one of ``64 * PARITY`` bits each: as many bits as differ between two sets, so many members at least differ.
+    """
     member = sets.select("doc_id", F.explode("s").alias("h"))
     often = member.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
-    ranked = member.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("r"))
-    least = (F.col("n") - F.ceil(F.col("n") * similar - 1e-9) + 1).cast("int")
-    rare = ranked.join(sets.select("doc_id", "n", "c"), "doc_id").select("doc_id", "n", "c", F.explode(F.filter(F.slice("r", F.lit(1), least), lambda x: x["often"] > 1)["h"]).alias("h"))
-    other = rare.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "h")
-    met = rare.withColumnRenamed("doc_id", "a").join(other, "h").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("cb")) & (F.least("n", "nb") >= similar * F.greatest("n", "nb")))
-    return met.select("a", "b").distinct()
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(PARITY - 1)
+    toggled = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(PARITY)]
+    ranked = member.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("r"), *toggled)
+    n = F.col("n").cast("double")
+    left = lambda share: (F.col("n") - F.ceil(n * share - 1e-9) + 1).cast("int")
+    rows = ranked.join(sets.select("doc_id", "n", "c"), "doc_id").withColumn("most", F.size(F.filter("r", lambda x: x["often"] > 1)))
+    rows = rows.where(F.col("most") >= n * similar - 1e-9)
+    rare = lambda share: F.explode(F.filter(F.slice("r", F.lit(1), left(share)), lambda x: x["often"] > 1)["h"]).alias("h")
+    parity = [f"p{k}" for k in range(PARITY)]
+    small = rows.select(F.col("doc_id").alias("x"), "n", "c", "most", *parity, rare(2 * similar / (1 + similar)))
+    large = rows.select(F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("most").alias("my"), *[F.col(p).alias(f"y{p}") for p in parity], rare(similar))
+    smaller = (F.col("n") < F.col("ny")) | (F.col("n") == F.col("ny")) & (F.col("x") < F.col("y"))
+    enough = F.least("most", "my") * (1 + similar) >= similar * (F.col("n") + F.col("ny")) - 1e-9
+    unlike = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"y{p}"))) for p in parity), F.lit(0))
+    enough &= unlike <= (F.col("n") + F.col("ny")) * ((1 - similar) / (1 + similar)) + 1e-9
+    met = small.join(large, "h").where(smaller & (F.col("c") != F.col("cy")) & (F.col("n") >= similar * F.col("ny") - 1e-9) & enough)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def classes(links: DataFrame, name: str = "classes") -> DataFrame:
