@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,86 @@ from catalogflow.operators.ordering import first_rows
 UNHANDLED, NOT_PROVIDED, NOT_AVAILABLE, SITE_ERROR = 100, 101, 102, 104
 STATUS = {UNHANDLED: "error", NOT_PROVIDED: "no_url", NOT_AVAILABLE: "no_avail", SITE_ERROR: "error"}
 RAN = "ran"
+IN_STOCK, OUT_OF_STOCK, NOT_IN_FEED = "IN_STOCK", "NOT_IN_STOCK", "NOT_AVAILABLE"
 MAX_ERRORS = 5
+MAX_LISTED = 100
+CAUSES = ("no_url", "http", "http_outside", "moved", "text", "no_text", "failed")
+ROWS = ("all", "item", "sheet", None)
+
+
+@dataclass(frozen=True)
+class Rule:
+    """One line of a site's outcome table: what meets it, and the code, status, stock value and feed rows of such pages.
+
+    ``cause`` is one of :data:`CAUSES`: no URL to fetch, an HTTP status within or outside ``http``, a redirect, a page that
+    contains one of ``texts``, no page text, a required field missing. ``row`` says what the feed gets: the product with its
+    variants (``all``), the product alone (``item``), the id and name of the catalogue row (``sheet``), nothing (None).
+    """
+
+    cause: str
+    code: int | None = None
+    status: str = RAN
+    stock: str = IN_STOCK
+    row: str | None = "all"
+    texts: tuple[str, ...] = ()
+    http: tuple[int, int] = (200, 299)
+
+    def __post_init__(self) -> None:
+        if self.cause not in CAUSES or self.row not in ROWS:
+            raise ValueError(f"a rule has a cause of {CAUSES} and a row of {ROWS}, not {self.cause!r} and {self.row!r}")
+
+
+def standard_rules(unavailable: tuple[str, ...] = ()) -> tuple[Rule, ...]:
+    """The table of a site that has none of its own."""
+    return (
+        Rule("no_url", NOT_PROVIDED, "no_url", NOT_IN_FEED, None),
+        Rule("http", SITE_ERROR, "error", NOT_IN_FEED, None, http=(404, 404)),
+        Rule("moved", NOT_AVAILABLE, "no_avail", NOT_IN_FEED, "sheet"),
+        Rule("text", NOT_AVAILABLE, "no_avail", NOT_IN_FEED, "sheet", texts=unavailable),
+        Rule("http_outside", UNHANDLED, "error", NOT_IN_FEED, None),
+        Rule("no_text", UNHANDLED, "error", NOT_IN_FEED, None),
+        Rule("failed", UNHANDLED, "error", NOT_IN_FEED, None),
+    )
+
+
+def contains_any(html: Column, texts: Sequence[str]) -> Column:
+    """Whether a page contains one of the texts."""
+    found = F.lit(False)
+    for t in texts:
+        found = found | html.contains(t)
+    return found
+
+
+def page_outcome(
+    rules: Sequence[Rule], requested_url: Column, final_url: Column, http_status: Column, no_text: Column, texts: Sequence[Column], failed: Column,
+) -> Column:
+    """Struct ``(code, status, stock, row)`` of a fetch by the first rule that it meets; a fetch that meets none is fine.
+
+    ``texts`` tells for each rule whether the page contains one of its texts.
+    """
+    result = None
+    for rule, found in zip(rules, texts, strict=True):
+        low, high = rule.http
+        met = {
+            "no_url": requested_url.isNull() | requested_url.isin("", NO_URL),
+            "http": http_status.between(low, high),
+            "http_outside": ~http_status.between(low, high),
+            "moved": final_url != requested_url,
+            "text": found,
+            "no_text": no_text,
+            "failed": failed,
+        }[rule.cause]
+        value = _outcome(rule)
+        result = F.when(met, value) if result is None else result.when(met, value)
+    fine = _outcome(Rule("failed"))
+    return fine if result is None else result.otherwise(fine)
+
+
+def _outcome(rule: Rule) -> Column:
+    return F.struct(
+        F.lit(rule.code).cast("int").alias("code"), F.lit(rule.status).alias("status"), F.lit(rule.stock).alias("stock"),
+        F.lit(rule.row).cast("string").alias("row"),
+    )
 
 
 def outcome_code(
@@ -25,18 +107,10 @@ def outcome_code(
     No URL, page not found, redirected, a text that says the product is gone, any other HTTP status than a success, no text,
     failed extraction.
     """
-    gone = F.lit(False)
-    for marker in unavailable:
-        gone = gone | html.contains(marker)
-    code = (
-        F.when(requested_url.isNull() | requested_url.isin("", NO_URL), NOT_PROVIDED)
-        .when(http_status == 404, SITE_ERROR)
-        .when(final_url != requested_url, NOT_AVAILABLE)
-        .when(gone, NOT_AVAILABLE)
-        .when((http_status < 200) | (http_status > 299), UNHANDLED)
-        .when(html.isNull(), UNHANDLED)
-    )
-    return code if error is None else code.when(error.isNotNull(), UNHANDLED)
+    rules = standard_rules(unavailable)
+    failed = F.lit(False) if error is None else error.isNotNull()
+    texts = [contains_any(html, r.texts) for r in rules]
+    return page_outcome(rules, requested_url, final_url, http_status, html.isNull(), texts, failed).code
 
 
 def status_of(code: Column) -> Column:
@@ -103,11 +177,14 @@ def rows_changed(updated: DataFrame, *scope: str) -> DataFrame:
     return updated.groupBy(*scope).agg(F.count_if("changed").alias("changed_rows"))
 
 
-def counters(outcomes: DataFrame, catalog: str = "catalog_id", max_errors: int = MAX_ERRORS) -> DataFrame:
-    """Processed rows and errors by code for each catalogue, with the URLs of unhandled errors.
+def counters(
+    outcomes: DataFrame, catalog: str = "catalog_id", max_errors: int = MAX_ERRORS, max_listed: int = MAX_LISTED,
+) -> DataFrame:
+    """Processed rows and errors by code for each catalogue, with the URLs of unhandled errors and of products not available.
 
     Expects rows after :func:`cut_off`, so a catalogue lists at most ``max_errors`` URLs; the error that
-    ended the run is counted but not listed.
+    ended the run is counted but not listed. Of the products not available the first ``max_listed`` are
+    listed; :func:`error_rows` has all.
     """
     totals = outcomes.groupBy(catalog).agg(
         F.count("*").alias("scraped"),
@@ -115,13 +192,16 @@ def counters(outcomes: DataFrame, catalog: str = "catalog_id", max_errors: int =
           for c in (UNHANDLED, NOT_PROVIDED, NOT_AVAILABLE, SITE_ERROR)],
         F.max("aborted").alias("aborted"),
     )
-    listed = first_rows(outcomes.where(F.col("code") == UNHANDLED).select(catalog, "ord", "url"),
-                        [catalog], ["ord"], max_errors)
-    urls = listed.groupBy(catalog).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "url"))), lambda x: x.url).alias("urls100")
-    )
+    limits = {UNHANDLED: max_errors, NOT_AVAILABLE: max_listed}
+    failed = outcomes.where(F.col("code").isin(*limits)).select(catalog, "code", "ord", "url")
+    listed = first_rows(failed, [catalog, "code"], ["ord"], max(limits.values()))
+    urls = listed.groupBy(catalog).agg(*[
+        F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("code") == c, F.struct("ord", "url")))), 1, n), lambda x: x.url)
+        .alias(f"urls{c}") for c, n in limits.items()
+    ])
     empty = F.array().cast("array<string>")
-    return totals.join(urls, catalog, "left").withColumn("urls100", F.coalesce("urls100", empty))
+    names = [f"urls{c}" for c in limits]
+    return totals.join(urls, catalog, "left").withColumns({n: F.coalesce(n, empty) for n in names})
 
 
 def error_rows(outcomes: DataFrame, catalog: str = "catalog_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from catalogflow.functions.numbering import digits
 from catalogflow.operators.feed import Property
-from catalogflow.operators.outcome import MAX_ERRORS
+from catalogflow.operators.outcome import MAX_ERRORS, Rule, standard_rules
 from catalogflow.sources.sheets import DEFAULT, Layout, apply_layout
 
 Extractor = Callable[[Column], Column]
@@ -21,6 +21,7 @@ class SiteProfile:
 
     ``fields`` maps item fields to functions of the page text, ``variants`` gives an array of
     ``struct(color, size, ...)`` and ``images`` an array of URLs. ``read_rows`` and ``asset_name`` replace a shared step.
+    ``rules`` is the site's own outcome table; without one, ``unavailable`` holds the texts of pages whose product is gone.
     """
 
     name: str
@@ -38,6 +39,11 @@ class SiteProfile:
     image_days: int = 300
     read_rows: Callable[[DataFrame, Layout], DataFrame] = apply_layout
     asset_name: Extractor | None = None
+    rules: tuple[Rule, ...] | None = None
+
+    def outcome_rules(self) -> tuple[Rule, ...]:
+        """The outcome table of the site."""
+        return standard_rules(self.unavailable) if self.rules is None else self.rules
 
 
 _PROFILES: dict[str, SiteProfile] = {}

@@ -81,7 +81,7 @@ class RunTables:
     @cached_property
     def statuses(self) -> DataFrame:
         """Catalogue rows with their new status."""
-        new = self.live_pages.select("catalog_id", "product_id", "ord", outcome.status_of(F.col("code")).alias("status"))
+        new = self.live_pages.select("catalog_id", "product_id", "ord", F.col("_outcome.status").alias("status"))
         return _statuses(self.catalog, new, catalog_without_url(self.profile, self.live_catalog))
 
     @cached_property
@@ -116,12 +116,9 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     ``(requested_url, final_url, http_status, html)``. Fields are extracted where the page is read, so page texts are
     never shuffled; only the items meet the catalogue.
     """
-    html = F.col("html")
-    gone = F.lit(False)
-    for marker in profile.unavailable:
-        gone = gone | html.contains(marker)
+    html, rules = F.col("html"), profile.outcome_rules()
     items = fetched.select(
-        "requested_url", "final_url", "http_status", F.when(html.isNotNull(), F.when(gone, "gone").otherwise("")).alias("_page"),
+        "requested_url", "final_url", "http_status", html.isNull().alias("_no_text"), F.array(*[outcome.contains_any(html, r.texts) for r in rules]).alias("_texts"),
         *[f(html).alias(name) for name, f in profile.fields.items()],
         (profile.variants(html) if profile.variants else F.lit(None).cast("array<struct<color:string>>")).alias("_records"),
         (profile.images(html) if profile.images else F.lit(None).cast("array<string>")).alias("image_urls"),
@@ -129,9 +126,9 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     missing = F.lit(False)
     for name in profile.required:
         missing = missing | F.col(name).isNull()
-    code = outcome.outcome_code(
-        F.col("requested_url"), F.col("final_url"), F.col("http_status"), F.col("_page"), ("gone",), F.when(missing, "missing field"))
-    coded = items.withColumn("code", code).drop("_page", "final_url", "http_status")
+    result = outcome.page_outcome(
+        rules, F.col("requested_url"), F.col("final_url"), F.col("http_status"), F.col("_no_text"), [F.col("_texts")[i] for i in range(len(rules))], missing)
+    coded = items.withColumn("_outcome", result).withColumn("code", F.col("_outcome.code")).drop("_no_text", "_texts", "final_url", "http_status")
     extra = [c for c in BUNDLE_COLUMNS if c in catalog.columns]
     listed = catalog_with_url(profile, catalog).select(
         "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url", *extra)
@@ -159,11 +156,12 @@ def _updates(
     """Product, colour and size rows of the pages, and placeholders for catalogue rows without a URL."""
     record = pages.schema["_records"].dataType.elementType
     details = [f.name for f in record if f.name != "color"]
-    fine = F.col("code").isNull()
-    products = pages.where(fine | (F.col("code") == outcome.NOT_AVAILABLE)).select(
+    row = F.col("_outcome.row")
+    fine, whole = row.isin("all", "item"), row == "all"
+    products = pages.where(row.isNotNull()).select(
         "catalog_id", "product_id", *[F.when(fine, F.col(f)).alias(f) if f != "name" else
                         F.when(fine, F.col("name")).otherwise(F.col("sheet_name")).alias("name") for f in fields],
-        outcome.stock_of(F.col("code")).alias("in_stock"), F.when(fine, F.col("_records")).alias("_records"),
+        F.col("_outcome.stock").alias("in_stock"), F.when(whole, F.col("_records")).alias("_records"),
     )
     main = products.drop("_records").withColumn("level", F.lit(0))
     levels = products.where(F.size("_records") > 0).select("catalog_id", F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
@@ -173,7 +171,7 @@ def _updates(
     if bundles is None:
         return rows
     looks, lines = (_of_catalogs(masters, catalog, key) for masters, key in zip(bundles, ("look_id", "line_id"), strict=True))
-    members = pages.where(fine).select(
+    members = pages.where(whole).select(
         "catalog_id", "product_id", *fields, *[c for c in BUNDLE_COLUMNS if c in pages.columns],
         F.transform("_records", lambda r: F.to_json(r)).alias("variants"),
     )

@@ -79,6 +79,30 @@ def _(t):
     return feed_run.tables(records, listed).updates.select("product_id", "name_english", "custom_price", "in_stock")
 
 
+@query("run_feed_report", """
+    WITH c AS (SELECT DISTINCT l_returnflag AS catalog_id, CASE WHEN l_partkey % 7 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS k FROM lineitem),
+         s AS (SELECT catalog_id, CAST(k AS VARCHAR) AS product_id, k IN (SELECT p_partkey FROM part) AS found FROM c)
+    SELECT 'not_found' AS part, catalog_id, product_id, CAST(NULL AS VARCHAR) AS message FROM s WHERE NOT found
+    UNION ALL SELECT 'update', catalog_id, product_id, NULL FROM s WHERE found
+    UNION ALL SELECT 'report', catalog_id, NULL, CASE WHEN count(*) FILTER (NOT found) > 0
+        THEN count(*) FILTER (NOT found) || ' id(s) from id list weren''t found in feed' ELSE 'All ids found in feed.' END
+    FROM s GROUP BY catalog_id""")
+def _(t):
+    out = f"{shared_folder(t.spark)}/run-{uuid.uuid4().hex}"
+    key = F.col("l_partkey")
+    catalogs = t.lineitem.select(
+        F.col("l_returnflag").alias("catalog_id"), F.when(key % 7 == 0, key + 1_000_000_000).otherwise(key).cast("string").alias("product_id")).distinct()
+    full = vendor_records(t)
+    records = full.select(*[F.col(f) if f in full.columns else F.lit(None).cast("string").alias(f) for f in vendor_feed.FIELDS])
+    feed_run.run(records, catalogs, out, "1")
+    message = F.lit(None).cast("string").alias("message")
+    missing = t.spark.read.parquet(f"{out}/not_found").select(F.lit("not_found").alias("part"), "catalog_id", "product_id", message)
+    updates = feed_store.read_catalogs(t.spark, f"{out}/feed", "update").select(F.lit("update").alias("part"), "catalog_id", "product_id", message)
+    reports = t.spark.read.schema("value string, catalog_id string").text(f"{out}/reports", wholetext=True).select(
+        F.lit("report").alias("part"), "catalog_id", F.lit(None).cast("string").alias("product_id"), F.regexp_replace("value", "\n$", "").alias("message"))
+    return missing.unionAll(updates).unionAll(reports)
+
+
 PROPERTIES = (
     Property("brand", "Brand", "text"), Property("price", "Price", "decimal"), Property("size", "Size", "integer"),
     Property("on_sale", "On Sale", "boolean"),

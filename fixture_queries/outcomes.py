@@ -55,10 +55,12 @@ def _(t):
 @query("ag_03_counters", _CUT + """
     SELECT catalog_id, count(*) AS scraped, count(*) FILTER (code = 100) AS n100, count(*) FILTER (code = 101) AS n101,
            count(*) FILTER (code = 102) AS n102, count(*) FILTER (code = 104) AS n104, bool_or(aborted) AS aborted,
-           coalesce(array_to_string(list_slice(list(url ORDER BY ord) FILTER (code = 100), 1, 5), ' '), '') AS urls
+           coalesce(array_to_string(list_slice(list(url ORDER BY ord) FILTER (code = 100), 1, 5), ' '), '') AS urls,
+           coalesce(array_to_string(list_slice(list(url ORDER BY ord) FILTER (code = 102), 1, 100), ' '), '') AS urls102
     FROM k GROUP BY catalog_id""")
 def _(t):
-    return outcome.counters(outcome.cut_off(coded(t))).withColumn("urls", F.array_join("urls100", " ")).drop("urls100")
+    counts = outcome.counters(outcome.cut_off(coded(t))).withColumn("urls", F.array_join("urls100", " ")).drop("urls100")
+    return counts.withColumn("urls102", F.array_join("urls102", " "))
 
 
 @query("ag_03_error_rows", _CUT + "SELECT catalog_id, code, ord, url FROM k WHERE code IS NOT NULL")

@@ -239,6 +239,27 @@ def test_outcome_rules_first_match_wins(spark):
     assert got == [(None, "ran"), (101, "no_url"), (104, "error"), (102, "no_avail"), (102, "no_avail"), (100, "error"), (101, "no_url"), (101, "no_url")]
 
 
+def test_own_outcome_table(spark):
+    rules = (outcome.Rule("moved", 104, "error", "NOT_AVAILABLE", None), outcome.Rule("http", 102, "no_avail", "NOT_IN_STOCK", "sheet", http=(400, 499)),
+             outcome.Rule("text", None, "ran", "NOT_IN_STOCK", "item", texts=("few", "last")), outcome.Rule("failed", 100, "error", "NOT_AVAILABLE", None))
+    rows = [("u", "v", 404, "few"), ("u", "u", 410, "few"), ("u", "u", 200, "the last"), ("u", "u", 500, "ok"), ("u", "u", None, None), (None, "u", 200, "bad")]
+    df = spark.createDataFrame(rows, "r string, f string, s int, h string")
+    html = F.col("h")
+    result = outcome.page_outcome(rules, F.col("r"), F.col("f"), F.col("s"), html.isNull(), [outcome.contains_any(html, r.texts) for r in rules], html == "bad")
+    assert [tuple(r.o) for r in df.select(result.alias("o")).collect()] == [
+        (104, "error", "NOT_AVAILABLE", None), (102, "no_avail", "NOT_IN_STOCK", "sheet"), (None, "ran", "NOT_IN_STOCK", "item"),
+        (None, "ran", "IN_STOCK", "all"), (None, "ran", "IN_STOCK", "all"), (100, "error", "NOT_AVAILABLE", None)]
+    with pytest.raises(ValueError, match="cause"):
+        outcome.Rule("weather")
+
+
+def test_urls_not_available_are_listed_up_to_a_limit(spark):
+    rows = [("c", i, 102, f"u{i}") for i in range(7)] + [("c", 9, 100, "e"), ("d", 0, None, "x")]
+    df = spark.createDataFrame(rows, "catalog_id string, ord bigint, code int, url string").withColumn("aborted", F.lit(False))
+    got = {r.catalog_id: r for r in outcome.counters(df, max_listed=3).collect()}
+    assert (got["c"].n102, got["c"].urls102, got["c"].urls100) == (7, ["u0", "u1", "u2"], ["e"]) and got["d"].urls102 == []
+
+
 def failures(spark, errors, fine=0):
     rows = [("c", i, 100, f"u{i}") for i in range(errors)] + [("c", errors + i, None, "ok") for i in range(fine)] + [("d", 0, 102, "x")]
     return spark.createDataFrame(rows, "catalog_id string, ord bigint, code int, url string")

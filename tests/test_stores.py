@@ -125,6 +125,22 @@ def test_vendor_feed_run(spark, out):
     assert item.image_urls == ["http://v.invalid/a.jpg", "http://v.invalid/b.jpg"] and len(item.normal_image_url) == 2
     assert {(r.product_id, r.status) for r in result.statuses.collect()} == {("1", "ran"), ("9", "not_found")}
     assert result.report.first().missing == 1
+    assert [r.product_id for r in spark.read.parquet(f"{out}/run/not_found").collect()] == ["9"]
+    assert spark.read.text(f"{out}/run/reports/catalog_id=all", wholetext=True).first().value.strip() == "1 id(s) from id list weren't found in feed"
+    for df in (result.updates, result.statuses, result.not_found, result.report):  # the XML was parsed once, before
+        assert not [f for f in df.inputFiles() if f.endswith(".xml")] and "xml" not in df._jdf.queryExecution().executedPlan().toString().lower().replace("feed.xml", "")
+
+
+def test_vendor_feed_run_over_catalogues(spark, out):
+    with open(f"{out}/feed.xml", "w") as f:
+        f.write(FEED)
+    catalog = spark.createDataFrame([("a", "1"), ("a", "1"), ("a", "7"), ("b", "1"), ("b", "2"), ("c", None)], "catalog_id string, product_id string")
+    feed_run.run(vendor_feed.read_feed(spark, f"{out}/feed.xml"), catalog, f"{out}/run", "1")
+    for part in ("update", "delete"):
+        rows = feed_store.read_catalogs(spark, f"{out}/run/feed", part).collect()
+        assert sorted((r.catalog_id, r.product_id) for r in rows) == [("a", "1"), ("b", "1"), ("b", "2")]
+    messages = {r.catalog_id: r.value.strip() for r in spark.read.text(f"{out}/run/reports", wholetext=True).collect()}
+    assert messages["b"] == "All ids found in feed." and messages["a"].startswith("1 id(s)") and messages["c"].startswith("1 id(s)")
 
 
 def test_ledger_store(spark, out):
