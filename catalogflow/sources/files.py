@@ -103,3 +103,36 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote."""
     p, fs = _path(spark, path)
     fs.delete(p, True)
+
+
+def join_files(spark: SparkSession, path: str, pieces: list[str | tuple[str]], backup: str | None = None) -> None:
+    """Write one file from texts and, for a tuple, the part files of the folder it names, in their order.
+
+    Bytes go from stream to stream inside the JVM, so no more than a buffer is held. The file is renamed to ``path`` when it is
+    whole; one that was there becomes ``backup``.
+    """
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    hadoop = jvm.org.apache.hadoop
+    target, fs = _path(spark, path)
+    draft = hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
+    try:
+        for piece in pieces:
+            if isinstance(piece, str):
+                stream.write(bytearray(piece.encode()))
+                continue
+            parts = [n for n in names(spark, piece[0]) if n.startswith("part-")]
+            for name in sorted(parts, key=lambda n: int(n.split("-")[1])):
+                source = fs.open(hadoop.fs.Path(f"{piece[0]}/{name}"))
+                try:
+                    hadoop.io.IOUtils.copyBytes(source, stream, 1 << 20, False)
+                finally:
+                    source.close()
+    finally:
+        stream.close()
+    context = hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration())
+    over = gateway.new_array(hadoop.fs.Options.Rename, 1)
+    over[0] = hadoop.fs.Options.Rename.OVERWRITE
+    if backup is not None and fs.exists(target):
+        context.rename(target, hadoop.fs.Path(backup), over)
+    context.rename(draft, target, over)

@@ -8,7 +8,7 @@ from catalogflow.operators import feed
 from catalogflow.operators.feed import Property
 from catalogflow.plans import feed_run
 from catalogflow.session import shared_folder
-from catalogflow.sources import feed_store, vendor_feed
+from catalogflow.sources import documents, feed_store, vendor_feed
 from fixture_queries.base import query
 
 _PRICE = "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR)"
@@ -103,6 +103,22 @@ def _(t):
     return missing.unionAll(updates).unionAll(reports)
 
 
+@query("snk_01_single_document", """
+    SELECT 'update' AS part, CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, CASE WHEN p_size > 10 THEN '<' || p_brand || '&>' END AS brand FROM part
+    UNION ALL SELECT 'delete', CAST(p_partkey AS VARCHAR), NULL, NULL FROM part
+    UNION ALL SELECT 'properties', * FROM (VALUES ('brand', 'Brand', 'text'), ('size', 'Size', 'integer'))""")
+def _(t):
+    path = f"{shared_folder(t.spark)}/export-{uuid.uuid4().hex}.xml"
+    brand = F.when(F.col("p_size") > 10, F.concat(F.lit("<"), "p_brand", F.lit("&>"))).alias("brand")
+    updates = t.part.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"), brand)
+    declared = feed.properties_table(t.spark, [Property("brand", "Brand"), Property("size", "Size", "integer")])
+    documents.write_document(path, declared, updates.select("product_id"), updates, order=["product_id"])
+    none = F.lit(None).cast("string")
+    read = documents.read_document(t.spark, path, "update", updates.schema).select(F.lit("update").alias("part"), "product_id", "name", "brand")
+    gone = documents.read_document(t.spark, path, "delete").select(F.lit("delete").alias("part"), "product_id", none.alias("name"), none.alias("brand"))
+    return read.unionAll(gone).unionAll(documents.read_document(t.spark, path, "properties").select(F.lit("properties"), "*"))
+
+
 PROPERTIES = (
     Property("brand", "Brand", "text"), Property("price", "Price", "decimal"), Property("size", "Size", "integer"),
     Property("on_sale", "On Sale", "boolean"),

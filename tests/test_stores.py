@@ -14,7 +14,7 @@ from catalogflow.operators.catalog import NO_URL
 from catalogflow.operators.extract import script_records
 from catalogflow.plans import feed_run, site_run
 from catalogflow.plans.profile import SiteProfile, profile, register
-from catalogflow.sources import feed_store, files, ledger_store, sheets, tables, vendor_feed
+from catalogflow.sources import documents, feed_store, files, ledger_store, sheets, tables, vendor_feed
 from catalogflow.sources.reports import write_reports
 
 
@@ -293,6 +293,31 @@ def test_feed_as_xml(spark, out):
     assert "<tags>x</tags>" in xml["update"] and "&lt;&amp;" in xml["update"] and "none" not in xml["update"]
 
 
+def test_feed_as_one_document(spark, out):
+    import xml.etree.ElementTree as et
+
+    path = f"{out}/export.xml"
+    declared = feed.properties_table(spark, [feed.Property("size", "Size & fit", "integer"), feed.Property("tags", "Tags", "text_list")])
+    rows = [(f"p{i:04d}", ["x", "<&>"] if i % 3 else None, f"two\n<product_id>{i}</product_id> lines é" if i % 2 else None) for i in range(400)]
+    updates = spark.createDataFrame(rows, "product_id string, tags array<string>, name string").repartition(7)
+    deletes = updates.select("product_id").unionAll(spark.createDataFrame([("gone&1",), ("",), (None,)], "product_id string"))
+    documents.write_document(path, declared, deletes, updates, order=["product_id"], namespace="urn:feed")
+    tree = et.parse(path).getroot()
+    assert [c.tag for c in tree] == [f"{{urn:feed}}{p}" for p in feed_store.PARTS]
+    assert [(p.get("identifier"), p.get("display-name"), p.get("value-type")) for p in tree[0]] == [("size", "Size & fit", "integer"), ("tags", "Tags", "text_list")]
+    assert [d.text for d in tree[1]] == ["gone&1", *[r[0] for r in rows]]
+    got = [(p[0].text, [e.text for e in p if e.tag.endswith("tags")] or None, next((e.text for e in p if e.tag.endswith("name")), None)) for p in tree[2]]
+    assert got == rows
+    assert sorted(tuple(r) for r in documents.read_document(spark, path, "update", updates.schema).collect()) == rows
+    assert sorted(r.product_id for r in documents.read_document(spark, path, "delete").collect()) == ["gone&1", *[r[0] for r in rows]]
+    assert {tuple(r) for r in documents.read_document(spark, path, "properties").collect()} == {tuple(r) for r in declared.collect()}
+    # the next export keeps this one as a backup, and an empty feed is a whole document
+    for _again in range(2):
+        documents.write_document(path, declared.where("false"), deletes.where("false"), updates.where("false"))
+    assert [len(c) for c in et.parse(path).getroot()] == [0, 0, 0] and [len(c) for c in et.parse(f"{out}/export_backup.xml").getroot()] == [0, 0, 0]
+    assert files.folders(spark, out) == [] and not [n for n in files.names(spark, out) if "draft" in n]
+
+
 def test_reports_replace_one_catalogue(spark, out):
     rows = lambda *r: spark.createDataFrame(list(r), "catalog_id string, message string")
     write_reports(rows(("a", "one\ntwo"), ("b", "x")), f"{out}/r")
@@ -372,6 +397,36 @@ def test_profiles_are_found_by_name():
         profile("missing")
 
 
+def test_a_stopped_catalogue_writes_nothing_in_later_batches(spark, out):
+    from catalogflow.streaming import arrivals
+
+    catalog, fetched = inputs(spark)
+    written = lambda n: {r.product_id for r in spark.read.parquet(f"{out}/pages/batch={n}").collect()}
+    counts = lambda n: {(r.catalog_id, r.errors) for r in spark.read.parquet(f"{out}/pages/_errors/batch={n}").collect()}
+
+    def arrive(*urls):  # every call restarts the stream
+        if urls:
+            fetched.where(F.col("requested_url").isin(*urls)).coalesce(1).write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(fetched.schema).parquet(f"{out}/in")
+        arrivals.start(SHOP, catalog.withColumn("product_id", F.concat(F.lit(" "), "product_id")), stream, f"{out}/pages", f"{out}/check").awaitTermination()
+
+    arrive("http://0", "http://q0", "http://q1")
+    arrive("http://q2")
+    assert written(0) == {"p0", "q0", "q1"} and written(1) == {"q2"} and counts(1) == {("e", 3)}  # ids are those of the prepared catalogue
+    arrive("http://q3", "http://4")
+    assert written(2) == {"p4"}
+    os.remove(f"{out}/check/commits/2")  # as if the driver was lost after the batch's rows were written: the batch runs again
+    if os.path.exists(f"{out}/check/commits/.2.crc"):
+        os.remove(f"{out}/check/commits/.2.crc")
+    arrive()
+    assert written(2) == {"p4"} and counts(2) == {("e", 3)} and not os.path.exists(f"{out}/pages/_errors/batch=0")
+    files.remove(spark, f"{out}/pages/_errors/batch=2")  # a lost count is taken from the pages
+    arrive("http://q3", "http://5")
+    assert written(3) == {"p5"} and counts(3) == {("e", 3)}
+    done = arrivals.finish(SHOP, spark, f"{out}/pages", "stopped")
+    assert {(r.catalog_id, r.product_id) for r in done.where("aborted").collect()} == {("e", "q0"), ("e", "q1"), ("e", "q2")}
+
+
 def test_arrivals_match_a_batch_run(spark, out):
     from catalogflow.streaming import arrivals
 
