@@ -4,6 +4,7 @@ Vectors get one more coordinate that makes all norms equal, so that the largest
 rotated at random. Within each probed list, distances grow by blocks of dimensions; after each block a hypothesis test
 drops the candidates whose distance, estimated from the dimensions seen, exceeds the query's bound by more than chance. The
 bound of a query is its last result from the lists nearest to it, which are scanned first. Survivors get the exact product.
+A query whose lists hold too few vectors is answered from all lists.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ FOUND_SCHEMA = "rep long, vec_id long, score double"
 
 @dataclass
 class Lists:
-    """Centroids, the rotation, the common norm, and how many lists a query probes."""
+    """Centroids of the vectors with even norms, the rotation, the common norm, and how many lists a query probes."""
 
     centroids: np.ndarray
     rotation: np.ndarray
@@ -42,17 +43,27 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the vectors that take part: of the most frequent length, finite and not zero."""
+    """(vec_id, embedding) of the vectors that take part: of the most frequent length, finite and not zero.
+
+    Entries of single precision stay so, all others are of double precision.
+    """
     e = F.col("embedding")
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
     wrong = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = vectors.select(F.col("vec_id").cast("long"), e.cast("array<float>").alias("embedding")).where(
+    good = vectors.select(F.col("vec_id").cast("long"), e.cast(kind).alias("embedding")).where(
         "vec_id IS NOT NULL AND embedding IS NOT NULL").where(~wrong & F.exists(e, lambda x: x != 0))
     size = good.groupBy(F.size("embedding").alias("s")).count().orderBy(F.desc("count"), "s").first()
     return good.where(F.size("embedding") == (size["s"] if size else 0))
 
 
+def even(x: np.ndarray, norm: float, query: bool) -> np.ndarray:
+    """Vectors with the coordinate that evens norms, zero for queries."""
+    more = np.zeros(len(x)) if query else np.sqrt(np.maximum(norm**2 - (x.astype(np.float64) ** 2).sum(1), 0))
+    return np.hstack([x, more[:, None]]).astype(np.float32)
+
+
 def near_lists(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Score of every list for every vector, smaller is nearer."""
+    """Score of every list for every vector with even norm or query, smaller is nearer."""
     return (centroids * centroids).sum(1) - 2 * x @ centroids.T
 
 
@@ -63,6 +74,7 @@ def fit(good: DataFrame, recall: float = 0.96, rows: int = 20_000, most: int = 4
     if not n:
         return None
     x = matrix(good.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(rows).select("embedding").toArrow()["embedding"]).astype(np.float32)
+    q_all, x = even(x, norm, True), even(x, norm, False)
     rng = np.random.default_rng(seed)
     lists = int(min(most, max(1, round(n**0.5)), len(x)))
     c = x[rng.choice(len(x), lists, replace=False)]
@@ -74,21 +86,20 @@ def fit(good: DataFrame, recall: float = 0.96, rows: int = 20_000, most: int = 4
         c = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], c)
     own = np.concatenate([near_lists(x[i : i + 2048], c).argmin(1) for i in range(0, len(x), 2048)])
     q = rng.choice(len(x), min(200, len(x)), replace=False)
-    s = x[q] @ x.T
+    s = q_all[q] @ x.T
     s[np.arange(len(q)), q] = -np.inf
     top = np.argsort(-s, axis=1)[:, : min(k, max(len(x) - 1, 1))]
-    rank = np.argsort(np.argsort(near_lists(x[q], c), axis=1), axis=1)
+    rank = np.argsort(np.argsort(near_lists(q_all[q], c), axis=1), axis=1)
     needed = np.sort(np.take_along_axis(rank, own[top], 1).reshape(-1))
     probes = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) + 1
-    d = x.shape[1] + 1
+    d = x.shape[1]
     rotation = np.linalg.qr(rng.normal(size=(d, d)))[0].astype(np.float32)
     return Lists(c.astype(np.float32), rotation, float(norm), min(lists, probes))
 
 
 def rotated(x: np.ndarray, model: Lists, query: bool) -> np.ndarray:
-    """Vectors with the coordinate that evens norms (zero for queries), rotated."""
-    more = np.zeros(len(x)) if query else np.sqrt(np.maximum(model.norm**2 - (x.astype(np.float64) ** 2).sum(1), 0))
-    return np.hstack([x, more[:, None].astype(np.float32)]) @ model.rotation
+    """Vectors with even norms, rotated."""
+    return even(x, model.norm, query) @ model.rotation
 
 
 def adaptive_scan(q: np.ndarray, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +154,7 @@ def search(vectors: DataFrame, divisor: int = 20, k: int = 20) -> DataFrame:
     """
     spark = vectors.sparkSession
     good = usable(vectors)
+    kind = dict(good.dtypes)["embedding"]
     model = fit(good)
     if model is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -151,19 +163,19 @@ def search(vectors: DataFrame, divisor: int = 20, k: int = 20) -> DataFrame:
     candidates = good.withColumn("_r", F.row_number().over(dims)).where(F.col("_r") <= k + 1).drop("_r")
 
     def lists_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = near_lists(matrix(batch.column("embedding")).astype(np.float32), shared.value.centroids).argmin(1)
+        own = near_lists(even(matrix(batch.column("embedding")), shared.value.norm, False), shared.value.centroids).argmin(1)
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], names=[*batch.schema.names, "list"])
 
     def probes_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        order = np.argsort(near_lists(matrix(batch.column("embedding")).astype(np.float32), shared.value.centroids), axis=1, kind="stable")[:, : shared.value.probes]
+        order = np.argsort(near_lists(even(matrix(batch.column("embedding")), shared.value.norm, True), shared.value.centroids), axis=1, kind="stable")[:, : shared.value.probes]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(order.astype(np.int32)))], names=[*batch.schema.names, "probes"])
 
-    rows = staged(by_batch(candidates, lists_of, "vec_id long, embedding array<float>, list int"), "lists")
+    rows = staged(by_batch(candidates, lists_of, f"vec_id long, embedding {kind}, list int"), "lists")
     size = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_ROWS).cast("int").alias("parts"))
     rows = rows.join(size, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int")).drop("parts")
     asked = good.where(F.col("vec_id") % divisor == 0)
     distinct = asked.groupBy("embedding").agg(F.min("vec_id").alias("rep"))
-    queries = staged(by_batch(distinct.select("rep", "embedding"), probes_of, "rep long, embedding array<float>, probes array<int>"), "queries")
+    queries = staged(by_batch(distinct.select("rep", "embedding"), probes_of, f"rep long, embedding {kind}, probes array<int>"), "queries")
 
     def scan(bounded: DataFrame, probes) -> DataFrame:
         asked_of = bounded.select("rep", "embedding", "bound", F.explode(probes).alias("list"))
@@ -189,7 +201,14 @@ def search(vectors: DataFrame, divisor: int = 20, k: int = 20) -> DataFrame:
     last = first.withColumn("_r", F.row_number().over(best)).where(F.col("_r") == k + 1).select("rep", F.col("score").alias("bound"))
     rest = queries.where(F.size("probes") > FIRST).join(last, "rep", "left").withColumn("bound", F.coalesce("bound", none))
     second = scan(rest, F.slice("probes", FIRST + 1, model.probes))
-    top = first.unionByName(second).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r")
+    top = staged(first.unionByName(second).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r"), "top")
+    wanted = min(k + 1, rows.count())
+    held = top.groupBy("rep").agg(F.count(F.lit(1)).alias("held"))
+    short = queries.join(held, "rep", "left").where(F.coalesce("held", F.lit(0)) < wanted).withColumn("bound", none)
+    if not short.isEmpty():  # their lists hold too few: all others as well, without a bound
+        every = F.sequence(F.lit(0), F.lit(len(model.centroids) - 1))
+        third = scan(short, F.array_except(every, "probes"))
+        top = top.unionByName(third).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r")
     named = asked.select(F.col("vec_id").alias("query_id"), "embedding").join(distinct, "embedding").select("query_id", "rep")
     mine = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return named.join(top, "rep").where("vec_id <> query_id").withColumn("rank", F.row_number().over(mine)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

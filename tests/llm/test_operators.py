@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
+from dataclasses import replace
 from fractions import Fraction
 from math import ceil, floor
 
@@ -597,6 +598,27 @@ def test_nearest_of_few_and_none(spark):
     assert nearest.search(few.limit(0)).count() == 0
 
 
+def test_nearest_of_double_vectors(spark):
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=(400, 12)) * rng.uniform(0.2, 3, size=(400, 1))
+    found = nearest.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")).collect()
+    assert all(r.score == pytest.approx(float(m[r.query_id] @ m[r.vec_id]), rel=1e-14) for r in found)
+    near = {q: set(np.argsort(-(m @ m[q]))[:21]) - {q} for q in range(0, 400, 20)}
+    assert np.mean([r.vec_id in near[r.query_id] for r in found]) >= 0.9 and len(found) == 20 * 20
+
+
+def test_nearest_where_probed_lists_hold_too_few(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    m = np.repeat(rng.normal(size=(100, 16)), 3, axis=0) + 1e-3 * rng.normal(size=(300, 16))
+    fit = nearest.fit
+    monkeypatch.setattr(nearest, "fit", lambda good: replace(fit(good), probes=1))
+    found = defaultdict(list)
+    for r in nearest.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>"), k=60).orderBy("rank").collect():
+        found[r.query_id].append(r.vec_id)
+    for q in range(0, 300, 20):
+        assert found[q] == [int(j) for j in np.argsort(-(m @ m[q]), kind="stable") if j != q][:60]
+
+
 # --- 10 fingerprints ---------------------------------------------------------------------------------------------------
 
 
