@@ -6,20 +6,27 @@ the ledger, so a run only adds rows and the old ones need not be rewritten.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.functions.urls import locale_id
 from catalogflow.operators.joins import join_reduced
 
 
-def root_id(variant_id: Column) -> Column:
-    """Root of a variant id: the text before its first underscore."""
-    return F.substring_index(variant_id, "_", 1)
+def root_id(variant_id: Column, languages: Sequence[str] = ()) -> Column:
+    """Root of a variant id: the text before its first underscore, with the country and language of an id in one of ``languages``."""
+    root = F.substring_index(variant_id, "_", 1)
+    for language in languages:
+        own = locale_id(F.substring_index(variant_id, "_", 1), F.lit(language))
+        root = F.when((variant_id == own) | variant_id.startswith(F.concat(own, F.lit("_"))), own).otherwise(root)
+    return root
 
 
-def id_rows(ids: DataFrame, variant_id: str = "product_id") -> DataFrame:
+def id_rows(ids: DataFrame, variant_id: str = "product_id", languages: Sequence[str] = ()) -> DataFrame:
     """Distinct ledger rows of a list of ids."""
-    return ids.select(root_id(F.col(variant_id)).alias("root_id"), F.col(variant_id).alias("variant_id")).distinct()
+    return ids.select(root_id(F.col(variant_id), languages).alias("root_id"), F.col(variant_id).alias("variant_id")).distinct()
 
 
 def changes(ledger: DataFrame, current: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow.functions import urls
 from catalogflow.operators import assets, catalog as cat, feed, ledger, matching, outcome
 from catalogflow.operators.joins import join_reduced
 from catalogflow.operators.variants import bundle_masters, bundle_members, kind_flags, record_levels, union_rows
@@ -19,6 +20,7 @@ from catalogflow.sources import feed_store, files, ledger_store, reports, sheets
 
 
 BUNDLE_COLUMNS = ("look_id", "line_id", "order_index")
+LOCALE_COLUMNS = ("_locale", "_language")  # of a catalogue with an edition for each locale
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,7 @@ class RunTables:
     @cached_property
     def changes(self) -> DataFrame:
         """Comparison of the run's ids with the ledger."""
-        now = ledger.id_rows(feed.update_and_delete(self.updates)[1])
+        now = ledger.id_rows(feed.update_and_delete(self.updates)[1], languages=self.profile.languages)
         known = self.known(now.select("root_id").distinct()) if callable(self.known) else self.known
         return self._once(ledger.changes(known, now), "ledger-changes")
 
@@ -70,7 +72,7 @@ class RunTables:
     def deletes(self) -> DataFrame:
         """Ids to delete before the update, by catalogue: a gone id belongs to the catalogues that list its root."""
         now = self.updates.where(F.coalesce("product_id", F.lit("")) != "").select("catalog_id", "product_id")
-        roots = now.select("catalog_id", ledger.root_id(F.col("product_id")).alias("root_id")).distinct()
+        roots = now.select("catalog_id", ledger.root_id(F.col("product_id"), self.profile.languages).alias("root_id")).distinct()
         return now.unionByName(ledger.gone(self.changes).join(roots, "root_id").select("catalog_id", "product_id"))
 
     @cached_property
@@ -84,6 +86,18 @@ class RunTables:
         new = self.live_pages.select("catalog_id", "product_id", "ord", F.col("_outcome.status").alias("status"))
         return _statuses(self.catalog, new, catalog_without_url(self.profile, self.live_catalog))
 
+    @cached_property
+    def mismatches(self) -> DataFrame:
+        """Pages that show another id than their catalogue row, with a message."""
+        seen = self.live_pages.where(F.col("code").isNull()).select("catalog_id", "ord", "url", "product_id", F.col("_site_id").alias("site_id"))
+        return matching.id_mismatches(seen, "product_id", "site_id")
+
+    @cached_property
+    def casts(self) -> DataFrame | None:
+        """Values of the declared fields and how many are not of their declared type; none where the feed has no declared field."""
+        declared = [p for p in self.profile.properties if p.identifier in self.updates.columns]
+        return feed.cast_failures(self.updates, declared) if declared else None
+
     @cached_property
     def report(self) -> DataFrame:
         """Counters and message of each catalogue."""
@@ -117,11 +131,13 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     never shuffled; only the items meet the catalogue.
     """
     html, rules = F.col("html"), profile.outcome_rules()
+    none = F.lit(None).cast("string")
     items = fetched.select(
         "requested_url", "final_url", "http_status", html.isNull().alias("_no_text"), F.array(*[outcome.contains_any(html, r.texts) for r in rules]).alias("_texts"),
         *[f(html).alias(name) for name, f in profile.fields.items()],
         (profile.variants(html) if profile.variants else F.lit(None).cast("array<struct<color:string>>")).alias("_records"),
         (profile.images(html) if profile.images else F.lit(None).cast("array<string>")).alias("image_urls"),
+        (profile.site_id(html) if profile.site_id else none).alias("_site_id"),
     )
     missing = F.lit(False)
     for name in profile.required:
@@ -129,10 +145,25 @@ def processed(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame) -> D
     result = outcome.page_outcome(
         rules, F.col("requested_url"), F.col("final_url"), F.col("http_status"), F.col("_no_text"), [F.col("_texts")[i] for i in range(len(rules))], missing)
     coded = items.withColumn("_outcome", result).withColumn("code", F.col("_outcome.code")).drop("_no_text", "_texts", "final_url", "http_status")
-    extra = [c for c in BUNDLE_COLUMNS if c in catalog.columns]
-    listed = catalog_with_url(profile, catalog).select(
-        "catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), "url", *extra)
-    return matching.match_first(coded, listed, scope=("catalog_id",)).withColumnRenamed("requested_url", "url")
+    extra = [c for c in (*BUNDLE_COLUMNS, *LOCALE_COLUMNS) if c in catalog.columns]
+    listed = catalog_with_url(profile, catalog)
+    row = ["catalog_id", "ord", "product_id", F.col("name").alias("sheet_name"), *extra]
+    if profile.page_key is None:
+        return matching.match_first(coded, listed.select(*row, "url"), scope=("catalog_id",)).withColumnRenamed("requested_url", "url")
+    keyed = listed.select(*row, _in_locale(profile, F.col(profile.match_column), F.col("_locale") if profile.locales else None).alias("_key"))
+    key = _in_locale(profile, profile.page_key(F.col("requested_url")), _locale_of(profile, F.col("requested_url")))
+    return matching.match_first(coded.withColumn("_key", key), keyed, "_key", "_key", ("catalog_id",)).drop("_key").withColumnRenamed("requested_url", "url")
+
+
+def _locale_of(profile: SiteProfile, url: Column) -> Column | None:
+    """Locale whose account a URL names; the longest account counts, where one holds another."""
+    by_length = sorted(profile.locales.items(), key=lambda x: -len(x[1].user))
+    return F.coalesce(*[F.when(url.contains(locale.user), name) for name, locale in by_length]) if by_length else None
+
+
+def _in_locale(profile: SiteProfile, key: Column, locale: Column | None) -> Column:
+    """A key that pages and catalogue rows of one locale share, null without key or locale."""
+    return F.concat(locale, F.lit(" "), key) if profile.locales else key
 
 
 def staged_pages(profile: SiteProfile, catalog: DataFrame, fetched: DataFrame, label: str) -> DataFrame:
@@ -158,6 +189,8 @@ def _updates(
     details = [f.name for f in record if f.name != "color"]
     row = F.col("_outcome.row")
     fine, whole = row.isin("all", "item"), row == "all"
+    shown = F.coalesce(F.when(fine, F.col("_site_id")), "product_id")  # a page that moved or is gone may show any id
+    pages = pages.withColumn("product_id", _feed_id(pages, shown))
     products = pages.where(row.isNotNull()).select(
         "catalog_id", "product_id", *[F.when(fine, F.col(f)).alias(f) if f != "name" else
                         F.when(fine, F.col("name")).otherwise(F.col("sheet_name")).alias("name") for f in fields],
@@ -167,7 +200,8 @@ def _updates(
     levels = products.where(F.size("_records") > 0).select("catalog_id", F.inline(record_levels(F.col("product_id"), F.col("_records"), details, profile.suffix)))
     if bundles is not None:
         main = main.select("*", *kind_flags("normal"))
-    rows = union_rows(main, levels, cat.placeholders(catalog_without_url(profile, catalog)))
+    unlisted = catalog_without_url(profile, catalog)
+    rows = union_rows(main, levels, cat.placeholders(unlisted.withColumn("product_id", _feed_id(unlisted, F.col("product_id")))))
     if bundles is None:
         return rows
     looks, lines = (_of_catalogs(masters, catalog, key) for masters, key in zip(bundles, ("look_id", "line_id"), strict=True))
@@ -181,6 +215,11 @@ def _updates(
     )
 
 
+def _feed_id(rows: DataFrame, product_id: Column) -> Column:
+    """Id that the feed has for a product, with country and language in a localised edition."""
+    return urls.locale_id(product_id, F.col("_language")) if "_language" in rows.columns else product_id
+
+
 def _of_catalogs(masters: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     """Looks or lines with the catalogues whose rows name them, a row for each; one that no row names belongs to none."""
     if "catalog_id" in masters.columns:
@@ -190,9 +229,19 @@ def _of_catalogs(masters: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
 
 
 def prepared(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
-    """Catalogue rows with normal ids and, for a site whose sheets name the URLs, normal URLs."""
+    """Catalogue rows with normal ids and, for a site whose sheets name the URLs, normal URLs; an edition of each for every locale."""
     rows = catalog.withColumn("product_id", cat.normal_id(F.col("product_id")))
-    return rows.withColumn("url", cat.normal_url(F.col("url"))) if profile.url_rule == "sheet" else rows
+    rows = rows.withColumn("url", cat.normal_url(F.col("url"))) if profile.url_rule == "sheet" else rows
+    if not profile.locales:
+        return rows
+    url = urls.account_url(F.col("url"), profile.account, profile.production)
+    users = {name: locale.user for name, locale in profile.locales.items()}
+    each = rows.withColumn("_edition", F.explode(urls.per_locale(url, users, profile.account)))
+    language = F.coalesce(*[F.when(F.col("_edition.locale") == name, F.lit(locale.language).cast("string")) for name, locale in profile.locales.items()])
+    return each.withColumns({
+        "catalog_id": F.concat_ws("_", "catalog_id", "_edition.locale"), "url": F.col("_edition.url"),
+        "_locale": F.col("_edition.locale"), "_language": language,
+    }).drop("_edition")
 
 
 def catalog_without_url(profile: SiteProfile, catalog: DataFrame) -> DataFrame:
@@ -236,6 +285,10 @@ def run(
     ledger_store.append_ledger(result.ledger_added, f"{out}/ledger", run_id)
     feed_store.write_table(result.statuses, f"{out}/statuses", run_id)
     feed_store.write_table(result.images, f"{out}/images", run_id)
+    if profile.site_id is not None:
+        feed_store.write_table(result.mismatches, f"{out}/mismatches", run_id)
+    if result.casts is not None:
+        feed_store.write_table(result.casts, f"{out}/casts", run_id)
     reports.write_reports(result.report, f"{out}/reports")
     return result
 

@@ -8,12 +8,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from catalogflow.functions import text
+from catalogflow.functions import text, urls
 from catalogflow.operators import feed, ledger
 from catalogflow.operators.catalog import NO_URL
 from catalogflow.operators.extract import script_records
 from catalogflow.plans import feed_run, site_run
-from catalogflow.plans.profile import SiteProfile, profile, register
+from catalogflow.plans.profile import Locale, SiteProfile, profile, register
 from catalogflow.sources import documents, feed_store, files, ledger_store, sheets, tables, vendor_feed
 from catalogflow.sources.reports import write_reports
 
@@ -386,6 +386,43 @@ def test_site_run_with_bundles(spark):
     assert {"L1_p0", "L1"} <= {r.product_id for r in result.deletes.collect()}
 
 
+def test_editions_have_feeds_and_ids_of_their_own(spark, out):
+    site = replace(SHOP, name="test_editions", account="acc", page_key=lambda u: urls.id_after(u, "sku="), max_errors=9,
+                   locales={"us": Locale("acc"), "fr": Locale("acc_fr", "fr")})
+    catalog = spark.createDataFrame([("c", 0, "p0", "Zero", "http://s/XXXXX?sku=p0"), ("c", 1, "p1", "One", "http://s/XXXXX?sku=p1"), ("c", 2, "p2", "Two", NO_URL)],
+                                    "catalog_id string, ord bigint, product_id string, name string, url string")
+
+    def fetch(us, fr):
+        rows = [(f"http://t/{account}?x=1&sku=p0", 200, f"<h1>Zero {account}</h1><v>{sizes}</v>") for account, sizes in (("acc", us), ("acc_fr", fr))]
+        rows += [("http://t/acc_fr?sku=p1", 200, "sold out"), ("http://t/other?sku=p1", 200, "<h1>x</h1>"), ("http://t/acc?no", 200, "<h1>x</h1>")]
+        return spark.createDataFrame([(u, u, s, h) for u, s, h in rows], "requested_url string, final_url string, http_status int, html string")
+
+    both = "#c=red;s=S;#c=red;s=M;"
+    result = site_run.run(site, catalog, fetch(both, both), out, "1")
+    feed_of = lambda part: {c: {r.product_id for r in feed_store.read_catalogs(spark, f"{out}/feed", part).where(F.col("catalog_id") == c).collect()} for c in ("c_us", "c_fr")}
+    first = {"c_us": {"p0", "p0_0", "p0_0_0", "p0_0_1", "p2"}, "c_fr": {"p0_can_fr", "p0_can_fr_0", "p0_can_fr_0_0", "p0_can_fr_0_1", "p1_can_fr", "p2_can_fr"}}
+    assert feed_of("update") == first and feed_of("delete") == first
+    statuses = {(r.catalog_id, r.product_id): r.status for r in result.statuses.collect()}
+    assert statuses == {("c_us", "p0"): "ran", ("c_us", "p1"): "none", ("c_us", "p2"): "no_url", ("c_fr", "p0"): "ran", ("c_fr", "p1"): "no_avail", ("c_fr", "p2"): "no_url"}
+    # the French edition loses a size: it alone deletes that id
+    site_run.run(site, catalog, fetch(both, "#c=red;s=S;"), out, "2")
+    assert feed_of("delete") == first and "p0_can_fr_0_1" not in feed_of("update")["c_fr"]
+
+
+def test_pages_may_show_ids_of_their_own(spark, out):
+    site = replace(SHOP, name="test_own_ids", site_id=lambda h: F.nullif(text.first_between(h, "<id>", "</id>"), F.lit("")))
+    catalog, fetched = inputs(spark)
+    shown = fetched.withColumn("html", F.concat("html", F.when(F.col("requested_url") == "http://0", "<id>z0</id>").otherwise("<id>wrong</id>")))
+    result = site_run.run(site, catalog.where("catalog_id = 'c'"), shown, out, "1")
+    ids = {r.product_id for r in result.updates.collect()}
+    assert {"z0", "z0_0", "z0_0_1", "p2", "p4", "p3"} <= ids and not ids & {"p0", "wrong"}  # pages that are gone keep the sheet's id
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/mismatches").select("catalog_id", "product_id", "site_id", "message").collect()] == [
+        ("c", "p0", "z0", "Not equal, id in sheet p0, on site z0")]
+    assert {(r.product_id, r.status) for r in result.statuses.where("ord < 2").collect()} == {("p0", "ran")}
+    casts = spark.read.parquet(f"{out}/casts").collect()
+    assert [(r.field, r.n_failed) for r in casts] == [("level", 0)] and casts[0].n_values > 0
+
+
 def test_trial_run(spark, out):
     result = site_run.run(SHOP, *inputs(spark), out, "1", trial=1)
     assert {r.product_id for r in result.updates.where("level = 0").collect()} == {"p0"}
