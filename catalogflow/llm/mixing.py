@@ -4,7 +4,8 @@ Documents of a source form blocks of ``block_rows``. In each cycle a source of w
 Its j-th block of the cycle (of b in m slots) is released at floor((j - 1) m / b) and due at ceil(j m / b); the slot goes
 to the released block that is due first. At every slot each source is then less than one block from its exact share of
 the cycle, and at the end of a cycle the deviation is zero. A source that runs out leaves its slots to the others, so
-every document is kept. Cycles with equal block counts share one schedule, of which there are at most 2 * sources + 1.
+every document is kept. Cycles with equal block counts share one schedule, of which there are at most 2 * sources + 1;
+sources with equally many blocks in it are scheduled as one class.
 """
 
 from __future__ import annotations
@@ -13,48 +14,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from catalogflow.functions.binding import bound
 
-def _schedule(b: Column, m: Column) -> Column:
-    """Earliest due block first among released ones: an array of (source number, block number) for slots 0 to m - 1."""
-    start = F.struct(F.transform(b, lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<struct<i:int,j:bigint>>").alias("picks"))
+PIECE = 256  # slots gathered before they are put to the others
+
+
+def _schedule(classes: Column, m: Column) -> Column:
+    """Earliest due block first among released ones: an array of (class number, block number in the class) for slots 0 to m - 1.
+
+    A class is a struct of ``b`` and ``k``: k sources with b blocks each, whose j-th blocks share a window. Its r-th block is block r div k of
+    its source r mod k. Picks are gathered in pieces, so that the time grows with slots times classes.
+    """
+    empty = F.array().cast("array<struct<i:int,r:bigint>>")
 
     def step(acc: Column, t: Column) -> Column:
-        due = F.transform(b, lambda x, i: F.when(
-            (acc["done"][i] < x) & (F.floor(acc["done"][i] * m / x) <= t),
-            F.struct(F.ceil((acc["done"][i] + 1) * m / x).alias("due"), i.alias("i"))))
-        i = F.array_min(due)["i"]
-        return F.struct(
-            F.transform(acc["done"], lambda x, k: x + F.when(k == i, 1).otherwise(0)).alias("done"),
-            F.concat(acc["picks"], F.array(F.struct(i.alias("i"), acc["done"][i].alias("j")))).alias("picks"))
+        def due(c: Column, i: Column) -> Column:
+            done = acc["done"][i]
+            j = F.floor(done / c["k"])
+            return F.when((done < c["b"] * c["k"]) & (F.floor(j * m / c["b"]) <= t), F.struct(F.ceil((j + 1) * m / c["b"]).alias("due"), i.alias("i")))
+
+        return bound(F.array_min(F.transform(classes, due))["i"], lambda i: F.struct(
+            F.transform(acc["done"], lambda x, k: F.when(k == i, x + 1).otherwise(x)).alias("done"),
+            F.concat(acc["picks"], F.array(F.struct(i.alias("i"), acc["done"][i].alias("r")))).alias("picks")))
+
+    def piece(acc: Column, start: Column) -> Column:
+        first = F.struct(acc["done"].alias("done"), empty.alias("picks"))
+        slots = F.sequence(start, F.least(start + PIECE, m) - 1)
+        return bound(F.aggregate(slots, first, step), lambda got: F.struct(
+            got["done"].alias("done"), F.concat(acc["pieces"], F.array(got["picks"])).alias("pieces")))
 
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), m - 1), start, step, lambda acc: acc["picks"])
+    begin = F.struct(F.transform(classes, lambda c: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<struct<i:int,r:bigint>>>").alias("pieces"))
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), m - 1, F.lit(PIECE).cast("long")), begin, piece, lambda acc: F.flatten(acc["pieces"]))
 
 
 def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
     """Rows (source, share, parts) from (source, n, weight): blocks a cycle, and schedules by first cycle.
 
-    A part has the first cycle it holds for, the first slot of that cycle, the cycle's slots and the slot of each block.
-    The one row gathered has one entry for each source; the result has at most (2 * sources + 1) * cycle slot numbers.
+    A part has the first cycle it holds for, the first slot of that cycle, the cycle's slots and the slot of each block. Parts begin where a
+    source runs out. In a part, sources with equally many blocks form a class; there are at most about sqrt(2 m) classes for m
+    slots. The parts are scheduled in parallel, and their slots together are at most the blocks of all sources. One task
+    orders a number or two for each source.
     """
-    one = counts.groupBy().agg(F.array_sort(F.collect_list(F.struct("source", F.ceil(F.col("n") / block_rows).alias("n"), "weight"))).alias("s"))
-    total = F.aggregate("s", F.lit(0.0), lambda x, y: x + y["weight"])
-    one = one.where(F.size("s") > 0).withColumn("total", total).withColumn(
-        "s", F.transform("s", lambda x: F.struct(x["source"].alias("source"), x["n"].alias("n"),
-                                                 F.greatest(F.lit(1), F.round(x["weight"] * cycle / F.col("total"))).cast("long").alias("a"))))
-    starts = F.array_sort(F.array_distinct(F.concat(
-        F.array(F.lit(0).cast("long")), F.flatten(F.transform("s", lambda x: F.array(F.floor(x["n"] / x["a"]), F.ceil(x["n"] / x["a"])))))))
-    parts = (
-        one.select("s", F.explode(starts).alias("first"))
-        .withColumn("b", F.transform("s", lambda x: F.greatest(F.lit(0).cast("long"), F.least(x["a"], x["n"] - x["a"] * F.col("first")))))
-        .withColumn("m", F.aggregate("b", F.lit(0).cast("long"), lambda x, y: x + y)).where("m > 0")
-        .withColumn("base", F.aggregate("s", F.lit(0).cast("long"), lambda x, y: x + F.least(y["n"], y["a"] * F.col("first"))))
-        .repartition("first")  # schedules in parallel
-        .withColumn("picks", _schedule(F.col("b"), F.col("m")))
-    )
-    slots = parts.select("first", "base", "m", "s", F.posexplode("picks").alias("t", "p"))
-    per = slots.groupBy(F.col("s")[F.col("p.i")].alias("x"), "first", "base", "m").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("p.j", "t"))), lambda x: x["t"]).alias("slots"))
-    return per.groupBy("x.source", F.col("x.a").alias("share")).agg(F.array_sort(F.collect_list(F.struct("first", "base", "m", "slots"))).alias("parts"))
+    alone = W.partitionBy(F.lit(0))
+    whole = alone.orderBy("source").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # in order: the sum is the same each time
+    share = F.greatest(F.lit(1), F.coalesce(F.round(F.try_divide(F.col("weight") * cycle, F.sum("weight").over(whole))), F.lit(1))).cast("long")
+    sources = counts.select("source", F.ceil(F.col("n") / block_rows).alias("n"), share.alias("a")).withColumn("end", F.ceil(F.col("n") / F.col("a")))
+    starts = sources.select(F.explode(F.array(F.lit(0).cast("long"), F.floor(F.col("n") / F.col("a")), "end")).alias("first")).distinct()
+    starts = starts.select("first", (F.row_number().over(alone.orderBy("first")) - 1).alias("p"), F.lead("first").over(alone.orderBy("first")).alias("next"))
+    ends = starts.select(F.col("first").alias("end"), F.col("p").alias("last"))
+    live = sources.join(ends, "end").select("source", "a", "n", F.explode(F.sequence(F.lit(0), F.col("last") - 1)).alias("p")).join(starts, "p")
+    live = live.withColumn("b", F.least(F.col("a"), F.col("n") - F.col("a") * F.col("first")))
+    live = live.withColumn("member", (F.row_number().over(W.partitionBy("p", "b").orderBy("source")) - 1).cast("long"))
+
+    classes = live.groupBy("p", "first", "next", "b").agg(F.count(F.lit(1)).alias("k"))
+    parts = classes.groupBy("p", "first", "next").agg(
+        F.sum(F.col("b") * F.col("k")).alias("m"), F.reverse(F.array_sort(F.collect_list(F.struct("b", "k")))).alias("classes"))
+    before = F.sum(F.col("m") * (F.col("next") - F.col("first"))).over(alone.orderBy("p").rowsBetween(W.unboundedPreceding, -1))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number: run-time coalescing would put all in one task
+    picks = parts.withColumn("base", F.coalesce(before, F.lit(0))).repartition(tasks, "p").withColumn("picks", _schedule(F.col("classes"), F.col("m")))
+    slots = picks.select("p", "first", "base", "m", "classes", F.posexplode("picks").alias("t", "x")).withColumn("c", F.col("classes")[F.col("x.i")])
+    slots = slots.select("p", "first", "base", "m", "t", F.col("c.b").alias("b"), (F.col("x.r") % F.col("c.k")).alias("member"), F.floor(F.col("x.r") / F.col("c.k")).alias("j"))
+    per = slots.join(live.select("p", "b", "member", "source", "a"), ["p", "b", "member"]).groupBy("source", "a", "first", "base", "m").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("j", "t"))), lambda x: x["t"]).alias("slots"))
+    return per.groupBy("source", F.col("a").alias("share")).agg(F.array_sort(F.collect_list(F.struct("first", "base", "m", "slots"))).alias("parts"))
 
 
 def numbered_by_source(docs: DataFrame, key: list[str], bucket_rows: int) -> DataFrame:

@@ -87,6 +87,27 @@ def test_mixing_stays_within_one_block(spark):
         assert lag.max() < 1
 
 
+def test_mixing_schedules_ten_thousand_sources(spark):
+    docs = spark.range(45_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.least(F.col("id") % 10_000, F.col("id") % 12_500)).alias("source"))
+    got = mixing.mix(docs, block_rows=1).select("source", "block", "slot").toPandas()
+    assert sorted(got.slot) == list(range(45_000)) and not got.duplicated(["source", "block"]).any()
+    n = got.groupby("source").size()
+    assert len(n) > 9_000
+    weight = n**0.7
+    own = np.minimum((weight * 1000 / weight.sum()).round().clip(lower=1).astype(int), n)  # blocks in the first cycle
+    m = int(own.sum())
+    first = got[got.slot < m]
+    assert (first.groupby("source").size() == own).all()
+    b = first.source.map(own)
+    assert ((first.block * m // b <= first.slot) & (first.slot < -(-(first.block + 1) * m // b))).all()  # released and not yet due
+
+
+def test_mixing_without_positive_weights(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "doc_id long, source string")
+    none = spark.createDataFrame([("a", 0.0), ("b", None)], "source string, weight double")
+    assert sorted(r.slot for r in mixing.mix(docs, none, block_rows=1).collect()) == [0, 1, 2]
+
+
 def test_mixing_keeps_odd_rows(odd, spark):
     got = mixing.mix(odd)
     assert got.columns == [*odd.columns, "block", "slot", "place"]
