@@ -10,11 +10,14 @@ sources with equally many blocks in it are scheduled as one class.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from catalogflow.functions.binding import bound
+from catalogflow.llm.common import staged
 
 PIECE = 256  # slots gathered before they are put to the others
 
@@ -79,20 +82,30 @@ def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
     return per.groupBy("source", F.col("a").alias("share")).agg(F.array_sort(F.collect_list(F.struct("first", "base", "m", "slots"))).alias("parts"))
 
 
-def numbered_by_source(docs: DataFrame, key: list[str], bucket_rows: int) -> DataFrame:
+def sources_of(docs: DataFrame) -> DataFrame:
+    """(source, n, g): the rows of each source and a number for it; written, so that Spark's size check sees how small the table is."""
+    return staged(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.monotonically_increasing_id()), "mixture-sources")
+
+
+def numbered_by_source(
+    docs: DataFrame, key: list[str], bucket_rows: int, sources: DataFrame | None = None, extend: Callable[[DataFrame], DataFrame] = lambda buckets: buckets,
+) -> DataFrame:
     """(d, s, n, k): each row as a struct with its source, the rows of that source, and its number there from 0 in the order of hashes.
 
     A source is cut into buckets of about ``bucket_rows`` by a hash of the key and the whole row, numbered apart and put together by their
-    counts, so no task sorts a whole source, also where many keys are equal or null. Rows equal in every column share a bucket.
+    counts, so no task sorts a whole source, also where many keys are equal or null. Rows equal in every column share a bucket. ``extend`` may add
+    columns to the buckets ``(g, b, c, o)``: source number, bucket, its rows, rows of the source before it. Rows meet them where their bucket was
+    sorted, so whole rows are shuffled once.
     """
+    sources = sources_of(docs) if sources is None else sources
     whole = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("source").alias("s"), F.xxhash64(*[F.col(f"`{c}`") for c in key], *whole).alias("h"))
-    size = rows.groupBy(F.col("s").alias("s1")).agg(F.count(F.lit(1)).alias("n"))
+    size = sources.withColumnRenamed("source", "s1")
     hashed = rows.join(size, rows["s"].eqNullSafe(size["s1"])).drop("s1").withColumn("b", F.pmod("h", F.ceil(F.col("n") / bucket_rows)))
-    before = hashed.groupBy(F.col("s").alias("s1"), F.col("b").alias("b1")).agg(F.count(F.lit(1)).alias("c"))
-    before = before.withColumn("o", F.coalesce(F.sum("c").over(W.partitionBy("s1").orderBy("b1").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    inside = hashed.withColumn("r", F.row_number().over(W.partitionBy("s", "b").orderBy("h", *[F.col(f"d.`{c}`") for c in key])))
-    return inside.join(before, inside["s"].eqNullSafe(before["s1"]) & (F.col("b") == F.col("b1"))).select("d", "s", "n", (F.col("o") + F.col("r") - 1).alias("k"))
+    buckets = hashed.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"))
+    buckets = buckets.withColumn("o", F.coalesce(F.sum("c").over(W.partitionBy("g").orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = hashed.withColumn("r", F.row_number().over(W.partitionBy("g", "b").orderBy("h", *[F.col(f"d.`{c}`") for c in key])))
+    return inside.join(extend(buckets), ["g", "b"]).withColumn("k", F.col("o") + F.col("r") - 1).drop("g", "b", "c", "h", "r")
 
 
 def mix(
@@ -107,18 +120,29 @@ def mix(
     rows and further columns stay as they are, whatever their names; columns that are named block, slot or place give way to the
     operator's. An empty table gives none. Ties of the key are put in any order.
     """
-    numbered = numbered_by_source(docs, key or ["doc_id"], bucket_rows)
-    counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    sources = sources_of(docs)
+    counts = sources.select("source", "n")
     if weights is None:
         counts = counts.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(power)))
     else:
         given = weights.groupBy(F.col("source").alias("_ws")).agg(F.max("weight").cast("double").alias("weight"))
         counts = counts.join(given, counts["source"].eqNullSafe(given["_ws"]), "left").select("source", "n", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)).alias("weight"))
-    schedule = plan(counts, block_rows, cycle).withColumnRenamed("source", "s1")
-    out = numbered.join(schedule, numbered["s"].eqNullSafe(schedule["s1"]))
-    block = F.floor(F.col("k") / block_rows)
+    numbers = sources.select(F.col("source").alias("s1"), "g")
+    planned = plan(counts, block_rows, cycle)
+    schedule = planned.join(numbers, planned["source"].eqNullSafe(numbers["s1"])).select("g", "share", "parts")
+
+    first = F.floor(F.col("o") / block_rows)
     turn = F.floor(F.col("block") / F.col("share"))
     part = F.element_at(F.filter("parts", lambda p: p["first"] <= F.col("turn")), -1)
     slot = F.col("part.base") + (F.col("turn") - F.col("part.first")) * F.col("part.m") + F.col("part.slots")[(F.col("block") - F.col("turn") * F.col("share")).cast("int")]
+
+    def with_slots(buckets: DataFrame) -> DataFrame:
+        """Buckets with the slots of the blocks that their rows fall into."""
+        blocks = buckets.select("g", "b", "o", F.explode(F.sequence(first, F.floor((F.col("o") + F.col("c") - 1) / block_rows))).alias("block"))
+        placed = blocks.join(schedule, "g").withColumn("turn", turn).withColumn("part", part).select("g", "b", "o", "block", slot.alias("slot"))
+        return placed.groupBy("g", "b", "o").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "slot"))), lambda x: x["slot"]).alias("slots"))
+
+    out = numbered_by_source(docs, key or ["doc_id"], bucket_rows, sources, with_slots).withColumn("block", F.floor(F.col("k") / block_rows))
     kept = [F.col(f"d.`{c}`").alias(c) for c in docs.columns if c not in ("block", "slot", "place")]
-    return out.withColumn("block", block).withColumn("turn", turn).withColumn("part", part).select(*kept, "block", slot.alias("slot"), (F.col("k") - F.col("block") * block_rows).alias("place"))
+    own = F.col("slots")[(F.col("block") - first).cast("int")]
+    return out.select(*kept, "block", own.alias("slot"), (F.col("k") - F.col("block") * block_rows).alias("place"))

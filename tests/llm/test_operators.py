@@ -131,6 +131,14 @@ def test_mixing_spreads_null_ids(spark):
     assert max(r["count"] for r in plan) < 40_000
 
 
+def test_mixing_shuffles_whole_rows_once(spark, capsys):
+    """Of all shuffles in the plan only the one by source and bucket carries the rows themselves."""
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 5).cast("string").alias("source"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    mixing.mix(docs).explain("formatted")
+    inputs = re.findall(r"Exchange[^\n]*\nInput[^\n]*", capsys.readouterr().out)
+    assert sum(bool(re.search(r"\bd#|\btext#", x)) for x in inputs) == 1
+
+
 # --- 2 packing -------------------------------------------------------------------------------------------------------
 
 
