@@ -1,9 +1,10 @@
 """Numbering and list building that hold when one key owns a third of all rows.
 
-A window over such a key would sort the whole key in one task. Rows are therefore written once, which tells their size. A table of
-more than ``RANGE_BYTES`` is dealt by range over key, order and a hash of all columns, so that every key is cut where it is large, whatever its order
-column looks like. Each range is one sorted file: a row's number is its place in the file, less that of the first row of its key
-there, plus the counts of the key in earlier files.
+A window over such a key would sort the whole key in one task. Rows are therefore written once, which tells their size. In a table of
+more than ``RANGE_BYTES``, keys that could hold more rows than one range are told from the others by counts of their hashes. The others are
+numbered by a window. The large ones are dealt by range over key, order and a hash of all columns, so that every key is cut where it is large,
+whatever its order column looks like. Each range is one sorted file: a row's number is its place in the file, less that of the first row of its
+key there, plus the counts of the key in earlier files.
 """
 
 from __future__ import annotations
@@ -16,6 +17,22 @@ from pyspark.sql import functions as F
 from catalogflow.session import written
 
 RANGE_BYTES = 64 << 20
+GROUPS = 64  # hash groups of keys for each range
+
+
+def split_large(rows: DataFrame, size: int, keys: Sequence[str], parts: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of keys that fit one task, and those of the others, or none where all fit; ``rows`` is a written table of ``size`` bytes.
+
+    Keys are counted in hash groups, of which there are ``GROUPS`` for each range of ``RANGE_BYTES``, so the counts are a small table
+    however many keys there are. A group with more rows than a range counts as large; there are fewer of these than ranges.
+    """
+    parts = parts or -(-size // RANGE_BYTES)
+    if parts <= 1:
+        return rows, None
+    group = F.pmod(F.xxhash64(*keys), F.lit(parts * GROUPS))
+    counts = rows.groupBy(group.alias("_group")).agg(F.count("*").alias("_rows"))
+    large = [r["_group"] for r in counts.where(F.col("_rows") > rows.count() / parts).collect()]
+    return (rows.where(~group.isin(large)), rows.where(group.isin(large))) if large else (rows, None)
 
 
 def numbered(
@@ -36,9 +53,14 @@ def numbered_rows(
     """:func:`numbered` over a written table of ``size`` bytes."""
     by = [*keys, *order, F.xxhash64(*rows.columns)]
     parts = parts or -(-size // RANGE_BYTES)
-    if parts <= 1:  # even if one key has all rows, its task sorts one range
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by[len(keys):]))
-        return rows.withColumn(name, (number - 1 + start).cast("bigint"))
+    small, large = split_large(rows, size, keys, parts)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by[len(keys):]))
+    small = small.withColumn(name, (number - 1 + start).cast("bigint"))
+    return small if large is None else small.unionByName(_ranged(large, keys, by, name, start, parts))
+
+
+def _ranged(rows: DataFrame, keys: Sequence[str], by: Sequence, name: str, start: int, parts: int) -> DataFrame:
+    """Rows numbered by their places in ``parts`` sorted files."""
     ranged, _ = written(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by), "ranged")
     file = F.regexp_extract_all("_metadata.file_name", F.lit("^part-([0-9]+)|-c([0-9]+)[.]"), F.lit(0))
     digits = F.transform(file, lambda x: F.regexp_replace(x, "[^0-9]", "").cast("bigint"))

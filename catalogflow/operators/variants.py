@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.functions.binding import bound
 from catalogflow.functions.numbering import digits
 from catalogflow.functions.text import cdata
 from catalogflow.operators.joins import join_reduced
-from catalogflow.operators.ordering import numbered, numbered_rows
+from catalogflow.operators.ordering import numbered, numbered_rows, split_large
 from catalogflow.session import written
 
 NO_COLOR = "no_color"
@@ -72,18 +72,37 @@ def two_levels(
     return union_rows(level(products, 0), level(children.drop("color_pos"), 1), level(bare, 1))
 
 
+def _placed_by_product(variants: DataFrame, details: list[str], suffix) -> DataFrame:
+    """Variants with the id of their colour and their place in it; a product's rows meet in one task, in one shuffle."""
+    of_color = Window.partitionBy("product_id", "color")
+    place = F.row_number().over(of_color.orderBy("ord", *details))
+    rows = variants.repartition("product_id").withColumn("pos", (place - 1).cast("bigint")).withColumn("_first", F.min("ord").over(of_color))
+    color = (F.dense_rank().over(Window.partitionBy("product_id").orderBy("_first", "color")) - 1).cast("bigint")
+    rows = rows.withColumn("_color", color)
+    return rows.select(F.col("product_id").alias("root_id"), "color", F.concat_ws("_", "product_id", suffix(F.col("_color"))).alias("color_id"), "pos", *details)
+
+
+def _placed_by_ranges(variants: DataFrame, size: int, details: list[str], suffix) -> DataFrame:
+    """:func:`_placed_by_product` for products of more rows than one task should sort."""
+    colors = color_rows(variants, suffix).select(
+        F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("color_id"))
+    sizes = numbered_rows(variants, size, ["product_id", "color"], ["ord", *details])
+    return sizes.withColumnRenamed("product_id", "root_id").join(colors, ["root_id", "color"])
+
+
 def three_levels(products: DataFrame, variants: DataFrame, suffix=digits) -> DataFrame:
     """Product, colour and size rows with ids ``root``, ``root_c`` and ``root_c_s``.
 
     ``variants`` holds ``(product_id, color, size, ord)`` and any detail columns, one row per size. A variant without a size
-    keeps a null size; one without a colour belongs to ``no_color``. The first size of a colour also yields the colour's row.
+    keeps a null size; one without a colour belongs to ``no_color``. The first size of a colour also yields the colour's row. Products
+    that one task can sort take one shuffle; larger ones are cut as in :mod:`catalogflow.operators.ordering`.
     """
     variants, bytes_written = written(variants.withColumn("color", F.coalesce("color", F.lit(NO_COLOR))), "variants")
     details = [c for c in variants.columns if c not in ("product_id", "color", "ord")]
-    colors = color_rows(variants, suffix).select(
-        F.col("master_product_id").alias("root_id"), "color", F.col("product_id").alias("color_id"))
-    sizes = numbered_rows(variants, bytes_written, ["product_id", "color"], ["ord", *details])
-    placed = sizes.withColumnRenamed("product_id", "root_id").join(colors, ["root_id", "color"])
+    small, large = split_large(variants.where(F.col("product_id").isNotNull()), bytes_written, ["product_id"])
+    placed = _placed_by_product(small, details, suffix)
+    if large is not None:
+        placed = placed.unionByName(_placed_by_ranges(large, bytes_written, details, suffix).select(*placed.columns))
     none = {c: F.lit(None).cast(variants.schema[c].dataType) for c in ["color", *details]}
 
     def row(product_id, master, level, **values):

@@ -29,9 +29,12 @@ def colors(t):
 
 def sizes(t):
     """Quantities of part and supplier as sizes, the first line of each giving its position."""
-    key = [F.col("l_partkey").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("color"),
-           F.col("l_quantity").cast("bigint").cast("string").alias("size")]
-    return t.lineitem.groupBy(*key).agg(F.min(line_ord()).alias("ord"))
+    key = ["l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("size")]
+    firsts = t.lineitem.groupBy(*key).agg(F.min(line_ord()).alias("ord"))  # numbers, which are shorter than the texts they become
+    return firsts.select(
+        F.col("l_partkey").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("color"),
+        F.col("size").cast("string").alias("size"), "ord",
+    )
 
 
 @query("wn_03_letter_numbering", f"""

@@ -1,11 +1,13 @@
 """Operators on small tables with skewed, blank, repeated and missing keys, against plain Python."""
 
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalogflow.functions.numbering import letters
+from catalogflow.functions.numbering import digits, letters
 from catalogflow.operators import assets, catalog as cat, extract, feed, ledger, matching, ordering, outcome, variants
 
 
@@ -146,6 +148,50 @@ def test_two_and_three_levels(spark, count):
         assert three["p_aa"].color == "c03" and "p_ad_b" in three
 
 
+@pytest.mark.parametrize("range_bytes", [64 << 20, 1 << 12])
+def test_three_levels_shuffle_variants_once(spark, capsys, monkeypatch, range_bytes):
+    """Colours and sizes are numbered after one shuffle by product; products without id give no rows; a repeated row keeps its place."""
+    monkeypatch.setattr(ordering, "RANGE_BYTES", range_bytes)
+    rows = [(f"p{i % 97}" if i % 31 else None, f"c{i * 7 % 5}" if i % 11 else None, f"s{i * 3 % 4}" if i % 13 else None, i * 37 % 2003 if i % 17 else None) for i in range(2000)]
+    rows += rows[:50]
+    products = spark.createDataFrame([("p1", "P")], "product_id string, name string")
+    got = variants.three_levels(products, spark.createDataFrame(rows, "product_id string, color string, size string, ord bigint"), digits)
+    got.explain("formatted")
+    assert len(re.findall(r"^\([0-9]+\) Exchange", capsys.readouterr().out, re.M)) == 1
+    none_first = lambda v: (v is not None, v)
+    tree = {}
+    for p, c, s, o in rows:
+        if p is not None:
+            tree.setdefault(p, {}).setdefault(c or variants.NO_COLOR, []).append((none_first(o), none_first(s)))
+    want = Counter([("p1", None, None, None, 0)])
+    for p, colors in tree.items():
+        first = {c: min((o for o, _ in x if o[0]), default=(False, None)) for c, x in colors.items()}
+        for i, c in enumerate(sorted(colors, key=lambda c: (first[c], c))):
+            want[(f"{p}_{i}", p, c, None, 1)] += 1
+            want.update((f"{p}_{i}_{j}", f"{p}_{i}", None, s[1], 2) for j, (_, s) in enumerate(sorted(colors[c])))
+    assert Counter((r.product_id, r.master_product_id, r.color, r["size"], r.level) for r in got.collect()) == want
+
+
+def test_three_levels_cut_a_large_product(spark, monkeypatch):
+    """A product with most of the rows takes the ranges, and the tree is that of one task."""
+    rows = [("hot" if i % 3 else f"p{i}", f"c{i * 7 % 40}", f"s{i % 9}", i * 37 % 6007) for i in range(6000)]
+    products = spark.createDataFrame([], "product_id string, name string")
+    options = spark.createDataFrame(rows, "product_id string, color string, size string, ord bigint")
+    whole = Counter(variants.three_levels(products, options, letters).collect())
+    monkeypatch.setattr(ordering, "RANGE_BYTES", 1 << 12)
+    small, large = ordering.split_large(*ordering.written(options, "options"), ["product_id"])
+    assert large is not None and small.where("product_id = 'hot'").count() == 0 and large.where("product_id = 'hot'").count() == 4000
+    assert Counter(variants.three_levels(products, options, letters).collect()) == whole
+
+
+def test_numbering_of_small_keys_needs_no_ranges(spark, capsys):
+    df = spark.range(0, 6000, 1, 4).select((F.col("id") % 500).alias("k"), (-F.col("id")).alias("o"))
+    got = ordering.numbered(df, ["k"], ["o"], parts=16)
+    got.explain("formatted")
+    assert len(re.findall(r"^\([0-9]+\) Exchange", capsys.readouterr().out, re.M)) == 1
+    assert Counter(r.pos for r in got.collect()) == Counter({i: 500 for i in range(12)})
+
+
 def test_record_levels_keep_page_order(spark):
     df = spark.sql("""select 'r' as id, array(named_struct('color', 'red', 'size', 'S'), named_struct('color', null, 'size', 'M'),
                       named_struct('color', 'red', 'size', 'L')) as rec""")
