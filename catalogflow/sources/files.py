@@ -59,6 +59,12 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def matched_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the paths that a path with wildcards, as readers take it, stands for."""
+    p, fs = _path(spark, path)
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(p) or [])
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Create a folder; false if it exists already."""
     p, fs = _path(spark, path)

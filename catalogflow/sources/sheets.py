@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from catalogflow.operators.catalog import NO_URL, normal_id, normal_url
 from catalogflow.operators.joins import join_reduced
 from catalogflow.session import staged
+from catalogflow.sources import files
 
 LONGEST = 10_000  # lines of one record; more are a quote that was never closed
+TASK_BYTES = 4 << 20  # read by a task where the byte ranges are smaller
 LINE_SCHEMA = "file string, sheet string, block long, line long, value string, quotes int, odd int, ends_outside long, ends_inside long"
 
 # The code and the message of a sheet that cannot be read.
@@ -88,6 +90,8 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the sheets with the number of their record in the file, whether they begin inside a quoted cell, and whether the file ends so."""
     text = spark.read.option("lineSep", "\n").text(path)
+    # ranges stay as they are read; small ones share tasks, whose number follows the bytes
+    text = text.coalesce(max(4 * spark.sparkContext.defaultParallelism, -(-files.matched_size(spark, path) // TASK_BYTES)))
     scanned = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("sheet"),
                           F.col("_metadata.file_block_start").alias("block")).mapInArrow(_scanned, LINE_SCHEMA)
     blocks = scanned.groupBy("file", "block").agg(

@@ -53,6 +53,22 @@ def test_csv_sheets_by_byte_ranges(spark, out, small_ranges):
     assert got == want
 
 
+def test_small_byte_ranges_share_tasks(spark, out, small_ranges):
+    """The number of tasks follows the bytes and not the ranges, of which there are hundreds here."""
+    want = {(f"{name}.csv", i): [f"{name}{i}", f"line\nof {i}", "x" * (i % 40)] for name in "ab" for i in range(3000)}
+    for name in "ab":
+        with open(f"{out}/{name}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows(want[f"{name}.csv", i] for i in range(3000))
+    assert spark.read.text(out).rdd.getNumPartitions() > 300
+    spark.sparkContext.setJobGroup(out, out)
+    rows = sheets.csv_rows(spark, f"{out}/*.csv", 3)  # reads the ranges
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(out) for s in tracker.getJobInfo(j).stageIds]
+    assert 1 < max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert {(r.sheet, r.row): [r._c0, r._c1, r._c2 or ""] for r in rows.collect()} == want
+
+
 def test_unreadable_sheets_are_report_rows(spark, out, small_ranges):
     body = "".join(f"{i},n{i},http://{i}\n" for i in range(60))
     for name, text_ in {"good": "h\nh\n" + body, "open": "h\nh\n" + body + '1,"x,http://1\n' + body, "narrow": "h,h\nh,h\n1,2\n" * 30,
