@@ -7,14 +7,18 @@ import sys
 import time
 from decimal import Decimal
 from pathlib import Path
-
-import duckdb
+from typing import TYPE_CHECKING
 
 from fixture_queries import ORACLE, QUERIES
 
+if TYPE_CHECKING:
+    import duckdb
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     """A DuckDB connection with the tables of a scale as views."""
+    import duckdb  # only here: the tests are collected without it
+
     con = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
         con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")

@@ -16,3 +16,9 @@ def test_the_rest_works_without_the_llm_folders(tmp_path):
     for command in ([sys.executable, "-c", code], [sys.executable, "-m", "pytest", "tests", "--collect-only", "-q"]):
         done = subprocess.run(command, cwd=copy, capture_output=True, text=True, timeout=300, env={**os.environ, "PYTHONPATH": copy})
         assert done.returncode == 0, done.stdout + done.stderr
+
+
+def test_comparison_is_imported_without_duckdb():
+    code = "import sys; sys.modules['duckdb'] = None; import compare, tests.test_queries"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stdout + done.stderr
