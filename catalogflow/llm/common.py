@@ -61,10 +61,8 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def learning_texts(
-    docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int, chars: int,
-) -> tuple[list[str], np.ndarray]:
-    """At most ``rows`` labelled texts of at most ``chars`` characters whose id is not held out, and their labels.
+def learning_rows(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int, chars: int) -> DataFrame:
+    """(doc_id, text, y) of at most ``rows`` labelled ids that are not held out, with texts of at most ``chars`` characters.
 
     The ids are drawn from the labels alone (smallest hashes first), so that only the drawn texts travel. A document
     with contradicting labels takes the smaller one. Held-out labels are never read past the filter.
@@ -73,10 +71,15 @@ def learning_texts(
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (remainder(F.col("doc_id"), divisor) != held_out))
         .groupBy("doc_id").agg(F.min(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    got = (
-        docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # at most `rows` ids and labels
-        .where(F.length("text") <= chars).select("doc_id", "text", "y").toArrow().to_pydict()
-    )
+    both = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # at most `rows` ids and labels
+    return both.where(F.length("text") <= chars).select("doc_id", "text", "y")
+
+
+def learning_texts(
+    docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int, chars: int,
+) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of :func:`learning_rows`, in a stable order."""
+    got = learning_rows(docs, labels, label, divisor, held_out, rows, chars).toArrow().to_pydict()
     order = sorted(range(len(got["y"])), key=lambda i: (got["doc_id"][i], got["text"][i]))
     return [got["text"][i] for i in order], np.array([got["y"][i] for i in order], dtype=np.float32)
 

@@ -56,7 +56,8 @@ def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
     A part has the first cycle it holds for, the first slot of that cycle, the cycle's slots and the slot of each block. Parts begin where a
     source runs out. In a part, sources with equally many blocks form a class; there are at most about sqrt(2 m) classes for m
     slots. The parts are scheduled in parallel, and their slots together are at most the blocks of all sources. One task
-    orders a number or two for each source.
+    orders a number or two for each source. What the parts hold and the slots of their blocks are written in between: the driver keeps a
+    plan and its text for each stage that ends, so one plan of all the steps takes its memory many times over.
     """
     alone = W.partitionBy(F.lit(0))
     whole = alone.orderBy("source").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # in order: the sum is the same each time
@@ -67,7 +68,7 @@ def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
     ends = starts.select(F.col("first").alias("end"), F.col("p").alias("last"))
     live = sources.join(ends, "end").select("source", "a", "n", F.explode(F.sequence(F.lit(0), F.col("last") - 1)).alias("p")).join(starts, "p")
     live = live.withColumn("b", F.least(F.col("a"), F.col("n") - F.col("a") * F.col("first")))
-    live = live.withColumn("member", (F.row_number().over(W.partitionBy("p", "b").orderBy("source")) - 1).cast("long"))
+    live = staged(live.withColumn("member", (F.row_number().over(W.partitionBy("p", "b").orderBy("source")) - 1).cast("long")), "mixture-parts")
 
     classes = live.groupBy("p", "first", "next", "b").agg(F.count(F.lit(1)).alias("k"))
     parts = classes.groupBy("p", "first", "next").agg(
@@ -77,8 +78,10 @@ def plan(counts: DataFrame, block_rows: int, cycle: int) -> DataFrame:
     picks = parts.withColumn("base", F.coalesce(before, F.lit(0))).repartition(tasks, "p").withColumn("picks", _schedule(F.col("classes"), F.col("m")))
     slots = picks.select("p", "first", "base", "m", "classes", F.posexplode("picks").alias("t", "x")).withColumn("c", F.col("classes")[F.col("x.i")])
     slots = slots.select("p", "first", "base", "m", "t", F.col("c.b").alias("b"), (F.col("x.r") % F.col("c.k")).alias("member"), F.floor(F.col("x.r") / F.col("c.k")).alias("j"))
-    per = slots.join(live.select("p", "b", "member", "source", "a"), ["p", "b", "member"]).groupBy("source", "a", "first", "base", "m").agg(
+    owners = live.select("p", "b", "member", "source", "a").hint("merge")  # compressed files look smaller than their rows, too small to go by for a broadcast
+    per = slots.join(owners, ["p", "b", "member"]).groupBy("source", "a", "first", "base", "m").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("j", "t"))), lambda x: x["t"]).alias("slots"))
+    per = staged(per, "mixture-slots")
     return per.groupBy("source", F.col("a").alias("share")).agg(F.array_sort(F.collect_list(F.struct("first", "base", "m", "slots"))).alias("parts"))
 
 

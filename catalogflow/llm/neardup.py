@@ -255,7 +255,7 @@ def kept(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     first = groups(docs, similar).where("doc_id = class_id").select("doc_id")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")  # columns may have any names
     one = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").select(whole)
-    if bool(one.groupBy("r.doc_id").count().where("count > 1").limit(1).count()):
+    if _repeats(docs.where("doc_id IS NOT NULL")):  # asked of the ids alone: the classes are evaluated once
         order = W.partitionBy("r.doc_id").orderBy(F.xxhash64("r"))
         one = one.withColumn("k", F.row_number().over(order)).where("k = 1")
     return one.unionByName(docs.where("doc_id IS NULL").select(whole), allowMissingColumns=True).select("r.*").select(*[f"`{c}`" for c in docs.columns])

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from catalogflow.llm.common import by_batch, learning_texts, remainder, small_batches, texts
+from catalogflow.llm.common import by_batch, learning_rows, remainder, small_batches, texts
 from catalogflow.llm.nets import Adam, Params, constant_logit, sigmoid, temperature
 
 WORDS, SHAPES, DIM = 1 << 14, 1 << 10, 48  # buckets and dimensions: the table of vectors has a fixed size of 3.3 MB
@@ -117,6 +118,22 @@ def pooled(some: list[str], vectors: np.ndarray, buckets: Buckets) -> np.ndarray
     return out
 
 
+def learning_features(rows: DataFrame, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of labelled texts (doc_id, text, y) by id and text. The texts stay in the tasks; the driver gets 400 bytes for each."""
+    shared = rows.sparkSession.sparkContext.broadcast(vectors)  # a fixed size
+    buckets = Buckets()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = [row.tobytes() for row in pooled(texts(batch), shared.value, buckets)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k"), batch.column("y"), pa.array(x, pa.binary())], names=["doc_id", "k", "y", "x"])
+
+    numbered = rows.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("text")).alias("k"), "y", "text")
+    got = by_batch(numbered, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k int, y int, x binary").toArrow().to_pydict()
+    order = sorted(range(len(got["y"])), key=lambda i: (got["doc_id"][i], got["k"][i]))
+    x = np.frombuffer(b"".join(got["x"][i] for i in order), dtype=np.float32).reshape(-1, 2 * DIM + 3)
+    return x, np.array([got["y"][i] for i in order], dtype=np.float32)
+
+
 @dataclass
 class Quality:
     """The trained classifier: word vectors, feature scale, weights, temperature."""
@@ -163,8 +180,7 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, hidden: int = 32, e
 def fit(docs: DataFrame, labels: DataFrame, divisor: int = 4, held_out: int = 2, rows: int = 8000, chars: int = 50_000) -> Quality:
     """Word vectors from every text, and the network from at most ``rows`` labelled texts of at most ``chars`` characters."""
     vectors = word_vectors(docs)
-    some, y = learning_texts(docs, labels, "quality", divisor, held_out, rows, chars)
-    return train(pooled(some, vectors, Buckets()), y, vectors)
+    return train(*learning_features(learning_rows(docs, labels, "quality", divisor, held_out, rows, chars), vectors), vectors)
 
 
 def score(docs: DataFrame, model: Quality, threshold: float = 0.7, keep: bool = False) -> DataFrame:

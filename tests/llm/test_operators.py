@@ -131,6 +131,13 @@ def test_mixing_spreads_null_ids(spark):
     assert max(r["count"] for r in plan) < 40_000
 
 
+def test_mixing_plans_its_steps_apart(spark):
+    """The driver keeps a plan and its text for every stage: the plan that carries the rows has not the schedule's windows in it."""
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 5).cast("string").alias("source"))
+    mixed = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bWindow \[", mixed)) <= 2 and len(re.findall(r"\bExchange ", mixed)) <= 6
+
+
 def test_mixing_shuffles_whole_rows_once(spark, capsys):
     """Of all shuffles in the plan only the one by source and bucket carries the rows themselves."""
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 5).cast("string").alias("source"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
@@ -367,6 +374,20 @@ def test_held_out_labels_are_never_learned(spark):
     assert len(learning_texts(docs, labels, "toxic", 5, 0, 20, 100)[0]) == 20
 
 
+def test_quality_learns_from_features_made_in_tasks(spark):
+    """As many columns as the driver needs, in the order of ids and texts, also where ids repeat."""
+    from catalogflow.llm.common import learning_rows, learning_texts
+
+    docs = spark.createDataFrame([(i % 50, f"{'é' * (i % 7)} w{i} word {i * 37 % 11} two") for i in range(120)] + [(3, ""), (4, None), (None, "x")], "doc_id long, text string")
+    labels = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    vectors = quality.word_vectors(docs)
+    some, want = learning_texts(docs, labels, "quality", 4, 2, 1000, 100)
+    x, y = quality.learning_features(learning_rows(docs, labels, "quality", 4, 2, 1000, 100), vectors)
+    assert len(some) > 60 and (x == quality.pooled(some, vectors, quality.Buckets())).all() and list(y) == list(want)
+    x, y = quality.learning_features(learning_rows(docs, labels.limit(0), "quality", 4, 2, 1000, 100), vectors)
+    assert x.shape == (0, 2 * quality.DIM + 3) and not len(y)
+
+
 @pytest.mark.parametrize("kind", ["quality", "toxic"])
 def test_classifier_on_given_labels(spark, kind):
     folder = "/root/testdata/sf0.01"
@@ -488,6 +509,19 @@ def test_kept_has_columns_of_any_name(spark):
     assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1]
 
 
+def test_kept_evaluates_the_classes_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 15} of some words here") for i in range(20)], "doc_id long, text string")
+    seen, plain = spark.sparkContext.accumulator(0), neardup.groups
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(neardup, "groups", lambda *a: plain(*a).mapInArrow(count, "doc_id long, class_id long, links long"))
+    assert sorted(r.doc_id for r in neardup.kept(docs).collect()) == list(range(15)) and seen.value == 20
+
+
 def test_near_duplicates_on_odd_rows(odd):
     got = {r.doc_id: r.class_id for r in neardup.groups(odd).collect()}
     assert got == {1: 1, 5: 1, 2: 2, 3: 2, 6: 2, 4: 4, 7: 7}
